@@ -69,13 +69,13 @@ def words(col: Column) -> Column:
     return F.filter(parts, lambda w: w != "")
 
 
-def hot_join(left: DataFrame, right: DataFrame, keys: list[str], weight: str, total: int, how: str = "inner") -> DataFrame:
+def hot_join(left: DataFrame, right: DataFrame, keys: list[str], weight: str, total: int, how: str = "inner", share: int = HOT_SHARE) -> DataFrame:
     """Join on keys that are unique in right, where right[weight] says how many left rows a key has.
 
-    Keys with at least total/HOT_SHARE rows (so at most HOT_SHARE keys) are broadcast; the others,
+    Keys with at least total/share rows (so at most share keys) are broadcast; the others,
     none of which is large, are shuffled. No key's rows meet in one task.
     """
-    least = max(2, -(-total // HOT_SHARE))
+    least = max(2, -(-total // share))
     hot = F.broadcast(right.filter(F.col(weight) >= least).withColumn("_hot", F.lit(True)))
     tried = left.join(hot, keys, "left")
     cold = right.filter(F.col(weight) < least)
@@ -96,3 +96,16 @@ def ranked(df: DataFrame, order: list[str], label: str, rank: str = "_rank") ->
         upto += size
     offsets = df.sparkSession.createDataFrame(starts, "_part int, _start long")
     return parts.join(F.broadcast(offsets), "_part").withColumn(rank, F.col("_start") + F.col("_at")).drop("_part", "_at", "_start")
+
+
+def sieve(df: DataFrame, key: str, keys: DataFrame, label: str, bits: int = 26) -> DataFrame:
+    """The rows of df whose key may be among keys[key], by a bitmap of fixed size (2^26 bits are 8 MB).
+
+    Rows are dropped on the map side, before a join that would shuffle them; keys that share a bit pass.
+    """
+    bucket = 4096 * 8
+    bit = F.pmod(F.xxhash64(key), F.lit(1 << bits))
+    maps = keys.select(bit.alias("_b")).select(F.expr(f"_b div {bucket}").alias("_bucket"), (F.col("_b") % bucket).alias("_at")).groupBy("_bucket").agg(F.expr("bitmap_construct_agg(_at)").alias("_map"))
+    tried = df.withColumn("_b", bit).withColumn("_bucket", F.expr(f"_b div {bucket}")).join(F.broadcast(table(maps, label)), "_bucket")
+    byte = F.conv(F.hex(F.substring("_map", F.expr(f"int((_b % {bucket}) div 8)") + 1, 1)), 16, 10).cast("int")
+    return tried.withColumn("_byte", byte).filter("(shiftright(_byte, int(_b % 8)) & 1) = 1").select(*df.columns)
