@@ -103,8 +103,8 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p
             yield pa.record_batch([*batch.columns, pa.array(m.score(batch.column(0).to_pylist()))], names=["word", "c", "n", "b"])
 
     model = table(counted.mapInArrow(likelihood, "word string, c long, n long, b double"), "words")
-    n, v, total = model.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if("c > 0"), F.coalesce(F.sum("n"), F.lit(0))).first()
-    n, v = n + heads, v + (heads > 0)
+    n, v, total = model.agg(F.coalesce(F.sum("c"), F.lit(0)), F.sum((F.col("c") > 0).cast("long")), F.coalesce(F.sum("n"), F.lit(0))).first()
+    n, v = n + heads, (v or 0) + (heads > 0)
     mu, below = max(v, 1), n + 0.5 * (v + 1)
     scored = model.select(
         "word", "n", (F.col("c") > 0).cast("long").alias("known"), F.log10((F.col("c") + 0.5) / below).alias("base"),

@@ -1,12 +1,13 @@
 """Queries and SQL of the training-data operators, for the driver's contract."""
 
-from . import byte_bpe, exact_dedup, html_text, language_id, lattice_lm, token_counts
+from . import byte_bpe, exact_dedup, html_text, language_id, lattice_lm, near_dedup, token_counts
 
 QUERIES = {
     "op1_byte_bpe": byte_bpe.op1_byte_bpe,
     "op2_lm_scores": lattice_lm.op2_lm_scores,
     "op3_language_id": language_id.op3_language_id,
     "op5_token_counts": token_counts.op5_token_counts,
+    "op6_near_dedup": near_dedup.op6_near_dedup,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op10_html_text": html_text.op10_html_text,
 }
