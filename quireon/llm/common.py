@@ -98,14 +98,18 @@ def ranked(df: DataFrame, order: list[str], label: str, rank: str = "_rank") ->
     return parts.join(F.broadcast(offsets), "_part").withColumn(rank, F.col("_start") + F.col("_at")).drop("_part", "_at", "_start")
 
 
-def sieve(df: DataFrame, key: str, keys: DataFrame, label: str, bits: int = 26) -> DataFrame:
+def sieve(df: DataFrame, key: str, keys: DataFrame, label: str, bits: int = 26, keep: bool = True) -> DataFrame:
     """The rows of df whose key may be among keys[key], by a bitmap of fixed size (2^26 bits are 8 MB).
 
     Rows are dropped on the map side, before a join that would shuffle them; keys that share a bit pass.
+    With keep=False the other rows, whose key is surely not among them (null keys too).
     """
     bucket = 4096 * 8
     bit = F.pmod(F.xxhash64(key), F.lit(1 << bits))
     maps = keys.select(bit.alias("_b")).select(F.expr(f"_b div {bucket}").alias("_bucket"), (F.col("_b") % bucket).alias("_at")).groupBy("_bucket").agg(F.expr("bitmap_construct_agg(_at)").alias("_map"))
-    tried = df.withColumn("_b", bit).withColumn("_bucket", F.expr(f"_b div {bucket}")).join(F.broadcast(table(maps, label)), "_bucket")
+    tried = df.withColumn("_b", bit).withColumn("_bucket", F.expr(f"_b div {bucket}")).join(F.broadcast(table(maps, label)), "_bucket", "inner" if keep else "left")
     byte = F.conv(F.hex(F.substring("_map", F.expr(f"int((_b % {bucket}) div 8)") + 1, 1)), 16, 10).cast("int")
-    return tried.withColumn("_byte", byte).filter("(shiftright(_byte, int(_b % 8)) & 1) = 1").select(*df.columns)
+    hit = F.coalesce(F.expr("shiftright(_byte, int(_b % 8)) & 1"), F.lit(0)) == 1
+    if keep:
+        return tried.withColumn("_byte", byte).filter(hit).select(*df.columns)
+    return tried.withColumn("_byte", byte).filter(~hit | F.col(key).isNull()).select(*df.columns)

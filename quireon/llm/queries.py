@@ -1,14 +1,17 @@
 """Queries and SQL of the training-data operators, for the driver's contract."""
 
-from . import byte_bpe, exact_dedup, html_text, language_id, lattice_lm, near_dedup, token_counts
+from . import byte_bpe, decontaminate, exact_dedup, html_text, language_id, lattice_lm, line_dedup, near_dedup, substring_dedup, token_counts
 
 QUERIES = {
     "op1_byte_bpe": byte_bpe.op1_byte_bpe,
     "op2_lm_scores": lattice_lm.op2_lm_scores,
     "op3_language_id": language_id.op3_language_id,
+    "op4_decontaminate": decontaminate.op4_decontaminate,
     "op5_token_counts": token_counts.op5_token_counts,
     "op6_near_dedup": near_dedup.op6_near_dedup,
+    "op7_substring_dedup": substring_dedup.op7_substring_dedup,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
+    "op9_line_dedup": line_dedup.op9_line_dedup,
     "op10_html_text": html_text.op10_html_text,
 }
-ORACLE_SQL = {"op8_exact_dedup": exact_dedup.OP8_SQL}
+ORACLE_SQL = {"op8_exact_dedup": exact_dedup.OP8_SQL, "op9_line_dedup": line_dedup.OP9_SQL}
