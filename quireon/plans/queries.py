@@ -1,4 +1,383 @@
 """Registered queries of the archive engine and their DuckDB equivalents."""
 
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import names as N
+from ..functions import rules as R
+from ..functions import spans as S
+from ..functions import text as X
+from ..operators import boxes as B
+from ..operators import edits as E
+from ..operators import extract as M
+from ..operators import log as L
+from ..operators import manifest as J
+from ..operators import topics as ML
+from ..sources.files import missing
+from . import adapters as A
+
 QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+ORACLE_SQL: dict[str, str] = {}
+LOG_SQL, TEXT_SQL = A.duck_sql(A.LOG), A.duck_sql(A.TEXT)
+
+
+def query(sql: str | None = None):
+    """Register a query, with its SQL where there is one; {log}, {text} and {boxes} stand for the views."""
+
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql.replace("{log}", f"({LOG_SQL})").replace("{text}", f"({TEXT_SQL})").replace("{boxes}", f"({A.BOXES_SQL})")
+        return f
+
+    return register
+
+
+def _case(column: str, pairs: dict[str, str]) -> str:
+    quote = lambda s: s.replace("'", "''")
+    return f"CASE {column} " + " ".join(f"WHEN '{quote(k)}' THEN '{quote(v)}'" for k, v in pairs.items()) + f" ELSE {column} END"
+
+
+# Names and the log
+@query("SELECT Z_name, CAST(regexp_extract(Z_name, '(\\d+)([a-z]*)', 1) AS bigint) || regexp_extract(Z_name, '(\\d+)([a-z]*)', 2) AS cote, regexp_extract(Z_name, '(\\d\\d\\d)\\.jpg', 1) AS page, split_part(Z_name, '.', 1) AS prefix, regexp_matches(Z_name, '\\d+[a-z]*.*\\d\\d\\d\\.jpg') AS valid, 'CH-AEV_IV_' || cote || '_' || page || '.jpg' AS official, prefix || '_fr.txt' AS txt_name, CAST(regexp_extract(Z_name, '\\d+', 0) AS bigint) // 100 AS batch, regexp_extract(Z_name, '\\d+[a-z]*_\\d+', 0) AS join_key FROM {log}")
+def q_cote_parse(spark: SparkSession, d: str) -> DataFrame:
+    z = F.col("Z_name")
+    return A.log(spark, d).select(z, N.cote(z).alias("cote"), N.page(z).alias("page"), N.prefix(z).alias("prefix"), N.is_valid(z).alias("valid"), N.canonical(z).alias("official"), N.text_name(z).alias("txt_name"), N.batch(z).alias("batch"), N.join_key(z).alias("join_key"))
+
+
+@query("SELECT Z_name, coalesce(is_included = 1, false) AND len(states) > 0 AND NOT list_has_any(states, ['b', 'p', 'm']) AS needs_transcription FROM {log}")
+def q_needs_transcription(spark: SparkSession, d: str) -> DataFrame:
+    return A.log(spark, d).select("Z_name", L.needs_transcription(F.col("is_included"), F.col("states")).alias("needs_transcription"))
+
+
+@query("SELECT Z_name, list_contains(states, 'v') AS structure_vide, list_contains(states, 'm') AS manuscrit, list_contains(states, 'f') AS lang_fr, list_contains(states, 'a') AS lang_de, list_contains(states, 't') AS lang_it, list_contains(states, 'l') AS lang_la, list_contains(states, 'b') AS lang_sans_texte FROM {log} WHERE is_included = 1")
+def q_state_pivot(spark: SparkSession, d: str) -> DataFrame:
+    return A.log(spark, d).filter("is_included = 1").select("Z_name", *L.state_pivot(F.col("states")))
+
+
+@query("SELECT cote, min(Z_name) AS first_undecided, count(*) AS n FROM {log} WHERE is_included IS NULL OR is_included NOT IN (0, 1) GROUP BY cote")
+def q_undecided(spark: SparkSession, d: str) -> DataFrame:
+    return A.log(spark, d).filter(L.undecided(F.col("is_included"))).groupBy("cote").agg(F.min("Z_name").alias("first_undecided"), F.count("*").alias("n"))
+
+
+@query("SELECT Z_name AS src, CASE WHEN is_included = 1 AND regexp_matches(should_be_name, '\\d\\d\\d\\.jpg$') THEN 'CH-AEV_IV_' || cote || '_' || regexp_extract(should_be_name, '(\\d\\d\\d\\.jpg)$', 1) END AS dst, CASE WHEN is_included IS NULL THEN 'undecided' WHEN is_included = 0 THEN 'garbage' WHEN q % 3 = 0 THEN 'exists' WHEN q % 2 = 0 THEN 'missing' ELSE 'move' END AS action FROM {log}")
+def q_rename_actions(spark: SparkSession, d: str) -> DataFrame:
+    return L.rename_actions(A.log(spark, d), present=F.col("q") % 2 != 0, target_present=F.col("q") % 3 == 0)
+
+
+@query("SELECT Z_name, 'batch' || CASE WHEN b < 10 THEN '0' ELSE '' END || b AS folder, lane FROM (SELECT Z_name, CAST(regexp_extract(Z_name, '\\d+', 0) AS bigint) // 100 AS b, unnest(list_filter([CASE WHEN list_has_any(states, ['f', 't', 'l']) THEN 'fr' END, CASE WHEN list_contains(states, 'a') THEN 'de' END], lambda x: x IS NOT NULL)) AS lane FROM {log} WHERE is_included = 1 AND NOT list_has_any(states, ['b', 'p', 'm']))")
+def q_dispatch(spark: SparkSession, d: str) -> DataFrame:
+    return L.dispatch(A.log(spark, d).withColumn("needs_transcription", L.needs_transcription(F.col("is_included"), F.col("states"))))
+
+
+@query("SELECT Z_name, CASE WHEN q % 3 = 0 THEN 'CH_' || regexp_extract(Z_name, '\\d+[a-z]*_\\d+', 0) || '.tif' WHEN q % 3 = 1 THEN 'CH_' || regexp_extract(Z_name, '\\d+[a-z]*_\\d+', 0) || '.tif,CX_' || regexp_extract(Z_name, '\\d+[a-z]*_\\d+', 0) || '.tif' ELSE '' END AS files, q % 3 < 2 AS expected FROM {log}")
+def q_link_binaries(spark: SparkSession, d: str) -> DataFrame:
+    log = A.log(spark, d)
+    key = N.join_key(F.col("Z_name"))
+    files = log.filter("q % 3 < 2").select(F.concat(F.lit("CH_"), key, F.lit(".tif")).alias("file")).union(log.filter("q % 3 = 1").select(F.concat(F.lit("CX_"), key, F.lit(".tif"))))
+    return L.link_binaries(log, files).select("Z_name", F.array_join("binary_files", ",").alias("files"), "expected")
+
+
+@query("SELECT Z_name, (doublon IS NOT NULL) = list_contains(states, 'd') AS doublon_ok, (Z_name <> should_be_name) = list_contains(states, 'r') AS renaming_ok, true AS cote_ok FROM {log}")
+def q_consistency(spark: SparkSession, d: str) -> DataFrame:
+    return L.consistency(A.log(spark, d)).select("Z_name", "doublon_ok", "renaming_ok", "cote_ok")
+
+
+@query("SELECT Z_name, CASE WHEN is_included IS NULL AND NOT list_contains(states, 's') THEN CAST(list_has_any(states, ['f','a','l','t','m','b','r']) AS int) ELSE is_included END AS decision FROM {log}")
+def q_default_decision(spark: SparkSession, d: str) -> DataFrame:
+    return A.log(spark, d).select("Z_name", L.default_decision(F.col("is_included"), F.col("states")).alias("decision"))
+
+
+@query("SELECT Z_name, array_to_string(CASE WHEN interest IN (1, 2) THEN list_sort(list_distinct(list_concat(states, ['v']))) ELSE states END, ',') AS states, coalesce(interest, CASE WHEN list_contains(states, 'v') THEN 2 ELSE 4 END) AS interest FROM {log}")
+def q_add_empty_state(spark: SparkSession, d: str) -> DataFrame:
+    s, i = F.col("states"), F.col("interest")
+    return A.log(spark, d).select("Z_name", F.array_join(L.empty_structure(s, i), ",").alias("states"), L.default_interest(i, s).alias("interest"))
+
+
+ROLLUP_SQL = """
+SELECT cote, states, images, n_images, is_compil, CASE WHEN len(i) = 0 THEN NULL WHEN len(i) = 1 THEN i[1] WHEN len(r) = 1 THEN r[1] WHEN contains(states, 'v') THEN 2 ELSE 4 END AS interest
+FROM (SELECT *, list_filter(i, lambda x: x NOT IN (2, 4)) AS r FROM (
+  SELECT cote, array_to_string(list_sort(list_distinct(flatten(list(states)))), ',') AS states, string_agg(Z_name, ',' ORDER BY Z_name) AS images, count(*) AS n_images,
+    CASE WHEN bool_or(is_compil IS NULL) THEN NULL ELSE bool_or(is_compil) END AS is_compil, list_sort(list_filter(list_distinct(list(interest)), lambda x: x IS NOT NULL)) AS i
+  FROM {log} WHERE is_included = 1 GROUP BY cote))
+"""
+
+
+@query(ROLLUP_SQL)
+def q_cote_rollup(spark: SparkSession, d: str) -> DataFrame:
+    return L.cote_rollup(A.log(spark, d)).withColumns({c: F.array_join(c, ",") for c in ("states", "images")})
+
+
+@query("SELECT interest, count(*) AS n, avg(CAST(is_included = 1 AS int)) * 100 AS percent_included, count(DISTINCT cote) AS n_cotes FROM {log} GROUP BY interest")
+def q_interest_stats(spark: SparkSession, d: str) -> DataFrame:
+    return A.log(spark, d).groupBy("interest").agg(F.count("*").alias("n"), (F.avg((F.col("is_included") == 1).cast("int")) * 100).alias("percent_included"), F.countDistinct("cote").alias("n_cotes"))
+
+
+@query("SELECT interest, count(*) AS n_cotes FROM (SELECT cote, avg(interest) AS interest FROM {log} GROUP BY cote) GROUP BY interest")
+def q_interest_cotes(spark: SparkSession, d: str) -> DataFrame:
+    return A.log(spark, d).groupBy("cote").agg(F.avg("interest").alias("interest")).groupBy("interest").agg(F.count("*").alias("n_cotes"))
+
+
+@query("SELECT should_be_name, count(*) AS n FROM (SELECT CASE WHEN q % 9 = 0 THEN 'same.jpg' ELSE should_be_name END AS should_be_name FROM {log}) GROUP BY 1 HAVING count(*) > 1")
+def q_dup_names(spark: SparkSession, d: str) -> DataFrame:
+    name = F.when(F.col("q") % 9 == 0, "same.jpg").otherwise(F.col("should_be_name"))
+    return A.log(spark, d).groupBy(name.alias("should_be_name")).agg(F.count("*").alias("n")).filter("n > 1")
+
+
+@query("SELECT Z_name, CASE WHEN q % 2 = 0 THEN 'new' ELSE 'old' END AS version FROM {log}")
+def q_upsert(spark: SparkSession, d: str) -> DataFrame:
+    log = A.log(spark, d)
+    return L.upsert(log.select("Z_name", F.lit("old").alias("version")), log.filter("q % 2 = 0").select("Z_name", F.lit("new").alias("version")), "Z_name")
+
+
+@query("SELECT Z_name FROM {log} WHERE q % 3 <> 0")
+def q_incremental(spark: SparkSession, d: str) -> DataFrame:
+    log = A.log(spark, d).select("Z_name", "q")
+    return missing(log, log.filter("q % 3 = 0"), "Z_name").select("Z_name")
+
+
+@query("SELECT event_type, CASE WHEN event_type IN ('click', 'purchase') THEN 1 ELSE 0 END AS decision, count(*) AS n FROM events GROUP BY 1, 2")
+def q_key_decisions(spark: SparkSession, d: str) -> DataFrame:
+    yes = F.col("event_type").isin("click", "purchase")
+    state = F.when(yes, L.literals(["f"])).otherwise(L.literals(["x"]))
+    e = A.load(spark, d, "events")["events"].withColumn("decision", L.default_decision(F.lit(None).cast("int"), state))
+    return e.groupBy("event_type", "decision").agg(F.count("*").alias("n"))
+
+
+@query("SELECT cote, last_doublon FROM (SELECT cote, arg_max(doublon, Z_name) FILTER (WHERE doublon IS NOT NULL) AS last_doublon FROM {log} GROUP BY cote) WHERE last_doublon IS NOT NULL")
+def q_duplicate_hint(spark: SparkSession, d: str) -> DataFrame:
+    return A.log(spark, d).filter("doublon is not null").groupBy("cote").agg(F.max_by("doublon", "Z_name").alias("last_doublon"))
+
+
+# Text
+SAMPLE = "SELECT okey, 'l' || year || ' ler Préfident Confeil n0n ' || text || ' I' || day || ' fource 1es' AS t FROM {text}"
+
+
+def _python_rules() -> str:
+    duck = lambda s: s.replace("\\g<1>", "\\1").replace("'", "''")
+    return reduce(lambda t, r: f"regexp_replace({t}, '\\b{duck(r[0])}\\b', '{duck(r[1])}', 'g')", R.LETTER_RULES, "ascii_part")
+
+
+@query(f"SELECT okey, {_python_rules()} AS text FROM (SELECT okey, 'l' || year || ' ler n0n ' || text || ' I' || day || ' 1es' AS ascii_part FROM {{text}})")
+def q_letter_correct(spark: SparkSession, d: str) -> DataFrame:
+    t = A.texts(spark, d).select("okey", F.concat(F.lit("l"), "year", F.lit(" ler n0n "), "text", F.lit(" I"), "day", F.lit(" 1es")).alias("t"))
+    return t.select("okey", X.correct(F.col("t"), words=False).alias("text"))
+
+
+@query("SELECT okey, 'Président du Conseil en ' || year || ' : la source, le sel et le besoin' AS text FROM {text}")
+def q_auto_correct(spark: SparkSession, d: str) -> DataFrame:
+    t = A.texts(spark, d).select("okey", F.concat(F.lit("Préfident du Confeil en "), "year", F.lit(" : la fource, le fel et le befoin")).alias("t"))
+    return t.select("okey", X.correct(F.col("t")).alias("text"))
+
+
+@query("SELECT doc_id, regexp_replace(text, '\\. ', '.' || chr(10) || chr(10) || chr(10), 'g') AS t0, trim(regexp_replace(array_to_string(list_transform(string_split(replace(t0, 'œ', 'oe'), chr(10)), lambda l: rtrim(ltrim(l, ' |=+$£}{][*_:;.,'), ' |=+$£}{][*_')), chr(10)), '\\n{2,}', chr(10) || chr(10), 'g'), chr(10)) AS text FROM documents".replace("SELECT doc_id, ", "SELECT doc_id, text FROM (SELECT doc_id, ", 1) + ")")
+def q_format_text(spark: SparkSession, d: str) -> DataFrame:
+    t = A.load(spark, d, "documents")["documents"].select("doc_id", F.regexp_replace("text", "\\. ", ".\n\n\n").alias("t"))
+    return t.select("doc_id", X.format_text(F.col("t")).alias("text"))
+
+
+_INTER = "regexp_replace(regexp_replace(regexp_replace(regexp_replace(strip_accents(replace(replace(regexp_replace(regexp_replace(text, '[!\"#$%()*+,./:;<=>?@\\[\\]^_`{|}~]', ' ', 'g'), ' +', ' ', 'g'), 'ß', 'ss'), '°', 'deg')), ' *\\n *', chr(10), 'g'), '\\n+', chr(10), 'g'), '&', 'et', 'g'), '(\\w)-\\n(\\w)', '\\1\\2', 'g')"
+
+
+@query(f"SELECT doc_id, {_INTER} AS text FROM documents")
+def q_intermediate(spark: SparkSession, d: str) -> DataFrame:
+    return A.load(spark, d, "documents")["documents"].select("doc_id", X.intermediate(F.col("text")).alias("text"))
+
+
+@query(f"SELECT doc_id, lower(regexp_replace(replace(regexp_replace({_INTER}, '[-!\"#$%&''()*+,./:;<=>?@\\[\\]^_`{{|}}~]', ' ', 'g'), chr(10), ' '), ' +', ' ', 'g')) AS text FROM documents")
+def q_word_sequence(spark: SparkSession, d: str) -> DataFrame:
+    return A.load(spark, d, "documents")["documents"].select("doc_id", X.word_sequence(F.col("text")).alias("text"))
+
+
+@query("SELECT ckey, string_agg(text, chr(10) ORDER BY okey) AS text, count(*) AS n FROM {text} GROUP BY ckey")
+def q_assemble(spark: SparkSession, d: str) -> DataFrame:
+    t = A.texts(spark, d).groupBy("ckey").agg(F.array_sort(F.collect_list(F.struct("okey", "text"))).alias("p"), F.count("*").alias("n"))
+    return t.select("ckey", F.array_join(F.transform("p", lambda x: x["text"]), "\n").alias("text"), "n")
+
+
+@query("SELECT doc_id, len(regexp_extract_all(text, '\\d+|[A-Z][A-Z]+')) AS n_marks FROM documents")
+def q_highlights(spark: SparkSession, d: str) -> DataFrame:
+    return A.load(spark, d, "documents")["documents"].select("doc_id", F.size(X.highlights(F.col("text"))).cast("long").alias("n_marks"))
+
+
+# Extraction
+@query("SELECT year AS annee, month AS mois, CASE WHEN shape < 4 THEN day END AS jour, count(*) AS n FROM {text} GROUP BY 1, 2, 3")
+def q_dates(spark: SparkSession, d: str) -> DataFrame:
+    t = A.texts(spark, d)
+    found = t.withColumn("m", M.dates(F.col("text"))[1]).withColumn("d", M.date_parts(S.extreme(F.col("m"), F.length("text"))["text"]))
+    return found.groupBy(F.col("d.year").alias("annee"), F.col("d.month").alias("mois"), F.col("d.day").alias("jour")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT ['formule_grande+date_complete', 'formule_petite+date_complete', 'lieu+date_complete', 'le+date_complete', 'date_partielle_unique'][shape + 1] AS type_date, count(*) AS n FROM {text} GROUP BY 1")
+def q_date_codes(spark: SparkSession, d: str) -> DataFrame:
+    return A.texts(spark, d).groupBy(M.dates(F.col("text"))[0].alias("type_date")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT okey, CASE WHEN shape = 0 THEN day END AS day, CASE WHEN shape < 2 THEN month END AS month, CASE WHEN shape < 3 THEN year END AS year, CASE WHEN shape < 3 THEN 'filename_date' ELSE 'no_match' END AS code FROM {text}")
+def q_filename_dates(spark: SparkSession, d: str) -> DataFrame:
+    day, month = F.lpad(F.col("day").cast("string"), 2, "0"), F.lpad(F.col("month").cast("string"), 2, "0")
+    part = F.when(F.col("shape") == 0, F.concat_ws("-", "year", month, day)).when(F.col("shape") == 1, F.concat_ws("-", "year", month)).when(F.col("shape") == 2, F.col("year").cast("string")).otherwise("x")
+    t = A.texts(spark, d).withColumn("f", N.cote(F.lit("12")))
+    return t.withColumn("d", M.filename_date(F.concat(F.lit("Ch-AEV_"), "okey", F.lit("_"), part, F.lit("_001.jpg")))).select("okey", "d.day", "d.month", "d.year", "d.code")
+
+
+@query("SELECT y, m, dd, CAST(date '1792-09-22' + CAST(365 * (y - 1) + (y // 4) + 30 * (m - 1) + dd - 1 AS int) AS varchar) AS gregorian FROM (SELECT DISTINCT CAST(1 + okey % 14 AS int) AS y, month AS m, CASE WHEN day > 30 THEN 30 ELSE day END AS dd FROM {text})")
+def q_republican(spark: SparkSession, d: str) -> DataFrame:
+    t = A.texts(spark, d).select((1 + F.col("okey") % 14).cast("int").alias("y"), F.col("month").alias("m"), F.least("day", F.lit(30)).alias("dd")).distinct()
+    return t.withColumn("gregorian", M.republican_to_gregorian(F.col("y"), F.col("m"), F.col("dd")).cast("string"))
+
+
+@query("SELECT CASE WHEN shape < 3 THEN replace(lower(place), 'st maurice', 'st-maurice') END AS lieu, CASE WHEN shape < 3 THEN 'lieu_avec_date' ELSE 'no_match' END AS type_lieu, count(*) AS n FROM {text} GROUP BY 1, 2")
+def q_places(spark: SparkSession, d: str) -> DataFrame:
+    t = A.texts(spark, d).withColumn("m", M.dates(F.col("text"))[1]).withColumn("date", S.extreme(F.col("m"), F.length("text"))["text"])
+    near, (code, other) = M.place_in_date(F.col("date")), M.place_in_text(F.col("text"))
+    return t.groupBy(F.coalesce(near, other).alias("lieu"), F.when(near.isNotNull(), "lieu_avec_date").otherwise(code).alias("type_lieu")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT CASE status WHEN 'O' THEN 'Loi' WHEN 'F' THEN 'Decret' ELSE 'Arrete' END || ' sur le commerce' AS intitule, count(*) AS n FROM {text} GROUP BY 1")
+def q_titles(spark: SparkSession, d: str) -> DataFrame:
+    return A.texts(spark, d).groupBy(M.title(F.col("text")).alias("intitule")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT CASE ckey % 3 WHEN 0 THEN 'hignou' WHEN 1 THEN 'david rachor' ELSE 'samuel delisle' END AS imprimeur, 'nom_imprimeur' AS type_imprimeur, count(*) AS n FROM {text} GROUP BY 1, 2")
+def q_printers(spark: SparkSession, d: str) -> DataFrame:
+    code, name = M.printer(F.col("text"))
+    return A.texts(spark, d).groupBy(name.alias("imprimeur"), code.alias("type_imprimeur")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT 'Le president du conseil' AS titre, 'Jean Rey' AS nom, 'Le secretaire' AS secretaire_titre, 'Paul Roux' AS secretaire_nom, 'grande_signature' AS code, count(*) AS n FROM {text}")
+def q_signatures(spark: SparkSession, d: str) -> DataFrame:
+    code, _, what, who = M.signature(F.col("text"))
+    _, _, what2, who2 = M.signature(F.col("text"), "secretary")
+    return A.texts(spark, d).groupBy(what.alias("titre"), who.alias("nom"), what2.alias("secretaire_titre"), who2.alias("secretaire_nom"), code.alias("code")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT CASE status WHEN 'O' THEN 'Loi' WHEN 'F' THEN 'Décret' ELSE 'Arrêté' END AS categorie, 'name' AS code, count(*) AS n FROM {text} GROUP BY 1")
+def q_categories(spark: SparkSession, d: str) -> DataFrame:
+    code, _, kind = M.category(F.col("text"))
+    return A.texts(spark, d).groupBy(X.capitalised(kind, R.CATEGORY_LABELS).alias("categorie"), code.alias("code")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT CASE substr(priority, 1, 1) WHEN '1' THEN 'incendie' WHEN '2' THEN 'vaccination' WHEN '3' THEN 'santé' WHEN '4' THEN 'enseignement supérieur,affaires financières' ELSE '' END AS sujets, CASE WHEN substr(priority, 1, 1) = '5' THEN 'lda_only' ELSE 'keywords_and_lda' END AS code, count(*) AS n FROM {text} GROUP BY 1, 2")
+def q_topics_kw(spark: SparkSession, d: str) -> DataFrame:
+    code, named = M.topics(F.col("text"))
+    return A.texts(spark, d).groupBy(F.array_join(named, ",").alias("sujets"), code.alias("code")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT okey, day AS jour, month AS mois, year AS annee, replace(lower(place), 'st maurice', 'st-maurice') AS lieu, CASE status WHEN 'O' THEN 'loi' WHEN 'F' THEN 'decret' ELSE 'arrete' END AS categorie FROM {text} WHERE shape < 3")
+def q_simple_documents(spark: SparkSession, d: str) -> DataFrame:
+    t = A.texts(spark, d).filter("shape < 3").select("okey", "text")
+    return M.simple_documents(t, ["okey"]).select("okey", "jour", "mois", "annee", "lieu", "categorie")
+
+
+@query("SELECT ckey, count(*) AS n_documents FROM {text} WHERE shape < 3 GROUP BY ckey")
+def q_compile_split(spark: SparkSession, d: str) -> DataFrame:
+    t = A.texts(spark, d).filter("shape < 3").groupBy("ckey").agg(F.array_sort(F.collect_list(F.struct("okey", "text"))).alias("p"))
+    whole = t.select("ckey", F.array_join(F.transform("p", lambda x: x["text"]), "\n").alias("text"))
+    return M.split_compilation(whole, ["ckey"]).groupBy("ckey").agg(F.count("*").alias("n_documents"))
+
+
+@query("SELECT categorie, round(count(lieu) / count(*), 3) AS lieu_rate, round(count(jour) / count(*), 3) AS jour_rate, count(*) AS n FROM (SELECT CASE status WHEN 'O' THEN 'loi' WHEN 'F' THEN 'decret' ELSE 'arrete' END AS categorie, CASE WHEN shape < 3 THEN place END AS lieu, CASE WHEN shape < 4 THEN day END AS jour FROM {text}) GROUP BY categorie")
+def q_fill_rate(spark: SparkSession, d: str) -> DataFrame:
+    found = M.simple_documents(A.texts(spark, d), ["okey"])
+    return found.groupBy("categorie").agg(F.round(F.count("lieu") / F.count("*"), 3).alias("lieu_rate"), F.round(F.count("jour") / F.count("*"), 3).alias("jour_rate"), F.count("*").alias("n"))
+
+
+# Topics
+_TOKENS = "list_filter(string_split_regex(trim(regexp_replace(regexp_replace(lower(text), '[-!\"#$%&''()*+,./:;<=>?@\\[\\]^_`{|}~]', ' ', 'g'), '\\s+', ' ', 'g')), ' '), lambda w: w <> '')"
+
+
+@query(f"SELECT token, df FROM (SELECT token, count(*) AS df FROM (SELECT unnest(list_distinct({_TOKENS})) AS token FROM documents) GROUP BY token) WHERE df >= 10 AND df <= 0.5 * (SELECT count(*) FROM documents) AND NOT regexp_matches(token, '\\d')")
+def q_doc_freq(spark: SparkSession, d: str) -> DataFrame:
+    docs = A.load(spark, d, "documents")["documents"].select("doc_id", X.tokens(F.col("text")).alias("tokens"))
+    return ML.vocabulary(docs, 10, 0.5)
+
+
+@query()
+def q_lda(spark: SparkSession, d: str) -> DataFrame:
+    docs = A.load(spark, d, "documents")["documents"].select("doc_id", X.tokens(F.col("text")).alias("tokens"))
+    model, vectors = ML.topic_model(docs, k=6, least=10, most=0.5, rounds=5, max_terms=5000)
+    return ML.best_topics(model, vectors, docs, [f"topic {i}" for i in range(5)] + ["x"]).select("doc_id", F.array_join("best_topics", ",").alias("topics"))
+
+
+@query()
+def q_expr_diff(spark: SparkSession, d: str) -> DataFrame:
+    p = E.pairs(A.load(spark, d, "conversations")["conversations"])
+    return p.select("conv_id", "t", F.explode(E.expressions("raw", "corrected")).alias("expression"))
+
+
+@query()
+def q_fuzzy(spark: SparkSession, d: str) -> DataFrame:
+    closest = E.close_matches(sorted({*R.WORD_RULES.values()}))
+    words = A.texts(spark, d).select(F.explode(F.split("text", r"\s+")).alias("word")).distinct()
+    return words.select("word", F.array_join(closest("word"), ",").alias("matches"))
+
+
+# Manifests
+@query("SELECT okey, CASE WHEN shape < 4 THEN day || ' ' ELSE '' END || ['janvier','février','mars','avril','mai','juin','juillet','août','septembre','octobre','novembre','décembre'][month] || ' ' || year AS date FROM {text}")
+def q_manifest_dates(spark: SparkSession, d: str) -> DataFrame:
+    return A.texts(spark, d).select("okey", J.french_date(F.when(F.col("shape") < 4, F.col("day")), F.col("month"), F.col("year")).alias("date"))
+
+
+@query("SELECT Z_name, coalesce(nullif(concat_ws(', ', CASE WHEN list_contains(states, 'f') THEN 'français' END, CASE WHEN list_contains(states, 'a') THEN 'allemand' END, CASE WHEN list_contains(states, 't') THEN 'italien' END, CASE WHEN list_contains(states, 'l') THEN 'latin' END), ''), '-') AS langues FROM {log}")
+def q_lang_list(spark: SparkSession, d: str) -> DataFrame:
+    return A.log(spark, d).select("Z_name", J.languages(F.col("states")).alias("langues"))
+
+
+@query("SELECT Z_name, coalesce(CAST(interest AS varchar), '-') AS interest, CASE WHEN is_compil IS NULL THEN '-' WHEN is_compil THEN 'oui' ELSE 'non' END AS is_compil FROM {log}")
+def q_manifest_fields(spark: SparkSession, d: str) -> DataFrame:
+    return A.log(spark, d).select("Z_name", J.shown(F.col("interest")).alias("interest"), J.shown(F.col("is_compil"), "boolean").alias("is_compil"))
+
+
+@query("SELECT cote, min(regexp_extract(Z_name, '^([^.]*)', 1)) AS thumbnail, count(*) AS n_canvases FROM {log} WHERE is_included = 1 GROUP BY cote")
+def q_manifests(spark: SparkSession, d: str) -> DataFrame:
+    log = A.log(spark, d).filter("is_included = 1")
+    empty = {c: F.lit(None).cast("string") for c in R.DOCUMENT_LABELS} | {c: F.lit(None).cast("int") for c in ("jour", "mois", "annee")}
+    cotes = L.cote_rollup(log).withColumns(empty)
+    images = log.select("cote", N.image_id(F.col("Z_name")).alias("name"), F.lit(100).alias("width"), F.lit(200).alias("height"), "states")
+    parts = cotes.select("cote", F.lit("1").alias("sous_document"), *empty)
+    made = J.manifests(cotes, images, parts)
+    return made.select("cote", F.get_json_object("manifest", "$.thumbnail").alias("thumbnail"), F.size(F.from_json(F.get_json_object("manifest", "$.sequences[0].canvases"), "array<struct<name:string>>")).cast("long").alias("n_canvases"))
+
+
+# Boxes
+@query("SELECT page_id, count(*) AS n, count(*) FILTER (WHERE area > 0.2 * m AND area < 500000 AND width < 4 * height AND height < 8 * width) AS valid FROM (SELECT *, median(area) OVER (PARTITION BY page_id) AS m FROM {boxes}) GROUP BY page_id")
+def q_valid_boxes(spark: SparkSession, d: str) -> DataFrame:
+    b = A.boxes(spark, d)
+    m = b.groupBy("page_id").agg(F.median("area").alias("m"))
+    return b.join(m, "page_id").groupBy("page_id").agg(F.count("*").alias("n"), F.count_if(B.is_valid(F.col("m"), F.lit(1_000_000))).alias("valid"))
+
+
+@query("SELECT a.page_id, a.box_id, (SELECT arg_min(b.box_id, (b.anchor_x - a.anchor_x - a.width) * 100000 + b.box_id) FROM {boxes} b WHERE b.page_id = a.page_id AND b.box_id <> a.box_id AND b.anchor_x >= a.anchor_x + a.width AND b.anchor_x - a.anchor_x - a.width < a.width AND a.anchor_y < b.anchor_y + b.height AND b.anchor_y < a.anchor_y + a.height) AS right_neighbor FROM {boxes} a")
+def q_neighbors(spark: SparkSession, d: str) -> DataFrame:
+    return B.neighbours(B.with_corners(A.boxes(spark, d)))
+
+
+@query("SELECT page_id, height, min(anchor_x) AS anchor_x, min(anchor_y) AS anchor_y, max(anchor_x + width) AS antipod_x, max(anchor_y + height) AS antipod_y, count(*) AS length, max(anchor_x + width) - min(anchor_x) AS width FROM {boxes} GROUP BY page_id, height")
+def q_box_rollup(spark: SparkSession, d: str) -> DataFrame:
+    b = B.with_corners(A.boxes(spark, d)).withColumnRenamed("height", "word")
+    return B.rollup(b, "word").drop("height").withColumnRenamed("word", "height")
+
+
+@query("SELECT least(a, b) AS a, greatest(a, b) AS b, count(*) AS n FROM (SELECT height AS a, lead(height) OVER (PARTITION BY page_id ORDER BY box_id) AS b FROM {boxes}) WHERE b IS NOT NULL GROUP BY 1, 2")
+def q_bigrams(spark: SparkSession, d: str) -> DataFrame:
+    rows = A.boxes(spark, d).groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct("box_id", "height"))).alias("p"))
+    return B.bigrams(rows.select(F.transform("p", lambda x: x["height"]).alias("v")), "v")
+
+
+_K = B.half_disc(5)
+
+
+@query("WITH h AS (SELECT page_id, height, count(*) AS n FROM {boxes} GROUP BY 1, 2), f AS (SELECT m.page_id, m.height, coalesce(h.n, 0) AS n FROM (SELECT page_id, unnest(range(0, max(height) + 2)) AS height FROM h GROUP BY page_id) m LEFT JOIN h ON h.page_id = m.page_id AND h.height = m.height), s AS (SELECT page_id, height, round(" + " + ".join(f"coalesce({'lag' if i >= 0 else 'lead'}(n, {abs(i)}) OVER w, 0) * {k!r}::double" for i, k in zip(range(-2, 3), _K, strict=True)) + ", 9) AS s FROM f WINDOW w AS (PARTITION BY page_id ORDER BY height)), t AS (SELECT *, coalesce(lag(s) OVER w, 0) AS p, coalesce(lead(s) OVER w, 0) AS q FROM s WINDOW w AS (PARTITION BY page_id ORDER BY height)) SELECT page_id, CAST(height AS int) AS height FROM t WHERE s > p AND s >= q AND s > 0")
+def q_height_peaks(spark: SparkSession, d: str) -> DataFrame:
+    return B.height_peaks(A.boxes(spark, d))
+
+
+@query()
+def q_reading_order(spark: SparkSession, d: str) -> DataFrame:
+    words = B.with_corners(A.boxes(spark, d)).drop("area")
+    return B.reading_order(B.rollup(B.lines(words), "line")).select("page_id", "line", "num")
