@@ -15,22 +15,32 @@ def whole(pattern: str, part_of_word: bool = False) -> str:
     return "(?iU)" + (pattern if part_of_word else rf"\b{pattern}\b")
 
 
-def find(text: Column, pattern: str) -> Column:
+def let(value: Column, f) -> Column:
+    """f(value) with value computed once per row and written once in the plan, however often f uses it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
+def find(text: Column, pattern: str | Column) -> Column:
     """All matches: array of struct(start, end, text). The gaps between matches tell where they stand."""
-    found, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    lengths = lambda a, n: F.aggregate(F.slice(a, F.lit(1), n), F.lit(0), lambda s, x: s + F.length(x))
-    start = lambda i: lengths(gaps, i + 1) + lengths(found, i)
-    return F.transform(found, lambda x, i: F.struct(start(i).alias("start"), (start(i) + F.length(x)).alias("end"), x.alias("text")))
-
-
-def cascade(text: Column, levels: list[tuple[str, str]]) -> tuple[Column, Column]:
-    """(code, matches) of the first level whose pattern occurs; the matches of other levels aren't computed."""
-    code, matches = F.lit("no_match"), F.lit(None).cast("array<struct<start:int,end:int,text:string>>")
-    for name, pattern in reversed(levels):
-        code = F.when(text.rlike(pattern), F.lit(name)).otherwise(code)
-    for name, pattern in reversed(levels):
-        matches = F.when(code == name, find(text, pattern)).otherwise(matches)
-    return code, matches
+    p = F.lit(pattern) if isinstance(pattern, str) else pattern
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,text:string>>").alias("out"))
+
+    def step(s: Column, x: Column) -> Column:
+        start = s["at"] + F.length(x["gap"])
+        match = F.struct(start.alias("start"), (start + F.length(x["m"])).alias("end"), x["m"].alias("text"))
+        return F.struct((start + F.length(x["m"])).alias("at"), F.concat(s["out"], F.array(match)).alias("out"))
+
+    pairs = F.zip_with(F.regexp_extract_all(text, p, F.lit(0)), F.split(text, p, -1), lambda m, gap: F.struct(m.alias("m"), gap.alias("gap")))
+    return F.aggregate(F.filter(pairs, lambda x: x["m"].isNotNull()), zero, step)["out"]
+
+
+def cascade(text: Column, levels: list[tuple[str, str]]) -> Column:
+    """struct(code, matches) of the first level whose pattern occurs; only that level's matches are computed."""
+    level = F.lit(len(levels))
+    for i, (_, pattern) in reversed(list(enumerate(levels))):
+        level = F.when(text.rlike(pattern), F.lit(i)).otherwise(level)
+    codes, patterns = F.array(*[F.lit(c) for c, _ in levels]), F.array(*[F.lit(p) for _, p in levels])
+    return let(level, lambda i: F.struct(F.coalesce(F.get(codes, i), F.lit("no_match")).alias("code"), F.when(i < len(levels), find(text, F.get(patterns, i))).alias("matches")))
 
 
 def first(matches: Column) -> Column:

@@ -43,9 +43,12 @@ DATE_LEVELS = [
 
 def dates(text: Column) -> tuple[Column, Column]:
     """(code, matches) of the date cascade; a partial date alone counts only if all its matches read alike."""
-    code, matches = S.cascade(one_line(text), [(c, S.whole(p)) for c, p in DATE_LEVELS])
-    alike = (code != "date_partielle_unique") | (F.size(F.array_distinct(F.transform(matches, lambda m: m["text"]))) == 1)
-    return F.when(alike, code).otherwise("no_match"), F.when(alike, matches)
+    def decide(c: Column) -> Column:
+        alike = (c["code"] != "date_partielle_unique") | (F.size(F.array_distinct(F.transform(c["matches"], lambda m: m["text"]))) == 1)
+        return F.struct(F.when(alike, c["code"]).otherwise("no_match").alias("code"), F.when(alike, c["matches"]).alias("matches"))
+
+    got = S.let(S.cascade(one_line(text), [(c, S.whole(p)) for c, p in DATE_LEVELS]), decide)
+    return got["code"], got["matches"]
 
 
 def republican_to_gregorian(year: Column, month: Column, day: Column) -> Column:
@@ -56,17 +59,22 @@ def republican_to_gregorian(year: Column, month: Column, day: Column) -> Column:
 
 def date_parts(date_text: Column) -> Column:
     """struct(day, month, year) of a text that holds a date; day and month may be null."""
-    t = F.lower(date_text)
-    full, partial = found(t, S.whole(FULL_DATE)), found(t, S.whole(MONTH_YEAR))
-    best = F.coalesce(full, partial, t)
-    month_name = F.when(full.isNotNull() | partial.isNotNull(), found(best, rf"\b({MONTH})\b", 1))
-    month = F.element_at(F.create_map(*[F.lit(x) for p in MONTH_NUMBERS.items() for x in p]), month_name)
-    day = F.when(full.isNotNull(), found(best, r"^(\d\d?)", 1).cast("int"))
-    is_republican = F.coalesce(month_name.isin(R.REPUBLICAN_MONTHS), F.lit(False))
-    year = F.when(is_republican, found(best, r"\b(\d+)$", 1)).otherwise(found(best, r"\b(\d\d\d\d)$", 1)).cast("int")
-    other = republican_to_gregorian(year, month, F.coalesce(day, F.lit(15)))
-    pick = lambda a, b: F.when(is_republican, a).otherwise(b)
-    return F.struct(F.when(day.isNotNull(), pick(F.dayofmonth(other), day)).alias("day"), pick(F.month(other), month).alias("month"), pick(F.year(other), year).alias("year"))
+    numbers = F.create_map(*[F.lit(x) for p in MONTH_NUMBERS.items() for x in p])
+
+    def parts(d: Column) -> Column:
+        best = F.coalesce(d["full"], d["partial"], d["t"])
+        name = F.when(d["full"].isNotNull() | d["partial"].isNotNull(), found(best, rf"\b({MONTH})\b", 1))
+        old = F.coalesce(name.isin(R.REPUBLICAN_MONTHS), F.lit(False))
+        year = F.when(old, found(best, r"\b(\d+)$", 1)).otherwise(found(best, r"\b(\d\d\d\d)$", 1)).cast("int")
+        return F.struct(F.when(d["full"].isNotNull(), found(best, r"^(\d\d?)", 1).cast("int")).alias("day"), F.element_at(numbers, name).alias("month"), year.alias("year"), old.alias("old"))
+
+    def modern(p: Column) -> Column:
+        other = republican_to_gregorian(p["year"], p["month"], F.coalesce(p["day"], F.lit(15)))
+        of = lambda f, x: F.when(p["old"], f(other)).otherwise(x)
+        return F.struct(F.when(p["day"].isNotNull(), of(F.dayofmonth, p["day"])).alias("day"), of(F.month, p["month"]).alias("month"), of(F.year, p["year"]).alias("year"))
+
+    read = S.let(F.lower(date_text), lambda t: F.struct(t.alias("t"), found(t, S.whole(FULL_DATE)).alias("full"), found(t, S.whole(MONTH_YEAR)).alias("partial")))
+    return S.let(S.let(read, parts), modern)
 
 
 def filename_date(name: Column) -> Column:
@@ -80,7 +88,7 @@ def filename_date(name: Column) -> Column:
 # Places
 def place_in_date(date_text: Column) -> Column:
     near = F.coalesce(found(date_text, S.whole(f"({PLACE}) {BEFORE}?{FULL_DATE}"), 1), found(date_text, S.whole(f"({PLACE}) (?:en )?{MONTH_YEAR}"), 1), found(date_text, S.whole(f"^({PLACE})"), 1))
-    return lookup(F.lower(near), R.PLACE_SPELLINGS)
+    return S.let(F.lower(near), lambda x: lookup(x, R.PLACE_SPELLINGS))
 
 
 PLACE_LEVELS = [("Fait_a+lieu_seul", rf"fait (?:en {S.group(R.CHAMBERS)} )?a ({PLACE})"), ("lieu_impression", rf"({PLACE}) imprimerie|a ({PLACE}) chez")]
@@ -91,7 +99,7 @@ def place_in_text(text: Column) -> tuple[Column, Column]:
     made = found(text, S.whole(PLACE_LEVELS[0][1]), 1)
     printed = F.coalesce(found(text, S.whole(PLACE_LEVELS[1][1]), 1), found(text, S.whole(PLACE_LEVELS[1][1]), 2))
     code = F.when(made.isNotNull(), PLACE_LEVELS[0][0]).when(printed.isNotNull(), PLACE_LEVELS[1][0]).otherwise("no_match")
-    return code, lookup(F.lower(F.coalesce(made, printed)), R.PLACE_SPELLINGS)
+    return code, S.let(F.lower(F.coalesce(made, printed)), lambda x: lookup(x, R.PLACE_SPELLINGS))
 
 
 # Titles
@@ -128,10 +136,12 @@ PRINTER_LEVELS = [
 
 def printer(text: Column) -> tuple[Column, Column]:
     """(code, printer): the last match of the first level, by its shortest-first unique name."""
-    code, matches = S.cascade(text, [(c, S.whole(p)) for c, p in PRINTER_LEVELS])
-    got = F.lower(S.last(matches)["text"])
-    name = F.when(code == "nom_imprimeur", S.unique(got, S.group(_names))).otherwise(S.unique(got, S.group(_titles)))
-    return code, lookup(name, R.PRINTER_SPELLINGS)
+    def name(c: Column) -> Column:
+        by = lambda x: F.when(c["code"] == "nom_imprimeur", S.unique(x, S.group(_names))).otherwise(S.unique(x, S.group(_titles)))
+        return F.struct(c["code"].alias("code"), S.let(F.lower(S.last(c["matches"])["text"]), lambda x: S.let(by(x), lambda n: lookup(n, R.PRINTER_SPELLINGS))).alias("name"))
+
+    got = S.let(S.cascade(text, [(c, S.whole(p)) for c, p in PRINTER_LEVELS]), name)
+    return got["code"], got["name"]
 
 
 # Signatures
@@ -152,17 +162,24 @@ def signature(text: Column, mode: str = "principal") -> tuple[Column, Column, Co
     """(code, matches, function, name) of the last signature; a one-line signature gives its code but no parts."""
     grand, function, small = signature_patterns(R.SIGNATORIES if mode == "principal" else R.SECRETARIES)
     grand, small = S.whole(grand, True), S.whole(small, True)
-    named = F.filter(S.find(text, grand), lambda m: ~F.lower(F.regexp_extract(m["text"], grand, 2)).isin(R.NO_NAMES))
     alone = S.whole(S.group([function, INSTITUTION]), True)
-    code = F.when(F.size(named) > 0, "grande_signature")
-    if mode == "principal":
-        code = code.when(text.rlike(alone), "signature_institution")
-    code = code.when(text.rlike(small), "petite signature").otherwise("no_match")
-    matches = F.when(code == "grande_signature", named).when(code == "signature_institution", S.find(text, alone)).when(code == "petite signature", S.find(text, small))
-    got = S.last(matches)["text"]
-    who = F.when(code == "grande_signature", _clean(F.regexp_extract(got, grand, 2)))
-    what = F.when(code == "grande_signature", _clean(F.regexp_extract(got, grand, 1))).when(code == "signature_institution", _clean(got))
-    return code, matches, what, who
+
+    def decide(named: Column) -> Column:
+        code = F.when(F.size(named) > 0, F.lit("grande_signature"))
+        if mode == "principal":
+            code = code.when(text.rlike(alone), "signature_institution")
+        code = code.when(text.rlike(small), "petite signature").otherwise("no_match")
+        return S.let(code, lambda c: F.struct(c.alias("code"), F.when(c == "grande_signature", named).when(c == "signature_institution", S.find(text, alone)).when(c == "petite signature", S.find(text, small)).alias("matches")))
+
+    def parts(c: Column) -> Column:
+        got = S.last(c["matches"])["text"]
+        who = F.when(c["code"] == "grande_signature", _clean(F.regexp_extract(got, grand, 2)))
+        what = F.when(c["code"] == "grande_signature", _clean(F.regexp_extract(got, grand, 1))).when(c["code"] == "signature_institution", _clean(got))
+        return F.struct(c["code"].alias("code"), c["matches"].alias("matches"), what.alias("what"), who.alias("who"))
+
+    named = F.filter(S.find(text, grand), lambda m: ~F.lower(F.regexp_extract(m["text"], grand, 2)).isin(R.NO_NAMES))
+    got = S.let(S.let(named, decide), parts)
+    return got["code"], got["matches"], got["what"], got["who"]
 
 
 # Categories
@@ -171,8 +188,9 @@ CATEGORY_LEVELS = [("name", "(?:^|\n)(?:Projet d(?:e |'))?" + S.group(R.CATEGORI
 
 def category(text: Column) -> tuple[Column, Column, Column]:
     """(code, matches, category): the first match of the first level."""
-    code, matches = S.cascade(text, [(c, S.whole(p)) for c, p in CATEGORY_LEVELS])
-    return code, matches, lookup(F.btrim(F.lower(S.first(matches)["text"]), F.lit("\n")), R.CATEGORY_FORMS)
+    got = S.cascade(text, [(c, S.whole(p)) for c, p in CATEGORY_LEVELS])
+    kind = F.btrim(F.lower(S.first(got["matches"])["text"]), F.lit("\n"))
+    return got["code"], got["matches"], S.let(kind, lambda k: lookup(k, R.CATEGORY_FORMS))
 
 
 # Topics
