@@ -5,6 +5,7 @@ from __future__ import annotations
 import html as entities
 import re
 from collections.abc import Iterator
+from os.path import commonprefix
 
 import pyarrow as pa
 import xxhash
@@ -117,9 +118,14 @@ def shared(mine: list[int], theirs: list[int]) -> set[int]:
     return found
 
 
-def differenced(texts: list[str], hashes: list[int], other: list[int] | None) -> str:
-    """The lines less those that the nearest page shares; a page that is no more than its neighbour stays whole."""
-    gone = shared(hashes, other) if other else set()
+def differenced(texts: list[str], hashes: list[int], path: str, after: dict | None, before: dict | None) -> str:
+    """The lines less those that the nearest page shares; a page that is no more than its neighbour stays whole.
+
+    Of the pages next in path order, that with the longer common start of the path is nearest.
+    """
+    beside = [x for x in (after, before) if x]
+    near = max(beside, key=lambda x: len(commonprefix([path, x["path"]])), default=None)
+    gone = shared(hashes, near["hashes"]) if near else set()
     left = [t for i, t in enumerate(texts) if i not in gone]
     return "\n".join(left or texts)
 
@@ -130,8 +136,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     Null or empty html gives an empty text; a null url stands alone. Where markup names the
     article (article or main, less menus, notices, forms, comments and the like inside it),
     its blocks are the text. Elsewhere the unmarked lines are differenced: pages are paired
-    with the page of the nearest other path of their host (the next in path order, else the
-    one before), text lines are aligned by longest common subsequence, and shared lines go. A
+    with the page of the nearest other path of their host (of the next and the one before in
+    path order, that with the longer common start), text lines are aligned by longest common subsequence, and shared lines go. A
     page whose lines are all shared is a copy and stays whole. Rows that repeat repeat.
     Line hashes only are shuffled for pages whose article is marked.
     """
@@ -153,7 +159,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
     def difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [differenced(*row) for row in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True)]
+            texts = [differenced(*row) for row in zip(*(batch.column(i).to_pylist() for i in range(2, 7)), strict=True)]
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["_id", "_url", "_text"])
 
     rows = spread(pages.select(F.col(id_col).cast("long").alias("_id"), F.col(url_col).alias("_url"), F.col(html_col).alias("_html")))
@@ -163,10 +169,10 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     paths = ranked(paths, ["_host", "_path"], "paths")
     loose = placed.filter("_lines is not null")
     own = loose.join(paths.select("_host", "_path", "_rank"), ["_host", "_path"], "left")
-    beside = paths.select(F.col("_host").alias("_h1"), F.col("_rank").alias("_r1"), F.col("_hashes").alias("_after"))
-    before = paths.select(F.col("_host").alias("_h0"), F.col("_rank").alias("_r0"), F.col("_hashes").alias("_before"))
+    beside = paths.select(F.col("_host").alias("_h1"), F.col("_rank").alias("_r1"), F.struct(F.col("_path").alias("path"), F.col("_hashes").alias("hashes")).alias("_after"))
+    before = paths.select(F.col("_host").alias("_h0"), F.col("_rank").alias("_r0"), F.struct(F.col("_path").alias("path"), F.col("_hashes").alias("hashes")).alias("_before"))
     own = own.join(beside, (F.col("_r1") == F.col("_rank") + 1) & (F.col("_h1") == F.col("_host")), "left").join(before, (F.col("_r0") == F.col("_rank") - 1) & (F.col("_h0") == F.col("_host")), "left")
-    done = own.select("_id", "_url", "_lines", "_hashes", F.coalesce("_after", "_before").alias("_other")).mapInArrow(difference, "_id long, _url string, _text string")
+    done = own.select("_id", "_url", "_lines", "_hashes", F.coalesce("_path", F.lit("")).alias("_path"), "_after", "_before").mapInArrow(difference, "_id long, _url string, _text string")
     out = rows.filter("_lines is null").select("_id", "_url", "_text").unionByName(done)
     return out.select(F.col("_id").alias(id_col), F.col("_url").alias(url_col), F.col("_text").alias("text"), F.length("_text").cast("long").alias("n_chars"))
 
