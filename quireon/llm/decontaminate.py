@@ -49,6 +49,7 @@ class Index:
         self.sampled = [sorted(rng.choice(STEPS, SAMPLED, replace=False).tolist()) for _ in range(REPEATS)]
         self.coded = [np.array([self.vocab[w] for w in ws], np.int64) for _, ws in self.items]
         self.at: dict[int, list[tuple[int, int]]] = defaultdict(list)  # signature: (item, position)
+        self.local = [[frozenset(c[o : o + NEAR].tolist()) for o in range(len(c) - NEAR + 1)] for c in self.coded]
         self.short: dict[bytes, list[int]] = defaultdict(list)
         for k, codes in enumerate(self.coded):
             if len(codes) < NEAR:
@@ -84,13 +85,16 @@ class Index:
         if len(ws) >= NEAR and self.at:
             starts = np.flatnonzero((known[NEAR:] - known[:-NEAR] >= KNOWN) & (codes[: len(codes) - NEAR + 1] > 0))
             tried: set[tuple[int, int]] = set()
+            listed = codes.tolist()
             for r in range(REPEATS if len(starts) else 0):
                 sig = self.signatures(codes, starts, r)
                 for x in np.flatnonzero(self.bits[(sig >> np.uint64(42)).astype(np.int64)]):
+                    s = int(starts[x])
                     for k, o in self.at.get(int(sig[x]), ()):
-                        if (k, int(starts[x]) - o) not in tried:
-                            tried.add((k, int(starts[x]) - o))
-                            self.verify(k, int(starts[x]) - o, codes, known, found)
+                        near = self.local[k][o]  # most words next to a true meeting point are the item's
+                        if (k, s - o) not in tried and 4 * len(near.intersection(listed[s : s + NEAR])) >= 3 * len(near):
+                            tried.add((k, s - o))
+                            self.verify(k, s - o, codes, known, found)
         if self.short and len(ws):
             sizes = {s.count(b" ") + 1 for s in self.short}
             for size in sizes:
