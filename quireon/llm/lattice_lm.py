@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import hot_join, id_remainder, read, spread, table, words
+from .common import hot_join, id_remainder, read, table, words
 from .token_counts import tokenizer_path
 
 #: Chance that a spelling ends after a piece, and share of the base measure that the end of a text has.
@@ -92,7 +92,8 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p
     The model is a table with a row per distinct word; frequent words (bounded in number) meet
     their tokens by broadcast, rare ones by a shuffle on the word.
     """
-    rows = spread(docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))).select(F.monotonically_increasing_id().alias("_row"), "_id", F.coalesce(id_remainder("_id", 5) == 1, F.lit(False)).alias("_held"), words(F.col("_text")).alias("_words"))
+    # No repartition before the row number: it would deal rows out by their pruned columns, differently in each branch.
+    rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text")).select(F.monotonically_increasing_id().alias("_row"), "_id", F.coalesce(id_remainder("_id", 5) == 1, F.lit(False)).alias("_held"), words(F.col("_text")).alias("_words"))
     tokens = rows.select("_row", "_held", F.explode("_words").alias("word"))
     counted = tokens.groupBy("word").agg(F.sum((~F.col("_held")).cast("long")).alias("c"), F.count("*").alias("n"))
     heads = rows.agg(F.sum((~F.col("_held")).cast("long"))).first()[0] or 0
