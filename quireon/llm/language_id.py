@@ -46,6 +46,15 @@ def trigrams(word: str) -> list[str]:
     return [padded[i : i + 3] for i in range(len(padded) - 2)]
 
 
+def points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.int64)
+
+
+def keys_of(codes: np.ndarray) -> np.ndarray:
+    """A key of the trigram at every position (code points have 21 bits)."""
+    return (codes[:-2] << 42) | (codes[1:-1] << 21) | codes[2:]
+
+
 class Model:
     """Trigram log-probabilities by language, and which languages use which script."""
 
@@ -58,68 +67,116 @@ class Model:
             table_[tri][at[lang]] += n
             used[script(tri[1])][at[lang]] += n
         total = sum(table_.values(), np.zeros(k)) + 0.5 * (len(table_) + 1)
-        self.scores = {tri: np.log((c + 0.5) / total) for tri, c in table_.items()}
-        self.unseen = np.log(0.5 / total)
+        keys = keys_of(points("".join(table_)))[::3] if table_ else np.empty(0, np.int64)
+        order = np.argsort(keys)
+        self.keys = np.append(keys[order], np.iinfo(np.int64).max)
+        scores = [np.log((c + 0.5) / total) for c in table_.values()]
+        self.scores = np.array([*(scores[i] for i in order), np.log(0.5 / total)])  # the last row is for unseen ones
         whole = sum(used.values(), np.zeros(k)) + 1e-9
         self.allowed = {s: c / whole > 0.01 for s, c in used.items()}
-        self.memo: dict[str, np.ndarray] = {}
-
-    def score(self, word: str) -> np.ndarray:
-        """Log-likelihood of a word by language, over its best; languages that don't write its script are far behind."""
-        got = self.memo.get(word)
-        if got is None:
-            if len(self.memo) > MEMO:
-                self.memo.clear()
-            got = sum([self.scores.get(t, self.unseen) for t in trigrams(word)])
-            allowed = self.allowed.get(script(word[0]))
-            if allowed is None or not allowed.any():
-                got = np.zeros(len(self.langs))  # a script that no learned language uses tells nothing
-            else:
-                got = np.where(allowed, np.maximum(got - got[allowed].max(), -20.0), -20.0)
-            self.memo[word] = got
-        return got
-
-    def spans(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Each word's language by the best path of scores less SWITCH a change, and the scores."""
-        s = np.array([self.score(w) for w in found])
-        best = int(s.sum(0).argmax())
-        # No other path wins if no stretch of words gains more than one change costs.
-        gain = np.cumsum((s - s[:, [best]]).max(1))
-        if (gain - np.minimum.accumulate(np.append(0.0, gain[:-1]))).max() <= SWITCH:
-            return np.full(len(found), best), s
-        return viterbi(s, SWITCH), s
-
-    def predict(self, text: str, words_of) -> tuple[str, float, list[tuple[str, int]]]:
-        """Language with most letters, its share of letters times its posterior, and (language, words) of each span."""
-        found = words_of(text.lower())
-        if not found or not self.langs:
-            return "und", 0.0, []
-        path, s = self.spans(found)
-        letters = np.bincount(path, weights=[len(w) for w in found], minlength=len(self.langs))
-        pred = int(letters.argmax())
-        mine = s[path == pred].sum(0)
-        odds = np.exp(np.clip(mine - mine[pred], -50, 50)).sum()
-        cuts = np.flatnonzero(np.diff(path)) + 1
-        edges = [0, *cuts.tolist(), len(path)]
-        spans = [(self.langs[path[a]], b - a) for a, b in zip(edges, edges[1:], strict=False)]
-        return self.langs[pred], float(letters[pred] / letters.sum() / max(odds, 1.0)), spans
-
-
-def viterbi(s: np.ndarray, switch: float) -> np.ndarray:
-    """The path through s (words x languages) of the largest sum, where each change costs switch; ties keep the language."""
-    n, k = s.shape
-    back = np.empty((n, k), np.int32)
-    best, own = s[0].copy(), np.arange(k)
-    for t in range(1, n):
-        top = int(best.argmax())
-        stay = best >= best[top] - switch
-        back[t] = np.where(stay, own, top)
-        best = np.where(stay, best, best[top] - switch) + s[t]
-    path = np.empty(n, np.int64)
-    path[-1] = best.argmax()
-    for t in range(n - 1, 0, -1):
-        path[t - 1] = back[t, path[t]]
-    return path
+        self.fits: dict[str, np.ndarray] = {}  # by first letter
+        self.memo: dict[str, int] = {}  # word: its row
+        self.rows = np.empty((0, k))
+
+    def first(self, letter: str) -> np.ndarray:
+        """Languages that write a letter's script; none, where no learned language does."""
+        if letter not in self.fits:
+            self.fits[letter] = self.allowed.get(script(letter), np.zeros(len(self.langs), bool))
+        return self.fits[letter]
+
+    def score(self, found: list[str]) -> np.ndarray:
+        """Log-likelihood of words by language, over their best; languages that don't write their script are far behind."""
+        codes = points("".join([f"^{w}$" for w in found]))
+        sizes = np.array([len(w) + 2 for w in found])
+        starts = np.cumsum(sizes) - sizes
+        keys = np.append(keys_of(codes), [-1, -1])
+        at = np.searchsorted(self.keys, keys)
+        got = self.scores[np.where(self.keys[at] == keys, at, len(self.scores) - 1)]
+        got[starts + sizes - 1] = got[starts + sizes - 2] = 0.0  # trigrams over a word's end
+        got = np.add.reduceat(got, starts)
+        allowed = np.array([self.first(w[0]) for w in found])
+        top = np.where(allowed, got, -np.inf).max(1, keepdims=True)
+        known = allowed.any(1, keepdims=True)  # a script that no learned language uses tells nothing
+        return np.where(known, np.where(allowed, np.maximum(got - np.where(known, top, 0.0), -20.0), -20.0), 0.0)
+
+    def learn(self, docs: list[list[str]]) -> None:
+        """Score each distinct new word of the documents once."""
+        if len(self.memo) > MEMO:
+            self.memo, self.rows = {}, self.rows[:0]
+        new = list(set().union(*docs).difference(self.memo))
+        if new and self.langs:
+            self.memo.update(zip(new, range(len(self.rows), len(self.rows) + len(new)), strict=True))
+            self.rows = np.concatenate([self.rows, self.score(new)])
+
+    def paths(self, docs: list[list[str]]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Each document's languages by word, along the best path of scores less SWITCH a change, and the scores."""
+        out, hard = [], []
+        for found in docs:
+            s = self.rows[list(map(self.memo.__getitem__, found))]
+            best = int(s.sum(0).argmax())
+            # No other path wins if no stretch of words gains more than one change costs.
+            gain = np.cumsum((s - s[:, best : best + 1]).max(1))
+            if len(s) and (gain - np.minimum.accumulate(np.append(0.0, gain[:-1]))).max() > SWITCH:
+                hard.append(len(out))
+            out.append((np.full(len(found), best), s))
+        for i, path in zip(hard, viterbi([out[i][1] for i in hard], SWITCH), strict=True):
+            out[i] = (path, out[i][1])
+        return out
+
+    def predict(self, docs: list[list[str]]) -> list[tuple[str, float, list[tuple[str, int]]]]:
+        """Of each document: language with most letters, its share of letters times its posterior, and (language, words) of each span."""
+        if not self.langs:
+            return [("und", 0.0, [])] * len(docs)
+        self.learn(docs)
+        out = []
+        for found, (path, s) in zip(docs, self.paths(docs), strict=True):
+            if not found:
+                out.append(("und", 0.0, []))
+                continue
+            letters = np.bincount(path, weights=list(map(len, found)), minlength=len(self.langs))
+            pred = int(letters.argmax())
+            mine = s[path == pred].sum(0)
+            odds = np.exp(np.clip(mine - mine[pred], -50, 50)).sum()
+            cuts = np.flatnonzero(np.diff(path)) + 1
+            edges = [0, *cuts.tolist(), len(path)]
+            spans = [(self.langs[path[a]], b - a) for a, b in zip(edges, edges[1:], strict=False)]
+            out.append((self.langs[pred], float(letters[pred] / letters.sum() / max(odds, 1.0)), spans))
+        return out
+
+
+def viterbi(scores: list[np.ndarray], switch: float) -> list[np.ndarray]:
+    """Of each document the path through its scores (words x languages) of the largest sum, where each change costs switch.
+
+    Ties keep the language. All documents take a step at once, the longest first, so that those at work are a prefix.
+    """
+    if not scores:
+        return []
+    order = sorted(range(len(scores)), key=lambda i: -len(scores[i]))
+    sizes = np.array([len(scores[i]) for i in order])
+    s = np.concatenate([scores[i] for i in order])
+    starts = np.cumsum(sizes) - sizes
+    active = np.searchsorted(-sizes, -np.arange(sizes[0]), "left").tolist()  # documents with more than t words
+    back = np.empty(s.shape, np.int32)
+    best, own, rows = s[starts].copy(), np.arange(s.shape[1]), np.arange(len(sizes))
+    for t in range(1, sizes[0]):
+        a = active[t]
+        b, at = best[:a], starts[:a] + t
+        top = b.argmax(1)
+        least = b[rows[:a], top][:, None] - switch
+        stay = b >= least
+        back[at] = np.where(stay, own, top[:, None])
+        best[:a] = np.where(stay, b, least) + s[at]
+    path, now = np.empty(len(s), np.int64), best.argmax(1)
+    path[starts + sizes - 1] = now
+    for t in range(sizes[0] - 1, 0, -1):
+        a = active[t]
+        at = starts[:a] + t
+        now[:a] = back[at, now[:a]]
+        path[at - 1] = now[:a]
+    out = [path[:0]] * len(scores)
+    for i, start, n in zip(order, starts.tolist(), sizes.tolist(), strict=True):
+        out[i] = path[start : start + n]
+    return out
 
 
 def word_finder():
@@ -166,7 +223,7 @@ def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         for batch in batches:
             for start in range(0, batch.num_rows, 1024):
                 part = batch.slice(start, 1024)
-                got = [m.predict(t or "", find) for t in part.column(2).to_pylist()]
+                got = m.predict([find((t or "").lower()) for t in part.column(2).to_pylist()])
                 columns = [part.column(0), part.column(1), pa.array([g[0] for g in got]), pa.array([min(1.0, g[1]) for g in got])]
                 if spans:
                     columns.append(pa.array([[{"lang": a, "words": b} for a, b in g[2]] for g in got], pa.list_(pa.struct([("lang", pa.string()), ("words", pa.int32())]))))
