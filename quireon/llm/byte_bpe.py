@@ -15,11 +15,12 @@ from pyspark.sql import functions as F
 from .common import read, spread
 from .token_counts import spelled, tokenizer_path
 
-#: Distinct pre-tokens that a worker keeps before it starts anew; bounds its memory, not the result.
-MEMO = 250_000
+#: Distinct pre-tokens, and chunks of them, that a worker keeps; beyond, it keeps those that the batch
+#: in hand holds too. Bounds its memory, not the result.
+MEMO = 400_000
 #: Pre-tokens that one recursive query contracts, and the bytes of the longest of them; longer ones
 #: (runs of one symbol, say) would take a pass per merge and go through the heap, with the same result.
-QUERY_WORDS, QUERY_BYTES = 20_000, 192
+QUERY_WORDS, QUERY_BYTES = 40_000, 192
 _loaded: dict[str, Codec] = {}
 
 #: One pass per merge: token-position rows (with the position and token that follow) join the merge
@@ -87,6 +88,7 @@ class Codec:
                 self.pieces[p] = (" ".join(map(str, ids)), b"".join([self.bytes_of[i] for i in ids]))
             else:
                 todo.append((p, raw))
+        todo.sort(key=lambda x: len(x[1]))  # a query takes as many passes as its longest word
         for at in range(0, len(todo), QUERY_WORDS):
             part = todo[at : at + QUERY_WORDS]
             sizes = np.array([len(raw) for _, raw in part])
@@ -132,16 +134,24 @@ class Codec:
         No pre-token reaches over a single space between two other characters, so what stands
         between such spaces is looked up whole.
         """
-        if len(self.pieces) > MEMO or len(self.ids) > 2 * MEMO:
-            self.pieces, self.ids, self.decoded = {}, {}, {}
         chunked = [self.chunks(t) for t in texts]
-        new = set().union(*chunked).difference(self.ids)
+        seen = set().union(*chunked)
+        if len(self.ids) > MEMO:
+            kept = seen.intersection(self.ids)
+            self.ids, self.decoded = {c: self.ids[c] for c in kept}, {c: self.decoded[c] for c in kept}
+        new = seen.difference(self.ids)
         tied = {c for c in new if self.open(c)}
         fresh = {c: self.split(c) for c in new - tied}
         whole = {i: self.split(t) for i, t in enumerate(texts) if tied and not tied.isdisjoint(chunked[i])}
-        self.learn(set().union(*fresh.values(), *whole.values()).difference(self.pieces))
+        needed = set().union(*fresh.values(), *whole.values())
+        if len(self.pieces) > MEMO:
+            self.pieces = {p: self.pieces[p] for p in needed.intersection(self.pieces)}
+        self.learn(needed.difference(self.pieces))
         pieces = self.pieces
         for c, parts in fresh.items():
+            if len(parts) == 1:
+                self.ids[c], self.decoded[c] = pieces[parts[0]]
+                continue
             got = [pieces[p] for p in parts]
             self.ids[c], self.decoded[c] = " ".join([g[0] for g in got]), b"".join([g[1] for g in got])
         out = []
