@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import gc
 import heapq
 from collections.abc import Iterator
 from hashlib import sha256
@@ -69,9 +70,9 @@ class Codec:
         self.put("merges", l=pa.array(l, pa.int32()), r=pa.array(r, pa.int32()), id=pa.array(ids, pa.int64()))
         self.put("vocab", id=pa.array(list(self.bytes_of), pa.int64()), bytes=pa.array([b.hex() for b in self.bytes_of.values()]))
         self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
-        self.pieces: dict[str, tuple[str, bytes]] = {}  # pre-token: ids as text, decoded bytes
+        self.pieces: dict[str, str] = {}  # pre-token: ids as text
         self.ids: dict[str, str] = {}  # chunk between two single spaces: ids as text
-        self.decoded: dict[str, bytes] = {}
+        self.odd: dict[str, bytes] = {}  # what those pre-tokens and chunks decode to that don't decode to themselves
 
     def put(self, name: str, **columns: pa.Array) -> None:
         self.con.register("incoming", pa.table(columns))
@@ -85,7 +86,7 @@ class Codec:
             raw = p.encode()
             if len(raw) > QUERY_BYTES:
                 ids = self.by_heap(raw)
-                self.pieces[p] = (" ".join(map(str, ids)), b"".join([self.bytes_of[i] for i in ids]))
+                self.keep(p, raw, " ".join(map(str, ids)), b"".join([self.bytes_of[i] for i in ids]))
             else:
                 todo.append((p, raw))
         todo.sort(key=lambda x: len(x[1]))  # a query takes as many passes as its longest word
@@ -100,7 +101,12 @@ class Codec:
             self.put("start", w=pa.array(np.repeat(np.arange(len(part), dtype=np.int32), sizes)), pos=pa.array(pos), after=pa.array(pos + 1), tok=pa.array(tok), follows=pa.array(follows))
             got = self.con.sql(CONTRACT).to_arrow_table()
             for i, ids, decoded in zip(*(got.column(k).to_pylist() for k in range(3)), strict=True):
-                self.pieces[part[i][0]] = (ids, bytes.fromhex(decoded))
+                self.keep(*part[i], ids, bytes.fromhex(decoded))
+
+    def keep(self, piece: str, raw: bytes, ids: str, decoded: bytes) -> None:
+        self.pieces[piece] = ids
+        if decoded != raw:
+            self.odd[piece] = decoded
 
     def by_heap(self, raw: bytes) -> list[int]:
         """The same contraction for a very long pre-token, with a heap of (rank, position)."""
@@ -132,13 +138,13 @@ class Codec:
         """(n tokens, ids as text, decoded bytes) of each text.
 
         No pre-token reaches over a single space between two other characters, so what stands
-        between such spaces is looked up whole.
+        between such spaces is looked up whole. A text decodes to its chunks' decoded bytes in
+        order; only chunks that decode to other bytes than their own are kept apart for that.
         """
         chunked = [self.chunks(t) for t in texts]
         seen = set().union(*chunked)
         if len(self.ids) > MEMO:
-            kept = seen.intersection(self.ids)
-            self.ids, self.decoded = {c: self.ids[c] for c in kept}, {c: self.decoded[c] for c in kept}
+            self.ids = {c: self.ids[c] for c in seen.intersection(self.ids)}
         new = seen.difference(self.ids)
         tied = {c for c in new if self.open(c)}
         fresh = {c: self.split(c) for c in new - tied}
@@ -146,24 +152,30 @@ class Codec:
         needed = set().union(*fresh.values(), *whole.values())
         if len(self.pieces) > MEMO:
             self.pieces = {p: self.pieces[p] for p in needed.intersection(self.pieces)}
+        if len(self.odd) > MEMO:
+            self.odd = {c: self.odd[c] for c in self.odd.keys() & (seen | needed)}
         self.learn(needed.difference(self.pieces))
-        pieces = self.pieces
+        pieces, odd, ids_of = self.pieces, self.odd, self.ids
         for c, parts in fresh.items():
-            if len(parts) == 1:
-                self.ids[c], self.decoded[c] = pieces[parts[0]]
-                continue
-            got = [pieces[p] for p in parts]
-            self.ids[c], self.decoded[c] = " ".join([g[0] for g in got]), b"".join([g[1] for g in got])
+            ids_of[c] = pieces[parts[0]] if len(parts) == 1 else " ".join([pieces[p] for p in parts])
+            if (decoded := self.decode(c, parts)) is not None:
+                odd[c] = decoded
         out = []
-        for i, chunks in enumerate(chunked):
+        for i, (text, chunks) in enumerate(zip(texts, chunked, strict=True)):
             if i in whole:
-                got = [pieces[p] for p in whole[i]]
-                ids, decoded = " ".join([g[0] for g in got]), b"".join([g[1] for g in got])
+                ids, decoded = " ".join([pieces[p] for p in whole[i]]), self.decode(text, whole[i])
             else:
-                ids, decoded = " ".join(map(self.ids.__getitem__, chunks)), b"".join(map(self.decoded.__getitem__, chunks))
-            out.append((ids.count(" ") + 1 if ids else 0, ids, decoded))
+                ids, decoded = " ".join(map(ids_of.__getitem__, chunks)), self.decode(text, chunks, True)
+            out.append((ids.count(" ") + 1 if ids else 0, ids, text.encode() if decoded is None else decoded))
         return out
 
+    def decode(self, text: str, parts: list[str], cover: bool = False) -> bytes | None:
+        """What the parts of a text (which cover it, or must be seen to) decode to; None where that is the text itself."""
+        odd = self.odd
+        if (cover or "".join(parts) == text) and (not odd or odd.keys().isdisjoint(parts)):
+            return None
+        return b"".join([odd[p] if p in odd else p.encode() for p in parts])
+
     @staticmethod
     def chunks(text: str) -> list[str]:
         """The text cut before single spaces; the first chunk has no space of its own."""
@@ -194,6 +206,7 @@ def bpe_round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.disable()  # no cycles are made here, and passes over large memos are slow
         c = codec(tokenizer_path("byte_bpe_50k.tiktoken", path))
         for batch in batches:
             for start in range(0, batch.num_rows, 2048):
