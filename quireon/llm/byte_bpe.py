@@ -18,7 +18,7 @@ from .token_counts import spelled, tokenizer_path
 
 #: Distinct pre-tokens, and chunks of them, that a worker keeps; beyond, it keeps those that the batch
 #: in hand holds too. Bounds its memory, not the result.
-MEMO = 400_000
+MEMO = 800_000
 #: Pre-tokens that one recursive query contracts, and the bytes of the longest of them; longer ones
 #: (runs of one symbol, say) would take a pass per merge and go through the heap, with the same result.
 QUERY_WORDS, QUERY_BYTES = 40_000, 192
