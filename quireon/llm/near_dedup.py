@@ -17,10 +17,11 @@ from .components import components
 #: Values that a sketch retains, and how many of the union sketch's must be shared to be verified.
 #: A pair at the threshold 0.8 shares fewer than 5 of 16 with a chance of 3e-6.
 K, SHARED = 16, 5
-#: Longest inverted list whose pairs are all compared; longer ones are compared with leaders and
-#: split by a second retained value.
+#: Longest inverted list that is gathered whole; longer ones are compared block by block.
 LIST = 48
-LEADERS, BESIDE = 4, 6
+LEADERS = 4
+#: Classes and shingles of a block of a long list, in the mean; two blocks meet in a task.
+BLOCK, BLOCK_SHINGLES = 1024, 2_000_000
 _P = np.uint64(0x9E3779B97F4A7C15)
 _Q = np.uint64(0xD6E8FEB86659FD93)
 _memo: dict[bytes, int] = {}
@@ -111,9 +112,8 @@ def list_pairs(ratio: int):
             for members in batch.column(0).to_pylist():
                 members = sorted(members, key=lambda m: (m["n"], m["sketch"], m["id"]))
                 lead = sorted(members, key=lambda m: xxhash.xxh3_64_intdigest(str(m["id"])))[:LEADERS]
-                every = len(members) <= LIST
                 for i, x in enumerate(members):
-                    for y, star in ((lead, True), (members[i + 1 :] if every else members[i + 1 : i + 1 + BESIDE], False)):
+                    for y, star in ((lead, True), (members[i + 1 :], False)):
                         for z in passing(x, y, ratio):
                             a.append(min(x["id"], z))
                             b.append(max(x["id"], z))
@@ -123,44 +123,116 @@ def list_pairs(ratio: int):
     return run
 
 
-def candidates(classes: DataFrame, ratio: int) -> DataFrame:
-    """(a, b, first): pairs of classes that share a retained value and pass the union sketch.
+def candidates(classes: DataFrame, ratio: int) -> tuple[DataFrame, DataFrame]:
+    """(a, b, first), pairs of classes that share a value of a short list and pass the union sketch, or
+    a long list's leaders with its members; and (id, n, sketch, weight, values), the postings of long lists.
 
-    A value that is retained very often (a common passage, a large group of near copies) is
-    never gathered: its members are compared with a few leaders by broadcast and enter lists
-    of (value, next retained values) instead, as do the members of any long list.
+    A pair that passes the union sketch shares some number of values: SHARED, or 60% of a smaller
+    set. If none of them has a short list, all have long ones, and of the long lists of either
+    class, rarest first, all but that number less one hold a common one. So a class enters only
+    these (values); most that hold a common passage enter none.
     """
     member = F.struct(F.col("id"), F.col("n"), F.col("sketch")).alias("m")
     posted = classes.select("id", "n", "sketch", F.explode("sketch").alias("v"))
     df = table(posted.groupBy("v").agg(F.count("*").alias("df")).filter("df > 1"), "df")
-    long = df.filter(F.col("df") > LIST).select(F.col("v").alias("v0"))
-    pairs = []
     # Short lists: what is left of the postings after the sieve of repeated values is small and even.
     repeated = sieve(posted, "v", df, "df-bits")
     total = df.agg(F.sum("df")).first()[0] or 0
     met = hot_join(repeated, df, ["v"], "df", total)
     short = met.filter(F.col("df") <= LIST).groupBy("v").agg(F.collect_list(member).alias("ms")).filter(F.size("ms") > 1)
-    pairs.append(short.select("ms").mapInArrow(list_pairs(ratio), PAIR))
-    # Long lists: leaders, and lists of the value with one of the next three retained ones.
-    wide = met.filter(F.col("df") > LIST)
-    least = max(LIST + 1, -(-total // HOT_SHARE))
-    lead = wide.select("v", "df", F.struct(F.xxhash64("id").alias("h"), "id", "n", "sketch").alias("m"))
-    ranked = [F.min("m").alias("m0"), F.max("m").alias("m1")]
-    leaders = table(lead.groupBy("v").agg(F.first("df").alias("df"), *ranked), "leaders")
-    stars = hot_join(wide.select("v", "id", "n", "sketch"), leaders, ["v"], "df", total)
-    star = stars.select("id", "n", "sketch", F.explode(F.array("m0", "m1")).alias("l")).filter("id <> l.id")
+    near = short.select("ms").mapInArrow(list_pairs(ratio), PAIR)
+    needed = F.least(F.lit(SHARED), F.expr("int((60 * size(sketch) + 99) div 100)"))
+    hot = met.filter(F.col("df") > LIST).groupBy("id").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.sum(F.log("df")).alias("weight"), F.sort_array(F.collect_list(F.struct("df", "v"))).alias("values"))
+    hot = hot.withColumn("values", F.slice("values", 1, F.greatest(F.size("values") - needed + 1, F.lit(0)))).filter(F.size("values") > 0)
+    hot = table(hot.withColumn("values", F.col("values.v")), "hot")
+    # The leaders of a list: a random one, and that with the most frequent values, as the original of many copies has.
+    wide = hot.select(F.explode("values").alias("v"), "id", "n", "sketch", "weight")
+    lead = lambda first: F.struct(first.alias("h"), "id", "n", "sketch")
+    leaders = table(wide.groupBy("v").agg(F.count("*").alias("df"), F.min(lead(F.xxhash64("id"))).alias("m0"), F.max(lead(F.col("weight"))).alias("m1")).filter("df > 1"), "leaders")
+    stars = hot_join(wide.drop("weight"), leaders, ["v"], "df", leaders.agg(F.sum("df")).first()[0] or 0)
+    star = stars.select("id", "n", "sketch", F.explode(F.array(*[F.struct(f"{m}.id", f"{m}.n", f"{m}.sketch") for m in ("m0", "m1")])).alias("l")).filter("id <> l.id")
     common = F.size(F.array_intersect("sketch", "l.sketch"))
     fits = (100 * F.least("n", "l.n") >= ratio * F.greatest("n", "l.n")) & ((common >= SHARED) | (100 * common >= 60 * F.least(F.size("sketch"), F.size("l.sketch"))))
-    pairs.append(star.filter(fits).select(F.least("id", "l.id").alias("a"), F.greatest("id", "l.id").alias("b"), F.lit(True).alias("first")))
-    at = F.array_position("sketch", F.col("v")).cast("int")
-    deeper = wide.select("id", "n", "sketch", F.explode(F.transform(F.slice("sketch", at + 1, 3), lambda w: F.xxhash64(F.col("v"), w))).alias("v2"))
-    seen = table(deeper.groupBy("v2").agg(F.count("*").alias("df2")).filter("df2 > 1"), "df2")
-    few = hot_join(sieve(deeper, "v2", seen, "df2-bits"), seen, ["v2"], "df2", seen.agg(F.sum("df2")).first()[0] or 0)
-    few = few.withColumn("block", F.when(F.col("df2") <= LIST, F.lit(0)).otherwise(F.pmod(F.xxhash64("sketch"), F.expr(f"int(df2 div {LIST} + 1)"))))
-    lists = few.groupBy("v2", "block").agg(F.collect_list(member).alias("ms")).filter(F.size("ms") > 1)
-    pairs.append(lists.select("ms").mapInArrow(list_pairs(ratio), PAIR))
-    out = pairs[0].unionAll(pairs[1]).unionAll(pairs[2])
-    return table(out.groupBy("a", "b").agg(F.max("first").alias("first")), "candidates")
+    out = near.unionAll(star.filter(fits).select(F.least("id", "l.id").alias("a"), F.greatest("id", "l.id").alias("b"), F.lit(True).alias("first")))
+    return table(out.groupBy("a", "b").agg(F.max("first").alias("first")), "candidates"), hot
+
+
+def block_links(bags: list[np.ndarray], values: list[list[int]], component: list[int], left: np.ndarray, right: np.ndarray, v: int, ratio: int) -> list[tuple[int, int]]:
+    """Places (in left, in right) of linked classes that were in different components; likest sketches first.
+
+    Links within a component that the links before them made are left out. A pair is tried only
+    in the first list that both of its classes enter.
+    """
+    n = np.array([len(b) for b in bags])
+    m = np.minimum(n, K)
+    _, code, times = np.unique(np.concatenate([b[:K] for b in bags]), return_inverse=True, return_counts=True)
+    owner, repeats = np.repeat(np.arange(len(bags)), m), times[code] > 1
+    column, owner = (np.cumsum(times > 1) - 1)[code[repeats]], owner[repeats]
+    shared = np.zeros((len(left), len(right)), np.float32)
+    for start in range(0, int((times > 1).sum()), 2048):
+        here = (column >= start) & (column < start + 2048)
+        has = np.zeros((len(bags), 2048), np.float32)
+        has[owner[here], column[here] - start] = 1
+        shared += has[left] @ has[right].T
+    needed, c = np.minimum(SHARED, -(-60 * m // 100)), np.array(component)
+    x, y = left[:, None], right[None, :]
+    ok = (shared >= np.maximum(needed[x], needed[y])) & (100 * np.minimum(n[x], n[y]) >= ratio * np.maximum(n[x], n[y])) & (c[x] != c[y])
+    if len(left) == len(right) and (left == right).all():
+        ok &= x < y
+    i, j = np.nonzero(ok)
+    order = np.argsort(-shared[i, j], kind="stable")
+    root: dict[int, int] = {}
+
+    def find(k: int) -> int:
+        while k in root:
+            if root[k] in root:
+                root[k] = root[root[k]]
+            k = root[k]
+        return k
+
+    sets, out = [set(w) for w in values], []
+    for p, q in zip(left[i[order]].tolist(), right[j[order]].tolist(), strict=True):
+        rp, rq = find(component[p]), find(component[q])
+        if rp == rq or next(w for w in values[p] if w in sets[q]) != v:
+            continue
+        both, union = alike(bags[p], bags[q])
+        if 100 * both >= ratio * union:
+            root[rp] = rq
+            out.append((p, q))
+    return out
+
+
+def long_links(hot: DataFrame, labels: DataFrame, docs: DataFrame, size: int, ratio: int) -> DataFrame:
+    """Links (a, b) between components, from all pairs of the long lists.
+
+    Of a list, the members outside its largest component are dealt into blocks, as are those
+    inside; every two blocks of the outside meet, and every one of them with every one of the
+    inside. Full sets are compared where they meet, so pairs aren't shuffled.
+    """
+    known = hot.select("id", "n", "values").join(labels, "id", "left").select("id", "n", "values", F.coalesce("component", "id").alias("component"))
+    known = table(known, "long")
+    posts = known.select(F.explode("values").alias("v"), "id", "n", "component")
+    parts = posts.groupBy("v", "component").agg(F.count("*").alias("k"), F.sum("n").alias("s"))
+    lists = parts.groupBy("v").agg(F.sum("k").alias("df"), F.sum("s").alias("s"), F.max(F.struct("k", "s", "component")).alias("top")).filter("df > top.k")
+    blocks = lambda k, s: F.greatest(F.ceil(k / BLOCK), F.ceil(s / BLOCK_SHINGLES)).cast("int")
+    lists = table(lists.select("v", "df", F.col("top.component").alias("top"), blocks(F.col("df") - F.col("top.k"), F.col("s") - F.col("top.s")).alias("outer"), blocks(F.col("top.k"), F.col("top.s")).alias("inner")), "long-lists")
+    met = hot_join(posts, lists, ["v"], "df", lists.agg(F.sum("df")).first()[0] or 0)
+    inside, dealt = F.col("component") == F.col("top"), lambda k: F.pmod(F.xxhash64("id"), F.col(k)).cast("int")
+    met = met.withColumn("block", F.when(inside, F.col("outer") + dealt("inner")).otherwise(dealt("outer")))
+    upto = F.when(inside, F.col("outer")).otherwise(F.col("outer") + F.col("inner"))
+    cells = met.select("id", "v", "block", F.explode(F.sequence(F.lit(0), upto - 1)).alias("other"))
+    places = cells.groupBy("id").agg(F.collect_list(F.struct("v", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))).alias("cells"))
+    places = table(places.join(known.drop("n"), "id"), "places")
+    bags = sets_of(sieve(docs, "_id", places.select(F.col("id").alias("_id")), "long-bits").join(places.select(F.col("id").alias("_id")), "_id", "left_semi").dropDuplicates(["_id"]), size)
+    rows = places.join(bags.withColumnRenamed("_id", "id"), "id").select("id", "component", "values", "bag", F.explode("cells").alias("c"))
+
+    def run(key: tuple, t: pa.Table) -> pa.Table:
+        v, i, j = (k.as_py() for k in key)
+        block, ids = t.column("block").to_numpy(), t.column("id").to_pylist()
+        got = block_links([np.frombuffer(b, np.uint64) for b in t.column("bag").to_pylist()], t.column("values").to_pylist(), t.column("component").to_pylist(), np.flatnonzero(block == i), np.flatnonzero(block == j), v, ratio)
+        return pa.table({"a": pa.array([ids[p] for p, _ in got], pa.int64()), "b": pa.array([ids[q] for _, q in got], pa.int64())})
+
+    return table(rows.select("c.v", "c.i", "c.j", "c.block", "id", "component", "values", "bag").groupBy("v", "i", "j").applyInArrow(run, "a long, b long"), "long-links")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, size: int, ratio: int) -> DataFrame:
@@ -191,21 +263,27 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     aren't read. An empty table gives an empty result.
 
     Equal sets are one class from the start. Links with the leaders of lists come first; the
-    other candidates are verified only between components that these leave apart.
+    other candidates, and then all pairs of the long lists, are verified only between components
+    that these leave apart.
     """
     base = spread(docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text")))
     seen = table(sketched(base, size), "sketches")
     full = seen.filter("n > 0 and _id is not null")
     classes = table(full.groupBy("same").agg(F.min(F.struct("_id", "n", "sketch")).alias("m"), F.count("*").alias("copies")), "classes")
     nodes = classes.select(F.col("m._id").alias("id"), "m.n", "m.sketch")
-    pairs = candidates(nodes, ratio)
+    pairs, hot = candidates(nodes, ratio)
     links = verified(pairs.filter("first"), base, size, ratio)
     labels = components(links)
     at = lambda c: labels.select(F.col("id").alias(c), F.col("component").alias(f"c{c}"))
     rest = pairs.filter("not first").join(at("a"), "a", "left").join(at("b"), "b", "left").filter("ca is null or cb is null or ca <> cb").select("a", "b")
     more = verified(rest, base, size, ratio)
     if more.limit(1).count():
-        labels = components(links.unionAll(more))
+        links = links.unionAll(more)
+        labels = components(links)
+    if hot.limit(1).count():
+        more = long_links(hot, labels, base, size, ratio)
+        if more.limit(1).count():
+            labels = components(links.unionAll(more))
     total = classes.agg(F.sum("copies")).first()[0] or 0
     rooted = classes.select("same", "copies", F.col("m._id").alias("id")).join(labels, "id", "left").select("same", "copies", F.coalesce("component", "id").alias("component_id"))
     met = hot_join(full.select("_id", "n", "same"), rooted, ["same"], "copies", total).select("_id", "n", "component_id")

@@ -16,7 +16,7 @@ from quireon.llm.html_text import extract, lines_of, shared
 from quireon.llm.language_id import language_id, viterbi
 from quireon.llm.lattice_lm import Lattice, lm_scores
 from quireon.llm.line_dedup import line_dedup
-from quireon.llm.near_dedup import near_dedup, shingles
+from quireon.llm.near_dedup import candidates, long_links, near_dedup, shingles, sketched
 from quireon.llm.substring_dedup import chains, repeated_passages
 from quireon.llm.token_counts import token_counts
 
@@ -104,6 +104,60 @@ def test_near_dedup_equals_brute_force(spark):
     assert {i: (r.n_shingles, r.component_id, r.kept) for i, r in got.items()} == {i: (len(sets[i]), find(i), find(i) == i) for i in sets}
 
 
+def test_near_dedup_star_of_copies(spark):
+    """Copies that are alike enough with the original only, more than an inverted list is gathered for."""
+    rng = random.Random(8)
+    original = [f"o{i}" for i in range(200)]
+    rows = [(1500, " ".join(original))]
+    for i in range(3001):
+        if i != 1500:
+            copy = list(original)
+            for at in rng.sample(range(200), 5):
+                copy[at] = f"edit{i}x{at}"
+            rows.append((i, " ".join(copy)))
+    sets = {i: set(shingles(t, 4).tolist()) for i, t in rows}
+    assert all(100 * len(s & sets[1500]) >= 80 * len(s | sets[1500]) for s in sets.values())
+    assert {r.component_id for r in near_dedup(table(spark, rows), size=4).collect()} == {0}
+
+
+def test_near_dedup_families_in_long_lists(spark, monkeypatch):
+    """Families that share a passage, in lists of several blocks, against brute force."""
+    monkeypatch.setattr("quireon.llm.near_dedup.BLOCK", 64)
+    rng = random.Random(9)
+    passage, rows = [f"p{i}" for i in range(110)], []
+    for f in range(8):
+        own = passage + [f"f{f}x{i}" for i in range(60)]
+        for k in range(60):
+            copy = list(own)
+            for at in rng.sample(range(170), 4 if k else 0):
+                copy[at] = f"edit{f}x{k}x{at}"
+            rows.append((0, " ".join(copy)))
+    rng.shuffle(rows)
+    rows = [(i, t) for i, (_, t) in enumerate(rows)]
+    sets = [set(shingles(t, 4).tolist()) for _, t in rows]
+    root = list(range(len(sets)))
+    for j in range(len(sets)):
+        for i in range(j):
+            if root[i] != root[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                a, b = sorted((root[i], root[j]))
+                root = [a if r == b else r for r in root]
+    got = {r.doc_id: r.component_id for r in near_dedup(table(spark, rows), size=4).collect()}
+    assert [got[i] for i in range(len(rows))] == root and len(set(root)) < 60
+
+
+def test_near_dedup_long_lists_without_leaders(spark):
+    """All pairs of the blocks of long lists alone, as if no link were known."""
+    rows = near_rows()
+    docs = spark.createDataFrame(rows, "_id long, _text string").dropna()
+    sets = {i: set(shingles(t or "", 4).tolist()) for i, t in rows}
+    seen = sketched(docs, 4).filter("n > 0")
+    classes = seen.groupBy("same").agg(F.min(F.struct("_id", "n", "sketch")).alias("m")).select(F.col("m._id").alias("id"), "m.n", "m.sketch")
+    _, hot = candidates(classes, 80)
+    none = spark.createDataFrame([], "id long, component long")
+    found = {(r.a, r.b) for r in long_links(hot, none, docs, 4, 80).collect()}
+    assert found and all(100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]) for a, b in found)
+
+
 def test_leaks(spark):
     rng = random.Random(5)
     words = [f"b{i}" for i in range(300)]
