@@ -300,8 +300,8 @@ def q_doc_freq(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def q_lda(spark: SparkSession, d: str) -> DataFrame:
     docs = A.load(spark, d, "documents")["documents"].select("doc_id", X.tokens(F.col("text")).alias("tokens"))
-    model, vectors = ML.topic_model(docs, k=6, least=10, most=0.5, rounds=5, max_terms=5000)
-    return ML.best_topics(model, vectors, docs, [f"topic {i}" for i in range(5)] + ["x"]).select("doc_id", F.array_join("best_topics", ",").alias("topics"))
+    model, vectors = ML.topic_model(docs)
+    return ML.best_topics(model, vectors, docs, [f"topic {i}" for i in range(59)] + ["x"]).select("doc_id", F.array_join("best_topics", ",").alias("topics"))
 
 
 @query()

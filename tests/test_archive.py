@@ -121,3 +121,25 @@ def test_query_equals_duckdb(spark, duck, name):
     got = sorted((tuple(map(plain, r)) for r in df.select(*cols).collect()), key=str)
     want = duck.sql(f"SELECT {', '.join(chr(34) + c + chr(34) for c in cols)} FROM ({Q.ORACLE_SQL[name]})").fetchall()
     assert [str(r) for r in got] == [str(r) for r in sorted((tuple(map(plain, r)) for r in want), key=str)]
+
+
+def test_lda_uses_the_production_call(spark, monkeypatch):
+    """q_lda trains as the archive does: 60 topics, 20 rounds, terms in 40 documents and at most an eighth of them."""
+    seen = {}
+
+    class Stub:
+        def __init__(self, **kw):
+            seen.update(kw)
+
+        def fit(self, vectors):
+            raise StopIteration
+
+    def terms(docs, least, most, tokens="tokens"):
+        seen.update(least=least, most=most)
+        return spark.createDataFrame([("mot", 50)], "token string, df long")
+
+    monkeypatch.setattr("quireon.operators.topics.LDA", Stub)
+    monkeypatch.setattr("quireon.operators.topics.vocabulary", terms)
+    with pytest.raises(StopIteration):
+        Q.QUERIES["q_lda"](spark, SF)
+    assert seen == {"k": 60, "maxIter": 20, "optimizer": "online", "seed": 0, "least": 40, "most": 1 / 8}
