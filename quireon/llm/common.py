@@ -16,9 +16,11 @@ _scratch: list[tuple[SparkSession, str]] = []
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder named in spark.checkpoint.dir; a temporary one only where none is set (tests)."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
+    """The shared folder named in spark.checkpoint.dir; a temporary one only where none is set on one machine (tests)."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="quireon-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
@@ -30,16 +32,29 @@ def table(df: DataFrame, label: str) -> DataFrame:
     path = f"{scratch_dir(spark)}/quireon/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _scratch.append((spark, path))
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete tables made by table() that nothing still unevaluated reads."""
+    for df in tables:
+        mine = (df.sparkSession, df._scratch_path)
+        _delete(*mine)
+        _scratch.remove(mine)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 @atexit.register
 def _drop_scratch() -> None:
     for spark, path in _scratch:
         try:
-            jvm = spark.sparkContext._jvm
-            where = jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+            _delete(spark, path)
         except Exception:  # noqa: BLE001  the session may be gone at exit
             return
 

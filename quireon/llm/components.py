@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import drop, table
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -20,12 +20,13 @@ def components(links: DataFrame) -> DataFrame:
     labels = table(both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("component")), "labels")
     while True:
         near = both.join(labels.select(F.col("id").alias("b"), "component"), "b").groupBy(F.col("a").alias("id")).agg(F.min("component").alias("near"))
-        step = labels.join(near, "id", "left").select("id", F.col("component").alias("old"), F.least("component", "near").alias("component"))
-        step = table(step, "labels")
+        step = table(labels.join(near, "id", "left").select("id", F.col("component").alias("old"), F.least("component", "near").alias("component")), "labels")
         jump = step.select(F.col("id").alias("component"), F.col("component").alias("root"))
-        new = step.join(jump, "component", "left").select("id", "old", F.least("component", F.coalesce("root", "component")).alias("component"))
-        new = table(new, "labels")
-        changed = new.filter("component <> old").limit(1).count()
-        labels = new.select("id", "component")
-        if not changed:
-            return labels
+        new = table(step.join(jump, "component", "left").select("id", "old", F.least("component", F.coalesce("root", "component")).alias("component")), "labels")
+        drop(labels, step)
+        labels = new
+        if not labels.filter("component <> old").limit(1).count():
+            drop(both)
+            out = labels.select("id", "component")
+            out._scratch_path = labels._scratch_path
+            return out

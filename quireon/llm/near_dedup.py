@@ -7,11 +7,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .common import HOT_SHARE, hot_join, read, sieve, spread, table
+from .common import drop, hot_join, read, sieve, spread, table
 from .components import components
 
 #: Values that a sketch retains, and how many of the union sketch's must be shared to be verified.
@@ -19,22 +18,25 @@ from .components import components
 K, SHARED = 16, 5
 #: Longest inverted list that is gathered whole; longer ones are compared block by block.
 LIST = 48
-LEADERS = 4
 #: Classes and shingles of a block of a long list, in the mean; two blocks meet in a task.
 BLOCK, BLOCK_SHINGLES = 1024, 2_000_000
 _P = np.uint64(0x9E3779B97F4A7C15)
 _Q = np.uint64(0xD6E8FEB86659FD93)
+_SIGN = np.uint64(1 << 63)
+#: Words that a worker keeps the keys of, and the bytes of the longest of them: 60 MB at most; freed when a task ends.
+MEMO, MEMO_BYTES = 200_000, 64
 _memo: dict[bytes, int] = {}
 
 
 def word_keys(text: str) -> np.ndarray:
     """64-bit keys of the words of a text, lower-cased A-Z; bytes.split() cuts at the six ASCII white spaces."""
     found = text.encode().lower().split()
-    if len(_memo) > 400_000:
+    if len(_memo) > MEMO:
         _memo.clear()
+    long = {}
     for w in set(found).difference(_memo):
-        _memo[w] = xxhash.xxh3_64_intdigest(w)
-    return np.array([_memo[w] for w in found], np.uint64)
+        (_memo if len(w) <= MEMO_BYTES else long)[w] = xxhash.xxh3_64_intdigest(w)
+    return np.array([_memo[w] if w in _memo else long[w] for w in found] if long else [_memo[w] for w in found], np.uint64)
 
 
 def shingles(text: str, size: int) -> np.ndarray:
@@ -57,104 +59,121 @@ def alike(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
 
 
 def sketched(docs: DataFrame, size: int) -> DataFrame:
-    """(_id, n, same, sketch): number of shingles, 128-bit key of the set, its K least values."""
+    """(_id, n, same, sketch): number of shingles, 128-bit key of the set, its K least values (their sign bit turned, so that they sort)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, 1024):
-                part = batch.slice(start, 1024)
-                sets = [shingles(t or "", size) for t in part.column(1).to_pylist()]
-                yield pa.record_batch(
-                    [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets]), pa.array([s[:K].view(np.int64).tolist() for s in sets], pa.list_(pa.int64()))],
-                    names=["_id", "n", "same", "sketch"],
-                )
+        try:
+            for batch in batches:
+                for start in range(0, batch.num_rows, 1024):
+                    part = batch.slice(start, 1024)
+                    sets = [shingles(t or "", size) for t in part.column(1).to_pylist()]
+                    least = [(s[:K] ^ _SIGN).view(np.int64) for s in sets]
+                    sketches = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, least)]), pa.int32()), pa.array(np.concatenate(least)))
+                    yield pa.record_batch([part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets]), sketches], names=["_id", "n", "same", "sketch"])
+        finally:
+            _memo.clear()
 
     return docs.mapInArrow(run, "_id long, n long, same binary, sketch array<long>")
 
 
 def sets_of(docs: DataFrame, size: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
-                yield pa.record_batch([part.column(0), pa.array([shingles(t or "", size).tobytes() for t in part.column(1).to_pylist()])], names=["_id", "bag"])
+        try:
+            for batch in batches:
+                for start in range(0, batch.num_rows, 256):
+                    part = batch.slice(start, 256)
+                    yield pa.record_batch([part.column(0), pa.array([shingles(t or "", size).tobytes() for t in part.column(1).to_pylist()], pa.binary())], names=["_id", "bag"])
+        finally:
+            _memo.clear()
 
     return docs.mapInArrow(run, "_id long, bag binary")
 
 
-def estimate(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
-    """Of the K least values of the union (all, if fewer), how many are in both sketches."""
-    union = np.union1d(a, b)[: max(len(a), len(b))]
-    return len(np.intersect1d(np.intersect1d(a, b, assume_unique=True), union, assume_unique=True)), len(union)
-
-
-def passing(x: dict, others: list[dict], ratio: int) -> list[int]:
-    """Ids of others that may be linked with x by sizes and the union sketch."""
-    a, out = np.array(x["sketch"], np.int64).view(np.uint64), []
-    for y in others:
-        if 100 * min(x["n"], y["n"]) < ratio * max(x["n"], y["n"]) or x["id"] == y["id"]:
-            continue
-        shared, k = estimate(a, np.array(y["sketch"], np.int64).view(np.uint64))
-        if shared >= SHARED or k < K and 100 * shared >= 60 * k:
-            out.append(y["id"])
-    return out
+def passes(n: int, m: int, shared: int, union: int, ratio: int) -> bool:
+    """Whether sets of n and m shingles may be linked, by their sizes and by the shared ones of the union sketch's values."""
+    return 100 * min(n, m) >= ratio * max(n, m) and (shared >= SHARED or union < K and 100 * shared >= 60 * union)
 
 
-PAIR = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType()), T.StructField("first", T.BooleanType())])
+def fits(ratio: int) -> Column:
+    """passes() for columns n, sketch and m, other."""
+    union = F.slice(F.array_sort(F.array_union("sketch", "other")), 1, F.greatest(F.size("sketch"), F.size("other")))
+    shared, k = F.size(F.array_intersect(F.array_intersect("sketch", "other"), union)), F.size(union)
+    return (100 * F.least("n", "m") >= ratio * F.greatest("n", "m")) & ((shared >= SHARED) | ((k < K) & (100 * shared >= 60 * k)))
 
 
 def list_pairs(ratio: int):
-    """Candidate pairs of inverted lists: first those with the list's leaders, then the rest."""
+    """Candidate pairs of inverted lists, of members in different components."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b, first = [], [], []
+            a, b = [], []
             for members in batch.column(0).to_pylist():
-                members = sorted(members, key=lambda m: (m["n"], m["sketch"], m["id"]))
-                lead = sorted(members, key=lambda m: xxhash.xxh3_64_intdigest(str(m["id"])))[:LEADERS]
+                members.sort(key=lambda m: m["id"])
+                sketches = [np.array(m["sketch"], np.int64) for m in members]
                 for i, x in enumerate(members):
-                    for y, star in ((lead, True), (members[i + 1 :], False)):
-                        for z in passing(x, y, ratio):
-                            a.append(min(x["id"], z))
-                            b.append(max(x["id"], z))
-                            first.append(star)
-            yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(first, pa.bool_())], names=["a", "b", "first"])
+                    for j in range(i + 1, len(members)):
+                        y = members[j]
+                        if x["component"] == y["component"] or 100 * min(x["n"], y["n"]) < ratio * max(x["n"], y["n"]):
+                            continue
+                        union = np.union1d(sketches[i], sketches[j])[: max(len(sketches[i]), len(sketches[j]))]
+                        shared = len(np.intersect1d(np.intersect1d(sketches[i], sketches[j], assume_unique=True), union, assume_unique=True))
+                        if passes(x["n"], y["n"], shared, len(union), ratio):
+                            a.append(x["id"])
+                            b.append(y["id"])
+            yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     return run
 
 
-def candidates(classes: DataFrame, ratio: int) -> tuple[DataFrame, DataFrame]:
-    """(a, b, first), pairs of classes that share a value of a short list and pass the union sketch, or
-    a long list's leaders with its members; and (id, n, sketch, weight, values), the postings of long lists.
+def postings(nodes: DataFrame) -> DataFrame:
+    """(id, values, weight) of the classes with values that others retain too: those values with the lengths of their lists, rarest first."""
+    posted = nodes.select("id", F.explode("sketch").alias("v"))
+    df = table(posted.groupBy("v").agg(F.count("*").alias("df")).filter("df > 1"), "df")
+    met = hot_join(sieve(posted, "v", df, "df-bits"), df, ["v"], "df", df.agg(F.sum("df")).first()[0] or 0)
+    out = table(met.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("df", "v"))).alias("values"), F.sum(F.log("df")).alias("weight")), "postings")
+    drop(df)
+    return out
+
+
+def leader_pairs(posts: DataFrame, nodes: DataFrame, ratio: int) -> DataFrame:
+    """(a, b): each class with the leaders of its lists, a random one and that with the most frequent values, as the original of many copies has.
+
+    A member makes two rows a list at most, however long the list; the random leader is one of
+    the whole table's order, so that like classes meet the same one in all their lists.
+    """
+    wide = posts.select("id", "weight", F.explode("values.v").alias("v"))
+    leaders = table(wide.groupBy("v").agg(F.count("*").alias("df"), F.min(F.struct(F.xxhash64("id"), "id"))["id"].alias("l0"), F.max(F.struct("weight", "id"))["id"].alias("l1")), "leaders")
+    met = hot_join(wide.select("id", "v"), leaders, ["v"], "df", leaders.agg(F.sum("df")).first()[0] or 0)
+    star = met.select("id", F.explode(F.array("l0", "l1")).alias("l")).filter("id <> l").select(F.least("id", "l").alias("a"), F.greatest("id", "l").alias("b")).distinct()
+    left = nodes.select(F.col("id").alias("a"), "n", "sketch")
+    right = nodes.select(F.col("id").alias("b"), F.col("n").alias("m"), F.col("sketch").alias("other"))
+    out = table(star.join(left, "a").join(right, "b").filter(fits(ratio)).select("a", "b"), "leader-pairs")
+    drop(leaders)
+    return out
+
+
+def rest_pairs(posts: DataFrame, nodes: DataFrame, labels: DataFrame, ratio: int) -> tuple[DataFrame, DataFrame]:
+    """(a, b), pairs of different components that share a value of a short list and pass the union sketch;
+    and (id, n, values), the classes that enter long lists. Lists within one component drop out.
 
     A pair that passes the union sketch shares some number of values: SHARED, or 60% of a smaller
     set. If none of them has a short list, all have long ones, and of the long lists of either
     class, rarest first, all but that number less one hold a common one. So a class enters only
     these (values); most that hold a common passage enter none.
     """
-    member = F.struct(F.col("id"), F.col("n"), F.col("sketch")).alias("m")
-    posted = classes.select("id", "n", "sketch", F.explode("sketch").alias("v"))
-    df = table(posted.groupBy("v").agg(F.count("*").alias("df")).filter("df > 1"), "df")
-    # Short lists: what is left of the postings after the sieve of repeated values is small and even.
-    repeated = sieve(posted, "v", df, "df-bits")
-    total = df.agg(F.sum("df")).first()[0] or 0
-    met = hot_join(repeated, df, ["v"], "df", total)
-    short = met.filter(F.col("df") <= LIST).groupBy("v").agg(F.collect_list(member).alias("ms")).filter(F.size("ms") > 1)
-    near = short.select("ms").mapInArrow(list_pairs(ratio), PAIR)
+    known = posts.join(labels, "id", "left").join(nodes, "id").select("id", "n", "sketch", "values", F.coalesce("component", "id").alias("component"))
+    known = table(known, "known")
+    wide = known.select("id", "component", F.explode("values").alias("p")).select("id", "component", "p.v")
+    open_ = table(wide.groupBy("v").agg(F.count("*").alias("df"), F.min("component").alias("c0"), F.max("component").alias("c1")).filter("c0 <> c1").select("v", "df"), "open-lists")
+    short = known.select("id", "n", "sketch", "component", F.explode(F.filter("values", lambda p: p["df"] <= LIST)).alias("p")).select("p.v", F.struct("id", "n", "sketch", "component").alias("m"))
+    near = short.join(open_.filter(F.col("df") <= LIST).select("v"), "v").groupBy("v").agg(F.collect_list("m").alias("ms")).select("ms").mapInArrow(list_pairs(ratio), "a long, b long")
+    near = table(near.distinct(), "short-pairs")
     needed = F.least(F.lit(SHARED), F.expr("int((60 * size(sketch) + 99) div 100)"))
-    hot = met.filter(F.col("df") > LIST).groupBy("id").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.sum(F.log("df")).alias("weight"), F.sort_array(F.collect_list(F.struct("df", "v"))).alias("values"))
-    hot = hot.withColumn("values", F.slice("values", 1, F.greatest(F.size("values") - needed + 1, F.lit(0)))).filter(F.size("values") > 0)
-    hot = table(hot.withColumn("values", F.col("values.v")), "hot")
-    # The leaders of a list: a random one, and that with the most frequent values, as the original of many copies has.
-    wide = hot.select(F.explode("values").alias("v"), "id", "n", "sketch", "weight")
-    lead = lambda first: F.struct(first.alias("h"), "id", "n", "sketch")
-    leaders = table(wide.groupBy("v").agg(F.count("*").alias("df"), F.min(lead(F.xxhash64("id"))).alias("m0"), F.max(lead(F.col("weight"))).alias("m1")).filter("df > 1"), "leaders")
-    stars = hot_join(wide.drop("weight"), leaders, ["v"], "df", leaders.agg(F.sum("df")).first()[0] or 0)
-    star = stars.select("id", "n", "sketch", F.explode(F.array(*[F.struct(f"{m}.id", f"{m}.n", f"{m}.sketch") for m in ("m0", "m1")])).alias("l")).filter("id <> l.id")
-    common = F.size(F.array_intersect("sketch", "l.sketch"))
-    fits = (100 * F.least("n", "l.n") >= ratio * F.greatest("n", "l.n")) & ((common >= SHARED) | (100 * common >= 60 * F.least(F.size("sketch"), F.size("l.sketch"))))
-    out = near.unionAll(star.filter(fits).select(F.least("id", "l.id").alias("a"), F.greatest("id", "l.id").alias("b"), F.lit(True).alias("first")))
-    return table(out.groupBy("a", "b").agg(F.max("first").alias("first")), "candidates"), hot
+    long = F.expr(f"filter(values, p -> p.df > {LIST})")
+    hot = known.select("id", "n", F.slice(long, 1, F.greatest(F.size(long) - needed + 1, F.lit(0)))["v"].alias("values")).filter(F.size("values") > 0)
+    hot = table(hot, "hot")
+    drop(known, open_)
+    return near, hot
 
 
 def block_links(bags: list[np.ndarray], values: list[list[int]], component: list[int], left: np.ndarray, right: np.ndarray, v: int, ratio: int) -> list[tuple[int, int]]:
@@ -232,7 +251,9 @@ def long_links(hot: DataFrame, labels: DataFrame, docs: DataFrame, size: int, ra
         got = block_links([np.frombuffer(b, np.uint64) for b in t.column("bag").to_pylist()], t.column("values").to_pylist(), t.column("component").to_pylist(), np.flatnonzero(block == i), np.flatnonzero(block == j), v, ratio)
         return pa.table({"a": pa.array([ids[p] for p, _ in got], pa.int64()), "b": pa.array([ids[q] for _, q in got], pa.int64())})
 
-    return table(rows.select("c.v", "c.i", "c.j", "c.block", "id", "component", "values", "bag").groupBy("v", "i", "j").applyInArrow(run, "a long, b long"), "long-links")
+    out = table(rows.select("c.v", "c.i", "c.j", "c.block", "id", "component", "values", "bag").groupBy("v", "i", "j").applyInArrow(run, "a long, b long"), "long-links")
+    drop(known, lists, places)
+    return out
 
 
 def verified(pairs: DataFrame, docs: DataFrame, size: int, ratio: int) -> DataFrame:
@@ -249,7 +270,9 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int, ratio: int) -> DataFr
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     met = pairs.select("a", "b").join(bags.select(F.col("_id").alias("a"), F.col("bag").alias("x")), "a").join(bags.select(F.col("_id").alias("b"), F.col("bag").alias("y")), "b")
-    return table(met.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "verified")
+    out = table(met.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "verified")
+    drop(ends, bags)
+    return out
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, ratio: int = 80) -> DataFrame:
@@ -259,31 +282,38 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     is its distinct shingles of `size` words (the whole sequence, if it has fewer words). Documents
     are linked where 100 * intersection >= ratio * union, confirmed on full sets; component_id is
     the least id reachable. Null or wordless text has an empty set and stands alone. A null id has
-    no component and isn't kept. Rows that repeat an id are one document. Extra columns
-    aren't read. An empty table gives an empty result.
+    no component and isn't kept. Rows that repeat an id are one document (of its texts the one with
+    the least set key is compared). Extra columns aren't read. An empty table gives an empty result.
 
-    Equal sets are one class from the start. Links with the leaders of lists come first; the
-    other candidates, and then all pairs of the long lists, are verified only between components
-    that these leave apart.
+    Equal sets are one class from the start. Each class meets the leaders of its lists first, and
+    what these link is contracted; after that only pairs of different components are made, of
+    short lists and then of all blocks of the long ones.
     """
     base = spread(docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text")))
     seen = table(sketched(base, size), "sketches")
     full = seen.filter("n > 0 and _id is not null")
     classes = table(full.groupBy("same").agg(F.min(F.struct("_id", "n", "sketch")).alias("m"), F.count("*").alias("copies")), "classes")
     nodes = classes.select(F.col("m._id").alias("id"), "m.n", "m.sketch")
-    pairs, hot = candidates(nodes, ratio)
-    links = verified(pairs.filter("first"), base, size, ratio)
+    posts = postings(nodes)
+    pairs = leader_pairs(posts, nodes, ratio)
+    links = verified(pairs, base, size, ratio)
+    drop(pairs)
     labels = components(links)
-    at = lambda c: labels.select(F.col("id").alias(c), F.col("component").alias(f"c{c}"))
-    rest = pairs.filter("not first").join(at("a"), "a", "left").join(at("b"), "b", "left").filter("ca is null or cb is null or ca <> cb").select("a", "b")
-    more = verified(rest, base, size, ratio)
-    if more.limit(1).count():
-        links = links.unionAll(more)
-        labels = components(links)
+    drop(links)
+    pairs, hot = rest_pairs(posts, nodes, labels, ratio)
+    drop(posts)
+    more = verified(pairs, base, size, ratio)
+    drop(pairs)
+    of = lambda c: labels.select(F.col("id").alias(c), F.col("component").alias(f"c{c}"))
+    merged = lambda found: found.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).filter("a <> b")
+    joined = components(merged(more))
+    labels = relabelled(labels, joined)
     if hot.limit(1).count():
-        more = long_links(hot, labels, base, size, ratio)
-        if more.limit(1).count():
-            labels = components(links.unionAll(more))
+        far = long_links(hot, labels, base, size, ratio)
+        if far.limit(1).count():
+            labels = relabelled(labels, components(merged(far)))
+        drop(far)
+    drop(hot, more)
     total = classes.agg(F.sum("copies")).first()[0] or 0
     rooted = classes.select("same", "copies", F.col("m._id").alias("id")).join(labels, "id", "left").select("same", "copies", F.coalesce("component", "id").alias("component_id"))
     met = hot_join(full.select("_id", "n", "same"), rooted, ["same"], "copies", total).select("_id", "n", "component_id")
@@ -292,5 +322,14 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return out.select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("_id") == F.col("component_id"), F.lit(False)).alias("kept"))
 
 
+def relabelled(labels: DataFrame, joined: DataFrame) -> DataFrame:
+    """Labels after links between their components; joined has the components of these."""
+    root = joined.select(F.col("id").alias("component"), F.col("component").alias("root"))
+    old = labels.join(root, "component", "left").select("id", F.coalesce("root", "component").alias("component"))
+    out = table(old.unionByName(joined.join(labels, "id", "left_anti").select("id", "component")), "labels")
+    drop(labels, joined)
+    return out
+
+
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(read(spark, sf_dir, "documents"), size=4)

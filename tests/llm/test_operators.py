@@ -1,6 +1,7 @@
 """The training-data operators against the libraries, brute force and planted cases on small inputs."""
 
 import random
+import re
 from collections import defaultdict
 from hashlib import sha256
 
@@ -16,7 +17,7 @@ from quireon.llm.html_text import extract, lines_of, shared
 from quireon.llm.language_id import language_id, viterbi
 from quireon.llm.lattice_lm import Lattice, lm_scores
 from quireon.llm.line_dedup import line_dedup
-from quireon.llm.near_dedup import candidates, long_links, near_dedup, shingles, sketched
+from quireon.llm.near_dedup import long_links, near_dedup, postings, rest_pairs, sketched
 from quireon.llm.substring_dedup import chains, repeated_passages
 from quireon.llm.token_counts import token_counts
 
@@ -66,6 +67,12 @@ def test_exact_dedup_with_weak_digest(spark):
     assert exact_dedup(table(spark, [])).count() == 0
 
 
+def shingled(text, size):
+    """Shingles as tuples of words, by plain Python."""
+    w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if w else set()
+
+
 def near_rows():
     rng = random.Random(3)
     words = [f"w{i}" for i in range(400)]
@@ -87,7 +94,7 @@ def near_rows():
 
 def test_near_dedup_equals_brute_force(spark):
     rows = near_rows()
-    sets = {i: set(shingles(t or "", 4).tolist()) for i, t in rows}
+    sets = {i: shingled(t, 4) for i, t in rows}
     root = {i: i for i in sets}
 
     def find(x):
@@ -115,7 +122,7 @@ def test_near_dedup_star_of_copies(spark):
             for at in rng.sample(range(200), 5):
                 copy[at] = f"edit{i}x{at}"
             rows.append((i, " ".join(copy)))
-    sets = {i: set(shingles(t, 4).tolist()) for i, t in rows}
+    sets = {i: shingled(t, 4) for i, t in rows}
     assert all(100 * len(s & sets[1500]) >= 80 * len(s | sets[1500]) for s in sets.values())
     assert {r.component_id for r in near_dedup(table(spark, rows), size=4).collect()} == {0}
 
@@ -134,7 +141,7 @@ def test_near_dedup_families_in_long_lists(spark, monkeypatch):
             rows.append((0, " ".join(copy)))
     rng.shuffle(rows)
     rows = [(i, t) for i, (_, t) in enumerate(rows)]
-    sets = [set(shingles(t, 4).tolist()) for _, t in rows]
+    sets = [shingled(t, 4) for _, t in rows]
     root = list(range(len(sets)))
     for j in range(len(sets)):
         for i in range(j):
@@ -149,15 +156,45 @@ def test_near_dedup_long_lists_without_leaders(spark):
     """All pairs of the blocks of long lists alone, as if no link were known."""
     rows = near_rows()
     docs = spark.createDataFrame(rows, "_id long, _text string").dropna()
-    sets = {i: set(shingles(t or "", 4).tolist()) for i, t in rows}
+    sets = {i: shingled(t, 4) for i, t in rows}
     seen = sketched(docs, 4).filter("n > 0")
     classes = seen.groupBy("same").agg(F.min(F.struct("_id", "n", "sketch")).alias("m")).select(F.col("m._id").alias("id"), "m.n", "m.sketch")
-    _, hot = candidates(classes, 80)
     none = spark.createDataFrame([], "id long, component long")
+    _, hot = rest_pairs(postings(classes), classes, none, 80)
     found = {(r.a, r.b) for r in long_links(hot, none, docs, 4, 80).collect()}
     assert found and all(100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]) for a, b in found)
 
 
+def test_near_dedup_pairs_under_one_passage(spark):
+    """Pairs of near copies whose sketches are mostly values of a passage that all documents share."""
+    rng = random.Random(4)
+    passage, rows = [f"p{i}" for i in range(300)], []
+    for p in range(1000):
+        own = [f"d{p}x{i}" for i in range(40)]
+        edited = list(own)
+        edited[rng.randrange(40)] = f"edit{p}"
+        rows += [(p, " ".join(passage + own)), (p + 1000, " ".join(passage + edited))]
+    a, b, other = shingled(rows[0][1], 4), shingled(rows[1][1], 4), shingled(rows[2][1], 4)
+    assert 100 * len(a & b) >= 80 * len(a | b) and 100 * len(a & other) < 80 * len(a | other)
+    got = {r.doc_id: r.component_id for r in near_dedup(table(spark, rows), size=4).collect()}
+    assert got == {i: i % 1000 for i in range(2000)}
+
+
+def test_near_dedup_large_group(spark):
+    """Two thousand near copies with differing sketches are one group; repeated and null ids, long and empty tables."""
+    rng = random.Random(6)
+    base, rows = [f"w{i}" for i in range(150)], []
+    for i in range(2000):
+        copy = list(base)
+        copy[rng.randrange(150)] = f"edit{i}"
+        rows.append((i, " ".join(copy)))
+    rows += [(5000, "x y z w v u " * 20000), (None, rows[0][1]), (7, rows[7][1])]
+    got = near_dedup(table(spark, rows), size=4).collect()
+    assert len(got) == 2003 and {r.component_id for r in got if r.doc_id is not None and r.doc_id < 2000} == {0}
+    assert [(r.n_shingles, r.kept) for r in got if r.doc_id == 5000] == [(6, True)] and [(r.component_id, r.kept) for r in got if r.doc_id is None] == [(None, False)]
+    assert near_dedup(table(spark, [])).count() == 0
+
+
 def test_leaks(spark):
     rng = random.Random(5)
     words = [f"b{i}" for i in range(300)]
