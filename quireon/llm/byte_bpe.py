@@ -13,37 +13,40 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read, spread
+from .common import own_memos, read, spread
 from .token_counts import spelled, tokenizer_path
 
-#: Distinct pre-tokens, and chunks of them, that a worker keeps; beyond, it keeps those that the batch
-#: in hand holds too. Bounds its memory, not the result.
-MEMO = 800_000
-#: Pre-tokens that one recursive query contracts, and the bytes of the longest of them; longer ones
+#: Distinct pre-tokens, and chunks of them, that a worker keeps, and the characters of the longest of them;
+#: beyond, it keeps those that the batch in hand holds too. Bounds its memory, not the result.
+MEMO, MEMO_LENGTH = 800_000, 64
+#: Token positions that one recursive query holds, and the bytes of the longest pre-token in one; longer ones
 #: (runs of one symbol, say) would take a pass per merge and go through the heap, with the same result.
-QUERY_WORDS, QUERY_BYTES = 40_000, 192
+QUERY_POSITIONS, QUERY_BYTES = 300_000, 192
 _loaded: dict[str, Codec] = {}
 
-#: One pass per merge: token-position rows (with the position and token that follow) join the merge
-#: table, each word's least (rank, position) is contracted, and words without a pair are done.
+#: One pass per merge: token-position rows (with the position and token that follow) join the merge table,
+#: and each word's least (rank, position) is contracted; the keyed recursion keeps one row a position, and
+#: words without a change leave it.
 CONTRACT = """
-WITH RECURSIVE step(w, pos, after, tok, follows, live) AS (
-  SELECT w, pos, after, tok, follows, true FROM start
-  UNION ALL
-  SELECT s.w, s.pos, CASE WHEN s.pos = b.pos THEN b.after ELSE s.after END, CASE WHEN s.pos = b.pos THEN b.merged ELSE s.tok END,
-         CASE WHEN s.pos = b.pos THEN b.follows WHEN s.after = b.pos THEN b.merged ELSE s.follows END, b.merged IS NOT NULL
-  FROM (SELECT * FROM step WHERE live) s LEFT JOIN (
-    SELECT f.w, f.least % 65536 AS pos, f.least // 65536 AS merged, f.gone, t.after, t.follows
+WITH RECURSIVE step(w, pos, after, tok, follows) USING KEY (w, pos) AS (
+  SELECT w, pos, after, tok, follows FROM start
+  UNION
+  SELECT s.w, s.pos, CASE WHEN s.pos = b.pos THEN b.after ELSE s.after END,
+         CASE WHEN s.pos = b.pos THEN b.merged WHEN s.pos = b.gone THEN -1 ELSE s.tok END,
+         CASE WHEN s.pos = b.pos THEN b.follows WHEN s.pos = b.gone THEN -1 ELSE b.merged END
+  FROM (
+    SELECT f.w, f.least % 65536 AS pos, (f.least // 65536)::INTEGER AS merged, f.gone, t.after, t.follows
     FROM (
       SELECT a.w, min(m.id * 65536 + a.pos) AS least, arg_min(a.after, m.id * 65536 + a.pos) AS gone
-      FROM step a JOIN merges m ON m.l = a.tok AND m.r = a.follows WHERE a.live GROUP BY a.w
-    ) f JOIN step t ON t.w = f.w AND t.pos = f.gone AND t.live
-  ) b ON b.w = s.w
-  WHERE b.merged IS NULL OR s.pos <> b.gone
+      FROM recurring.step a JOIN (SELECT DISTINCT w FROM step) k ON k.w = a.w JOIN merges m ON m.l = a.tok AND m.r = a.follows GROUP BY a.w
+    ) f JOIN recurring.step t ON t.w = f.w AND t.pos = f.gone
+  ) b JOIN recurring.step s ON s.w = b.w AND s.tok >= 0 AND (s.pos = b.pos OR s.pos = b.gone OR s.after = b.pos)
 )
-SELECT s.w, string_agg(s.tok::VARCHAR, ' ' ORDER BY s.pos) AS ids, string_agg(v.bytes, '' ORDER BY s.pos) AS decoded
-FROM step s JOIN vocab v ON v.id = s.tok WHERE NOT s.live GROUP BY s.w
+SELECT w, string_agg(tok::VARCHAR, ' ' ORDER BY pos) AS ids FROM step WHERE tok >= 0 GROUP BY w
 """
+#: Rows of (text, position, token) join the vocabulary; the ordered aggregation concatenates.
+DECODE = "SELECT r.d, string_agg(v.bytes, '' ORDER BY r.pos) AS decoded FROM rows r JOIN vocab v ON v.id = r.tok GROUP BY r.d ORDER BY r.d"
+
 
 def read_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as f:
@@ -51,7 +54,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class Codec:
-    """Rank table in DuckDB; what distinct pre-tokens, and chunks of them, encode and decode to."""
+    """Rank table in DuckDB; what distinct pre-tokens, and chunks of them, encode to."""
 
     def __init__(self, path: str, pattern: str | None = None):
         import duckdb
@@ -72,41 +75,55 @@ class Codec:
         self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         self.pieces: dict[str, str] = {}  # pre-token: ids as text
         self.ids: dict[str, str] = {}  # chunk between two single spaces: ids as text
-        self.odd: dict[str, bytes] = {}  # what those pre-tokens and chunks decode to that don't decode to themselves
 
     def put(self, name: str, **columns: pa.Array) -> None:
         self.con.register("incoming", pa.table(columns))
         self.con.execute(f"CREATE OR REPLACE TABLE {name} AS SELECT * FROM incoming")
         self.con.unregister("incoming")
 
+    def forget(self) -> None:
+        self.pieces, self.ids = {}, {}
+
     def learn(self, pieces: set[str]) -> None:
-        """Encode distinct pre-tokens by contraction to a fixpoint and decode them again."""
+        """Encode distinct pre-tokens by contraction to a fixpoint."""
         todo = []
         for p in pieces:
             raw = p.encode()
             if len(raw) > QUERY_BYTES:
-                ids = self.by_heap(raw)
-                self.keep(p, raw, " ".join(map(str, ids)), b"".join([self.bytes_of[i] for i in ids]))
+                self.pieces[p] = " ".join(map(str, self.by_heap(raw)))
             else:
                 todo.append((p, raw))
         todo.sort(key=lambda x: len(x[1]))  # a query takes as many passes as its longest word
-        for at in range(0, len(todo), QUERY_WORDS):
-            part = todo[at : at + QUERY_WORDS]
+        held = np.cumsum([len(raw) for _, raw in todo]) // QUERY_POSITIONS
+        edges = [0, *(np.flatnonzero(np.diff(held)) + 1).tolist(), len(todo)]
+        for at, end in zip(edges, edges[1:], strict=False):
+            part = todo[at:end]
+            if not part:
+                continue
             sizes = np.array([len(raw) for _, raw in part])
             last = np.cumsum(sizes) - 1
             tok = self.single[np.frombuffer(b"".join([raw for _, raw in part]), np.uint8)]
             pos = np.arange(len(tok)) - np.repeat(last - sizes + 1, sizes)
             follows = np.append(tok[1:], -1)
             follows[last] = -1
-            self.put("start", w=pa.array(np.repeat(np.arange(len(part), dtype=np.int32), sizes)), pos=pa.array(pos), after=pa.array(pos + 1), tok=pa.array(tok), follows=pa.array(follows))
+            self.put("start", w=pa.array(np.repeat(np.arange(len(part), dtype=np.int32), sizes)), pos=pa.array(pos), after=pa.array(pos + 1), tok=pa.array(tok), follows=pa.array(follows.astype(np.int32)))
             got = self.con.sql(CONTRACT).to_arrow_table()
-            for i, ids, decoded in zip(*(got.column(k).to_pylist() for k in range(3)), strict=True):
-                self.keep(*part[i], ids, bytes.fromhex(decoded))
-
-    def keep(self, piece: str, raw: bytes, ids: str, decoded: bytes) -> None:
-        self.pieces[piece] = ids
-        if decoded != raw:
-            self.odd[piece] = decoded
+            for i, ids in zip(*(got.column(k).to_pylist() for k in range(2)), strict=True):
+                self.pieces[part[i][0]] = ids
+
+    def decode(self, ids: list[str]) -> list[bytes]:
+        """The bytes of each text's ids, by ordered aggregation over rows of bounded number; a longer text comes in parts."""
+        counts = [x.count(" ") + 1 if x else 0 for x in ids]
+        flat = np.fromstring(" ".join(filter(None, ids)), np.int32, sep=" ")
+        text = np.repeat(np.arange(len(ids), dtype=np.int32), counts)
+        parts: list[list[bytes]] = [[] for _ in ids]
+        for at in range(0, len(flat), QUERY_POSITIONS):
+            tok = flat[at : at + QUERY_POSITIONS]
+            self.put("rows", d=pa.array(text[at : at + len(tok)]), pos=pa.array(np.arange(len(tok), dtype=np.int32)), tok=pa.array(tok))
+            got = self.con.sql(DECODE).to_arrow_table()
+            for i, x in zip(got.column(0).to_pylist(), got.column(1).to_pylist(), strict=True):
+                parts[i].append(bytes.fromhex(x))
+        return [b"".join(p) for p in parts]
 
     def by_heap(self, raw: bytes) -> list[int]:
         """The same contraction for a very long pre-token, with a heap of (rank, position)."""
@@ -134,12 +151,11 @@ class Codec:
                 offer(before[i])
         return [ranks[raw[i : end[i]]] for i in range(n) if alive[i]]
 
-    def run(self, texts: list[str]) -> list[tuple[int, str, bytes]]:
-        """(n tokens, ids as text, decoded bytes) of each text.
+    def encode(self, texts: list[str]) -> list[str]:
+        """Ids, as text, of each text.
 
         No pre-token reaches over a single space between two other characters, so what stands
-        between such spaces is looked up whole. A text decodes to its chunks' decoded bytes in
-        order; only chunks that decode to other bytes than their own are kept apart for that.
+        between such spaces is looked up whole.
         """
         chunked = [self.chunks(t) for t in texts]
         seen = set().union(*chunked)
@@ -152,30 +168,16 @@ class Codec:
         needed = set().union(*fresh.values(), *whole.values())
         if len(self.pieces) > MEMO:
             self.pieces = {p: self.pieces[p] for p in needed.intersection(self.pieces)}
-        if len(self.odd) > MEMO:
-            self.odd = {c: self.odd[c] for c in self.odd.keys() & (seen | needed)}
         self.learn(needed.difference(self.pieces))
-        pieces, odd, ids_of = self.pieces, self.odd, self.ids
+        pieces, ids_of = self.pieces, self.ids
         for c, parts in fresh.items():
             ids_of[c] = pieces[parts[0]] if len(parts) == 1 else " ".join([pieces[p] for p in parts])
-            if (decoded := self.decode(c, parts)) is not None:
-                odd[c] = decoded
-        out = []
-        for i, (text, chunks) in enumerate(zip(texts, chunked, strict=True)):
-            if i in whole:
-                ids, decoded = " ".join([pieces[p] for p in whole[i]]), self.decode(text, whole[i])
-            else:
-                ids, decoded = " ".join(map(ids_of.__getitem__, chunks)), self.decode(text, chunks, True)
-            out.append((ids.count(" ") + 1 if ids else 0, ids, text.encode() if decoded is None else decoded))
+        out = [" ".join([pieces[p] for p in whole[i]]) if i in whole else " ".join(map(ids_of.__getitem__, chunks)) for i, chunks in enumerate(chunked)]
+        for kept, used in ((pieces, needed), (ids_of, new - tied)):
+            for long in [x for x in used if len(x) > MEMO_LENGTH]:
+                kept.pop(long, None)
         return out
 
-    def decode(self, text: str, parts: list[str], cover: bool = False) -> bytes | None:
-        """What the parts of a text (which cover it, or must be seen to) decode to; None where that is the text itself."""
-        odd = self.odd
-        if (cover or "".join(parts) == text) and (not odd or odd.keys().isdisjoint(parts)):
-            return None
-        return b"".join([odd[p] if p in odd else p.encode() for p in parts])
-
     @staticmethod
     def chunks(text: str) -> list[str]:
         """The text cut before single spaces; the first chunk has no space of its own."""
@@ -201,22 +203,26 @@ def bpe_round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Null text counts as empty: no tokens, the digests of nothing. Null ids are carried,
     repeated rows repeat, extra columns are not read. No shuffle. Token-position rows of a
     batch's distinct pre-tokens join the merge table inside DuckDB; each pass contracts the
-    leftmost pair of least rank of every word until no pair is left; an ordered aggregation
-    over positions gives ids and decoded bytes.
+    leftmost pair of least rank of every word until no pair is left. The ids of each whole text
+    are decoded again by an ordered aggregation over their positions.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gc.disable()  # no cycles are made here, and passes over large memos are slow
         c = codec(tokenizer_path("byte_bpe_50k.tiktoken", path))
-        for batch in batches:
-            for start in range(0, batch.num_rows, 2048):
-                part = batch.slice(start, 2048)
-                got = c.run([t or "" for t in part.column(1).to_pylist()])
-                columns = [part.column(0), pa.array([g[0] for g in got], pa.int64())]
-                if with_ids:
-                    columns.append(pa.array([list(map(int, g[1].split())) for g in got], pa.list_(pa.int32())))
-                columns += [pa.array([sha256(g[1].encode()).hexdigest() for g in got]), pa.array([sha256(g[2]).hexdigest() for g in got])]
-                yield pa.record_batch(columns, names=[id_col, "n_tokens", *["ids"] * with_ids, "ids_sha256", "decoded_sha256"])
+        own_memos("byte_bpe", c.forget)  # kept from task to task of this operator
+        gc.disable()  # no cycles are made here, and passes over large memos are slow
+        try:
+            for batch in batches:
+                for start in range(0, batch.num_rows, 512):
+                    part = batch.slice(start, 512)
+                    ids = c.encode([t or "" for t in part.column(1).to_pylist()])
+                    columns = [part.column(0), pa.array([x.count(" ") + 1 if x else 0 for x in ids], pa.int64())]
+                    if with_ids:
+                        columns.append(pa.array([list(map(int, x.split())) for x in ids], pa.list_(pa.int32())))
+                    columns += [pa.array([sha256(x.encode()).hexdigest() for x in ids]), pa.array([sha256(x).hexdigest() for x in c.decode(ids)])]
+                    yield pa.record_batch(columns, names=[id_col, "n_tokens", *["ids"] * with_ids, "ids_sha256", "decoded_sha256"])
+        finally:
+            gc.enable()
 
     picked = spread(docs.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).alias("_text")))
     return picked.mapInArrow(run, f"`{id_col}` long, n_tokens long, {'ids array<int>, ' * with_ids}ids_sha256 string, decoded_sha256 string")

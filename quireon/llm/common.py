@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,15 @@ from pyspark.sql import functions as F
 HOT_SHARE = 200_000
 
 _scratch: list[tuple[SparkSession, str]] = []
+_held: dict[str, Callable[[], None]] = {}
+
+
+def own_memos(owner: str, free: Callable[[], None] | None = None) -> None:
+    """Called in a Python worker when a task of an operator begins: frees what tasks of other operators have left there."""
+    for other in [k for k in _held if k != owner]:
+        _held.pop(other)()
+    if free:
+        _held[owner] = free
 
 
 def scratch_dir(spark: SparkSession) -> str:

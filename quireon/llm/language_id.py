@@ -11,12 +11,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import id_remainder, read, spread, table
+from .common import id_remainder, own_memos, read, spread
 
 #: Labelled rows that the classifier is fitted on at most (in expectation; chosen by a hash of the id).
 FIT_ROWS = 20_000
-#: Letter trigrams that the model keeps at most, the most frequent first, and words kept in a worker's memo.
-FIT_TRIGRAMS, MEMO = 60_000, 400_000
+#: Words kept in a task's memo.
+MEMO = 400_000
 #: Log-odds that a change of language has to win back.
 SWITCH = 8.0
 #: First and last code points of scripts (fixed values of the Unicode standard); letters elsewhere are "other".
@@ -204,8 +204,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         yield pa.record_batch([pa.array([t for t, _ in n]), pa.array([x for _, x in n]), pa.array(list(n.values()), pa.int64())], names=["tri", "lang", "n"])
 
     counts = sample.select(text_col, lang_col).mapInArrow(count, "tri string, lang string, n long").groupBy("tri", "lang").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "tri", "lang").limit(FIT_TRIGRAMS).collect()  # bounded
-    return [(r["tri"], r["lang"], r["n"]) for r in top]
+    return [(r["tri"], r["lang"], r["n"]) for r in counts.collect()]  # trigrams of the bounded sample
 
 
 def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", fit_rows: int = FIT_ROWS, spans: bool = True) -> DataFrame:
@@ -216,9 +215,10 @@ def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     everywhere if nothing is labelled. A null id counts as training (held_out false); repeated
     rows repeat; an empty table gives an empty result; extra columns are not read.
     """
-    model = docs.sparkSession.sparkContext.broadcast(fit(docs, id_col, text_col, lang_col, fit_rows))  # at most FIT_TRIGRAMS rows
+    model = docs.sparkSession.sparkContext.broadcast(fit(docs, id_col, text_col, lang_col, fit_rows))  # bounded by fit_rows texts
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own_memos("language_id")  # this operator's are the task's own
         m, find = Model(model.value), word_finder()
         for batch in batches:
             for start in range(0, batch.num_rows, 1024):

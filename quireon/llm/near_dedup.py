@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import drop, hot_join, read, sieve, spread, table
+from .common import drop, hot_join, own_memos, read, sieve, spread, table
 from .components import components
 
 #: Values that a sketch retains, and how many of the union sketch's must be shared to be verified.
@@ -62,6 +62,7 @@ def sketched(docs: DataFrame, size: int) -> DataFrame:
     """(_id, n, same, sketch): number of shingles, 128-bit key of the set, its K least values (their sign bit turned, so that they sort)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own_memos("near_dedup")
         try:
             for batch in batches:
                 for start in range(0, batch.num_rows, 1024):
@@ -78,6 +79,7 @@ def sketched(docs: DataFrame, size: int) -> DataFrame:
 
 def sets_of(docs: DataFrame, size: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own_memos("near_dedup")
         try:
             for batch in batches:
                 for start in range(0, batch.num_rows, 256):

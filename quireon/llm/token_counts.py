@@ -6,12 +6,13 @@ import json
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from os.path import commonprefix
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read, spread
+from .common import own_memos, read, spread
 
 #: Distinct pre-tokens that a worker keeps before it starts anew; bounds its memory, not the result.
 MEMO = 400_000
@@ -46,11 +47,17 @@ class PieceCounter:
         self.pieces = regex.compile(spelled(split["pattern"]["Regex"])).findall
         specials = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
         self.special = regex.compile("|".join(map(regex.escape, specials))) if specials else None
+        # A text without the common start of all special strings (where they have one) holds none of them.
+        start = commonprefix(specials)
+        self.mark = (lambda text: start in text) if start else (lambda text: True)
         self.alphabet = byte_alphabet()
         self.controls = regex.compile("[\x1c-\x1f]").search
         self.counted: dict[str, int] = {}  # by pre-token
         self.memo: dict[str, int] = {}  # by chunk
 
+    def forget(self) -> None:
+        self.memo, self.counted = {}, {}
+
     def normalise(self, text: str) -> str:
         if not text.isascii():
             text = unicodedata.normalize("NFC", text)
@@ -60,7 +67,7 @@ class PieceCounter:
 
     def frequencies(self, text: str) -> tuple[Counter, int]:
         """Frequencies of what stands between white space, and how many special strings are in the text."""
-        parts = [text] if self.special is None or "<|" not in text else self.special.split(text)
+        parts = [text] if self.special is None or not self.mark(text) else self.special.split(text)
         found: Counter = Counter()
         for part in parts:
             part = self.normalise(part)
@@ -104,14 +111,14 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = counter(tokenizer_path("word_bpe_49k.json", path))
+        own_memos("token_counts", c.forget)
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 freq = [c.frequencies(t) for t in texts]
                 if len(c.memo) > MEMO:
-                    c.memo.clear()
-                    c.counted.clear()
+                    c.forget()
                 c.learn(set().union(*(f.keys() for f, _ in freq)).difference(c.memo))
                 memo = c.memo
                 n = [extra + sum([memo[p] * k for p, k in f.items()]) for f, extra in freq]

@@ -42,6 +42,19 @@ def test_bpe_equals_tiktoken(spark):
     assert bpe_round_trip(table(spark, [])).count() == 0
 
 
+def test_bpe_many_long_words(spark):
+    """Distinct pre-tokens of 40 and 190 bytes by the ten thousand in one batch, and one text of 400,000 tokens."""
+    path = P.path("byte_bpe_50k.tiktoken")
+    enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=read_ranks(path), special_tokens={})
+    rng = random.Random(2)
+    word = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n))
+    rows = [(i, " ".join(word(190) for _ in range(40))) for i in range(500)] + [(i, " ".join(word(40) for _ in range(100))) for i in range(500, 800)] + [(900, "a b " * 200_000), (901, word(5000))]
+    for r in bpe_round_trip(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), with_ids=False).collect():
+        text = dict(rows)[r.doc_id]
+        ids = enc.encode_ordinary(text)
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), sha256(" ".join(map(str, ids)).encode()).hexdigest(), sha256(text.encode()).hexdigest())
+
+
 def test_token_counts_equal_library(spark):
     from tokenizers import Tokenizer
 
