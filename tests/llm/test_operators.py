@@ -11,7 +11,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 from quireon.llm.byte_bpe import bpe_round_trip, read_ranks
-from quireon.llm.decontaminate import find_leaks, infix_distance
+from quireon.llm.decontaminate import Index, find_leaks, infix_distance
 from quireon.llm.exact_dedup import exact_dedup
 from quireon.llm.html_text import extract, lines_of, shared
 from quireon.llm.language_id import language_id, viterbi
@@ -220,6 +220,47 @@ def test_leaks(spark):
     got = {(r.doc_id, r.item_id): r for r in find_leaks(table(spark, docs), spark.createDataFrame(items, "item_id long, text string")).collect()}
     assert set(got) == {(1, 0), (2, 1), (3, 2), (4, 3)} and got[2, 1].distance == 3 and got[1, 0].start_word == 20
     assert infix_distance(list("abc"), list("xxabcxx")) == (0, 5)
+    short = (20, "one two three four five six seven")
+    docs = [(1, "x one two 3 four five six seven y"), (2, "one two four five six seven"), (3, "one 2 three four 5 six seven"), (4, "b " + short[1] + " b " + short[1]), (5, None), (6, "")] + [(7, "z " * 30000)]
+    got = find_leaks(table(spark, docs + docs[3:4]), spark.createDataFrame([short, (21, "word")], "item_id long, text string")).collect()
+    assert sorted((r.doc_id, r.item_id, r.start_word, r.distance) for r in got) == [(1, 20, 1, 1), (2, 20, 0, 1), (4, 20, 1, 0), (4, 20, 1, 0)]
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert find_leaks(table(spark, []), none).count() == 0 and find_leaks(table(spark, docs), none).count() == 0
+
+
+def plain_distance(item, text):
+    row = [0] * (len(text) + 1)
+    for i, x in enumerate(item, 1):
+        last, row = row, [i]
+        for j, y in enumerate(text, 1):
+            row.append(min(last[j - 1] + (x != y), last[j] + 1, row[j - 1] + 1))
+    return min(row)
+
+
+def edited(rng, words, edits):
+    out = list(words)
+    for _ in range(edits):
+        at = rng.randrange(len(out))
+        kind = rng.randrange(3)
+        out[at : at + (kind < 2)] = [f"e{rng.randrange(10**6)}"] * (kind > 0)
+    return out
+
+
+def test_leaks_recall():
+    """Items of all sizes at the very bound of edits, against exact distances: target 0.98, and all of the short ones."""
+    rng = random.Random(7)
+    vocab = [f"v{i}" for i in range(2000)]
+    items = [(k, " ".join(rng.choices(vocab, k=n))) for k, n in enumerate([n for n in range(3, 80) for _ in range(6)])]
+    index, hits, within = Index(items, 0.8), defaultdict(int), defaultdict(int)
+    for k, text in items:
+        w = text.split()
+        doc = rng.choices(vocab, k=30) + edited(rng, w, len(w) // 5) + rng.choices(vocab, k=30)
+        d = plain_distance(w, doc)
+        got = {i: x for i, _, _, x in index.search(" ".join(doc))}
+        assert got.get(k, d) == d
+        within[len(w) < 15] += 5 * d <= len(w)
+        hits[len(w) < 15] += k in got
+    assert hits[True] == within[True] and hits[False] >= 0.98 * within[False] > 300
 
 
 def test_line_dedup_equals_brute_force(spark):
@@ -246,9 +287,36 @@ def test_passages(spark):
     fuzzy = list(p)
     fuzzy[30] = "edit"
     docs = [(1, filler(40) + p + filler(10)), (2, filler(5) + p), (3, fuzzy + filler(50)), (4, filler(200)), (5, filler(9) + p[:30])]
-    got = {r.doc_id: r for r in repeated_passages(table(spark, [(i, " ".join(w)) for i, w in docs] + [(6, None), (7, "")])).collect()}
+    rows = [(i, " ".join(w)) for i, w in docs]
+    found = repeated_passages(table(spark, [*rows, rows[1], (6, None), (7, ""), (None, rows[0][1]), (8, "z " * 5000), (9, "z " * 5000)])).collect()
+    got = {r.doc_id: r for r in found if not r.first}
     assert set(got) == {2, 3} and (got[2].start_word, got[2].n_words, got[2].source_id, got[2].source_start) == (5, 60, 1, 40) and got[3].n_words == 60
-    assert chains([0, 5, 10], [0, 5, 10]) == [[0, 1, 2]]
+    assert [(r.doc_id, r.start_word, r.n_words, r.source_id) for r in found if r.first] == [(1, 40, 60, 2)]
+    assert chains([0, 5, 10], [0, 5, 10]) == [[0, 1, 2]] and repeated_passages(table(spark, [])).count() == 0
+
+
+def test_passages_equal_brute_force(spark):
+    """Every document that shares 50 words with another is found, others aren't; parts of passages in lower ids, repeats, and groups of copies."""
+    rng = random.Random(12)
+    filler = lambda n: [f"f{rng.randrange(10**6)}" for _ in range(n)]
+    docs: list[list[str]] = []
+    for _ in range(12):
+        p = filler(rng.randrange(60, 120))
+        for _ in range(rng.randrange(4)):  # holders of a part, of lower ids
+            cut = rng.randrange(15, 40)
+            docs.append(filler(30) + rng.choice([p[:cut], p[-cut:], p[20 : 20 + min(cut, 30)]]) + filler(30))
+        for _ in range(rng.randrange(2, 6)):
+            docs.append(filler(rng.randrange(50)) + p + filler(rng.randrange(50)) + (p if rng.random() < 0.4 else []))
+    line = filler(20)
+    docs += [filler(50) + (line + filler(25)) * 1 + line + filler(40) for _ in range(40)]
+    rng.shuffle(docs)
+    holders = defaultdict(set)
+    for i, w in enumerate(docs):
+        for at in range(len(w) - 49):
+            holders[tuple(w[at : at + 50])].add(i)
+    want = set().union(*(h for h in holders.values() if len(h) > 1))
+    got = {r.doc_id for r in repeated_passages(table(spark, [(i, " ".join(w)) for i, w in enumerate(docs)])).collect()}
+    assert got == want and 20 < len(want) < len(docs) - 40
 
 
 def test_language(spark):
