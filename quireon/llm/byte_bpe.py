@@ -18,10 +18,10 @@ from .token_counts import spelled, tokenizer_path
 
 #: Distinct pre-tokens, and chunks of them, that a worker keeps, and the characters of the longest of them;
 #: beyond, it keeps those that the batch in hand holds too. Bounds its memory, not the result.
-MEMO, MEMO_LENGTH = 800_000, 64
+MEMO, MEMO_LENGTH = 500_000, 64
 #: Token positions that one recursive query holds, and the bytes of the longest pre-token in one; longer ones
 #: (runs of one symbol, say) would take a pass per merge and go through the heap, with the same result.
-QUERY_POSITIONS, QUERY_BYTES = 300_000, 192
+QUERY_POSITIONS, QUERY_BYTES = 100_000, 192
 _loaded: dict[str, Codec] = {}
 
 #: One pass per merge: token-position rows (with the position and token that follow) join the merge table,
@@ -69,7 +69,7 @@ class Codec:
         self.bytes_of = {v: k for k, v in ranks.items()}
         pairs = [(ranks[b[:i]], ranks[b[i:]], r) for b, r in ranks.items() for i in range(1, len(b)) if b[:i] in ranks and b[i:] in ranks]
         l, r, ids = zip(*pairs, strict=True)
-        self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "250MB", "temp_directory": ""})
+        self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "200MB", "temp_directory": ""})
         self.put("merges", l=pa.array(l, pa.int32()), r=pa.array(r, pa.int32()), id=pa.array(ids, pa.int64()))
         self.put("vocab", id=pa.array(list(self.bytes_of), pa.int64()), bytes=pa.array([b.hex() for b in self.bytes_of.values()]))
         self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
@@ -81,9 +81,6 @@ class Codec:
         self.con.execute(f"CREATE OR REPLACE TABLE {name} AS SELECT * FROM incoming")
         self.con.unregister("incoming")
 
-    def forget(self) -> None:
-        self.pieces, self.ids = {}, {}
-
     def learn(self, pieces: set[str]) -> None:
         """Encode distinct pre-tokens by contraction to a fixpoint."""
         todo = []
@@ -197,6 +194,12 @@ def codec(path: str) -> Codec:
     return _loaded[path]
 
 
+def unload() -> None:
+    for c in _loaded.values():
+        c.con.close()
+    _loaded.clear()
+
+
 def bpe_round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, with_ids: bool = True) -> DataFrame:
     """One row per row of docs: id, n_tokens, ids (array, only with with_ids), ids_sha256, decoded_sha256.
 
@@ -209,7 +212,7 @@ def bpe_round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(tokenizer_path("byte_bpe_50k.tiktoken", path))
-        own_memos("byte_bpe", c.forget)  # kept from task to task of this operator
+        own_memos("byte_bpe", unload)  # kept from task to task of this operator
         gc.disable()  # no cycles are made here, and passes over large memos are slow
         try:
             for batch in batches:

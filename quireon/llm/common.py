@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,10 +23,15 @@ _held: dict[str, Callable[[], None]] = {}
 
 def own_memos(owner: str, free: Callable[[], None] | None = None) -> None:
     """Called in a Python worker when a task of an operator begins: frees what tasks of other operators have left there."""
-    for other in [k for k in _held if k != owner]:
+    others = [k for k in _held if k != owner]
+    for other in others:
         _held.pop(other)()
-    if free:
-        _held[owner] = free
+    if others:  # give the memory back to the machine, not only to this process
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # another C library
+            ctypes.CDLL(None).malloc_trim(0)
+    _held[owner] = free or (lambda: None)
 
 
 def scratch_dir(spark: SparkSession) -> str:

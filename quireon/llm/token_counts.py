@@ -111,7 +111,7 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = counter(tokenizer_path("word_bpe_49k.json", path))
-        own_memos("token_counts", c.forget)
+        own_memos("token_counts", _loaded.clear)
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
