@@ -78,8 +78,13 @@ def _drop_scratch() -> None:
             return
 
 
+#: Bytes of a batch of rows on its way to a Python worker; executor and worker hold it some times over.
+BATCH_BYTES = 12 << 20
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """At least one partition per core: a small table in one file would keep one core busy."""
+    """At least one partition per core (a small table in one file would keep one core busy), and batches for Python of bounded bytes."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 

@@ -266,8 +266,8 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int, ratio: int) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                both, union = alike(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64))
+            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+                both, union = alike(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64))
                 keep.append(100 * both >= ratio * union)
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
