@@ -18,7 +18,7 @@ from .token_counts import spelled, tokenizer_path
 
 #: Distinct pre-tokens, and chunks of them, that a worker keeps, and the characters of the longest of them;
 #: beyond, it keeps those that the batch in hand holds too. Bounds its memory, not the result.
-MEMO, MEMO_LENGTH = 500_000, 64
+MEMO, MEMO_LENGTH = 800_000, 64
 #: Token positions that one recursive query holds, and the bytes of the longest pre-token in one; longer ones
 #: (runs of one symbol, say) would take a pass per merge and go through the heap, with the same result.
 QUERY_POSITIONS, QUERY_BYTES = 100_000, 192
@@ -148,7 +148,7 @@ class Codec:
                 offer(before[i])
         return [ranks[raw[i : end[i]]] for i in range(n) if alive[i]]
 
-    def encode(self, texts: list[str]) -> list[str]:
+    def encode(self, texts: list[str], memo: int = MEMO) -> list[str]:
         """Ids, as text, of each text.
 
         No pre-token reaches over a single space between two other characters, so what stands
@@ -156,14 +156,14 @@ class Codec:
         """
         chunked = [self.chunks(t) for t in texts]
         seen = set().union(*chunked)
-        if len(self.ids) > MEMO:
+        if len(self.ids) > memo:
             self.ids = {c: self.ids[c] for c in seen.intersection(self.ids)}
         new = seen.difference(self.ids)
         tied = {c for c in new if self.open(c)}
         fresh = {c: self.split(c) for c in new - tied}
         whole = {i: self.split(t) for i, t in enumerate(texts) if tied and not tied.isdisjoint(chunked[i])}
         needed = set().union(*fresh.values(), *whole.values())
-        if len(self.pieces) > MEMO:
+        if len(self.pieces) > memo:
             self.pieces = {p: self.pieces[p] for p in needed.intersection(self.pieces)}
         self.learn(needed.difference(self.pieces))
         pieces, ids_of = self.pieces, self.ids
@@ -200,9 +200,10 @@ def unload() -> None:
     _loaded.clear()
 
 
-def bpe_round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, with_ids: bool = True) -> DataFrame:
+def bpe_round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, with_ids: bool = True, memo: int = MEMO) -> DataFrame:
     """One row per row of docs: id, n_tokens, ids (array, only with with_ids), ids_sha256, decoded_sha256.
 
+    memo says how many pre-tokens and chunks a worker keeps: memory for time.
     Null text counts as empty: no tokens, the digests of nothing. Null ids are carried,
     repeated rows repeat, extra columns are not read. No shuffle. Token-position rows of a
     batch's distinct pre-tokens join the merge table inside DuckDB; each pass contracts the
@@ -218,7 +219,7 @@ def bpe_round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             for batch in batches:
                 for start in range(0, batch.num_rows, 512):
                     part = batch.slice(start, 512)
-                    ids = c.encode([t or "" for t in part.column(1).to_pylist()])
+                    ids = c.encode([t or "" for t in part.column(1).to_pylist()], memo)
                     columns = [part.column(0), pa.array([x.count(" ") + 1 if x else 0 for x in ids], pa.int64())]
                     if with_ids:
                         columns.append(pa.array([list(map(int, x.split())) for x in ids], pa.list_(pa.int32())))
