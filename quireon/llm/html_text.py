@@ -4,24 +4,28 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from os.path import commonprefix
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ranked, read, spread
+from .common import ranked, read, sieve, spread, table
 
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
+#: A tag with quoted values, and one that ends at the first > (after a quote that nothing closes).
+TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
+PLAIN = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
 #: Elements whose content is no text, elements outside an article, elements that end a block, and those without content.
 RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "template", "xmp"}
 ASIDE = {"nav", "header", "footer", "aside", "form", "button", "select", "dialog", "svg", "object", "canvas", "menu", "head"} | RAW
 BLOCKS = set("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 MARKED = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|side-?bar|menu|nav\w*|breadcrumbs?|header|footer|masthead|comments?|respond|discussion|notices?|alert|cookies?|consent|banner|newsletter|subscri\w*|related|recommended|share|sharing|social|login|popup|modal|widget)(?:$|[\s_-])", re.I)
-NAMES = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+NAMES = re.compile(r"(?<![\w-])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 SPACE = re.compile(r"\s+")
 ENDS_P = BLOCKS - {"html", "body", "head"}
 
@@ -31,6 +35,7 @@ def lines_of(page: str) -> list[tuple[str, str]]:
     out: list[tuple[str, str]] = []
     stack: list[tuple[str, bool, bool]] = []  # name, aside, main
     buffer: list[str] = []
+    late: list[tuple[str, bool, bool]] = []
 
     def flush() -> None:
         text = SPACE.sub(" ", entities.unescape("".join(buffer))).strip()
@@ -39,17 +44,42 @@ def lines_of(page: str) -> list[tuple[str, str]]:
             aside, main = (stack[-1][1], stack[-1][2]) if stack else (False, False)
             out.append(("aside" if aside else "main" if main else "open", text))
 
-    at, n = 0, len(page)
+    def pop() -> None:
+        inside[stack.pop()[0]] -= 1
+
+    at, n, tag, closed = 0, len(page), TAG, {}
+    inside: Counter = Counter()  # open elements by name
     while at < n:
-        m = TAG.search(page, at)
-        if m is None:
+        start = page.find("<", at)
+        if start < 0:
             buffer.append(page[at:])
             break
-        buffer.append(page[at : m.start()])
-        at = m.end()
-        name = (m[2] or "").lower()
-        if not name:
+        buffer.append(page[at:start])
+        if page.startswith("<!--", start):
+            end = page.find("-->", start + 4)
+            at = n if end < 0 else end + 3
+            continue
+        if page[start + 1 : start + 2] in ("!", "?"):
+            end = page.find(">", start)
+            at = n if end < 0 else end + 1
+            continue
+        if not page[start + 1 : start + 2].isalpha() and not (page.startswith("</", start) and page[start + 2 : start + 3].isalpha()):
+            buffer.append("<")
+            at = start + 1
             continue
+        m = tag.match(page, start)
+        if m is None:  # a quote is never closed: from here on quotes mean nothing, so that no part is scanned twice
+            tag = PLAIN
+            m = tag.match(page, start)
+        if m is None:
+            if page.find(">", start) < 0:
+                buffer.append(page[start:])
+                break
+            buffer.append("<")
+            at = start + 1
+            continue
+        at = m.end()
+        name = m[2].lower()
         if name == "br":
             buffer.append(" ")
         if name in VOID:
@@ -57,24 +87,35 @@ def lines_of(page: str) -> list[tuple[str, str]]:
                 flush()
             continue
         if m[1]:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-            if depth is not None:
-                if any(x[0] in BLOCKS or x[1] for x in stack[depth:]):
+            if inside[name]:
+                ends = False
+                while True:
+                    ends = ends or stack[-1][0] in BLOCKS or stack[-1][1]
+                    if stack[-1][0] == name:
+                        break
+                    late.append(stack[-1])
+                    pop()
+                if ends:
+                    stack.extend(reversed(late))
                     flush()
-                del stack[depth:]
+                    del stack[len(stack) - len(late) :]
+                late.clear()
+                pop()
             elif name in BLOCKS:
                 flush()
             continue
         if name in RAW:
-            end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
-            if name != "title" or end:
-                at = end.end() if end else n
+            if name not in closed or closed[name] >= 0:
+                end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
+                closed[name] = end.end() if end else -1
+            if name != "title" or closed[name] >= 0:
+                at = closed[name] if closed[name] >= 0 else n
             continue
         if name in BLOCKS:
             flush()
-            if name in ENDS_P and stack:
-                while stack and (stack[-1][0] not in BLOCKS or stack[-1][0] == "p") and any(x[0] == "p" for x in stack):
-                    stack.pop()
+            if name in ENDS_P:
+                while inside["p"] and (stack[-1][0] not in BLOCKS or stack[-1][0] == "p"):
+                    pop()
         named = " ".join(a or b or c for a, b, c in NAMES.findall(m[3])) if m[3] else ""
         marked = bool(named and name not in ("html", "body", "main") and MARKED.search(named)) and not (name == "article" and "comment" not in named.lower())
         above = stack[-1] if stack else ("", False, False)
@@ -83,10 +124,37 @@ def lines_of(page: str) -> list[tuple[str, str]]:
             flush()
         if not m[3].endswith("/") or name in BLOCKS:
             stack.append((name, aside, above[2] or (name in ("article", "main") and not aside)))
+            inside[name] += 1
     flush()
     return out
 
 
+def profile(mine: list[int], theirs: list[int]) -> np.ndarray:
+    """Length of a longest common subsequence of mine with each start of theirs, bit-parallel over theirs."""
+    at: dict[int, int] = defaultdict(int)
+    for j, v in enumerate(theirs):
+        at[v] |= 1 << j
+    m = len(theirs)
+    full = rest = (1 << m) - 1
+    for v in mine:
+        both = rest & at.get(v, 0)
+        rest = ((rest + both) | (rest - both)) & full
+    bits = np.frombuffer(rest.to_bytes(m // 8 + 1, "little"), np.uint8)
+    return np.append(0, np.cumsum(np.unpackbits(bits, bitorder="little")[:m] == 0))
+
+
+def aligned(x: list[int], y: list[int]) -> list[int]:
+    """Positions of x in a longest common subsequence with y, in space that grows with the lengths alone (by halving x)."""
+    if not x or not y:
+        return []
+    if len(x) == 1:
+        return [0] if x[0] in y else []
+    half = len(x) // 2
+    split = profile(x[:half], y) + profile(x[half:][::-1], y[::-1])[::-1]
+    cut = int(split.argmax())
+    return aligned(x[:half], y[:cut]) + [half + i for i in aligned(x[half:], y[cut:])]
+
+
 def shared(mine: list[int], theirs: list[int]) -> set[int]:
     """Positions of mine in a longest common subsequence with theirs; equal ends are matched first."""
     a, b = 0, min(len(mine), len(theirs))
@@ -100,81 +168,83 @@ def shared(mine: list[int], theirs: list[int]) -> set[int]:
     both = set(x) & set(y)
     keep = [i for i, v in enumerate(x) if v in both]
     x, y = [x[i] for i in keep], [v for v in y if v in both]
-    rows = [[0] * (len(y) + 1)]
-    for v in x:
-        last, row = rows[-1], [0]
-        for j, w in enumerate(y):
-            row.append(last[j] + 1 if v == w else max(row[j], last[j + 1]))
-        rows.append(row)
-    i, j = len(x), len(y)
-    while i and j:
-        if x[i - 1] == y[j - 1]:
-            found.add(a + keep[i - 1])
-            i, j = i - 1, j - 1
-        elif rows[i - 1][j] >= rows[i][j - 1]:
-            i -= 1
-        else:
-            j -= 1
-    return found
-
-
-def differenced(texts: list[str], hashes: list[int], path: str, after: dict | None, before: dict | None) -> str:
-    """The lines less those that the nearest page shares; a page that is no more than its neighbour stays whole.
+    return found | {a + keep[i] for i in aligned(x, y)}
+
+
+def differenced(hashes: list[int], path: str, after: dict | None, before: dict | None) -> tuple[list[int], list[int]]:
+    """Positions of the lines that the nearest page shares, and of those that the pages on both sides share.
 
     Of the pages next in path order, that with the longer common start of the path is nearest.
     """
     beside = [x for x in (after, before) if x]
-    near = max(beside, key=lambda x: len(commonprefix([path, x["path"]])), default=None)
-    gone = shared(hashes, near["hashes"]) if near else set()
-    left = [t for i, t in enumerate(texts) if i not in gone]
-    return "\n".join(left or texts)
+    if not beside:
+        return [], []
+    gone = [shared(hashes, x["hashes"]) for x in beside]
+    near = max(range(len(beside)), key=lambda i: len(commonprefix([path, beside[i]["path"]])))
+    return sorted(gone[near]), sorted(gone[0] & gone[1]) if len(gone) > 1 else []
+
+
+def text_of(page: str, near: list[int], both: list[int]) -> str:
+    """The blocks of the article: those that markup names less what both neighbours share, or else the unmarked ones less what the nearest shares."""
+    got = lines_of(page)
+    main = [i for i, (kind, _) in enumerate(got) if kind == "main"]
+    mine, gone = (main, set(both)) if main else ([i for i, (kind, _) in enumerate(got) if kind == "open"], set(near))
+    return "\n".join([got[i][1] for i in [i for i in mine if i not in gone] or mine])
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per row of pages: id, url, text, n_chars.
 
-    Null or empty html gives an empty text; a null url stands alone. Where markup names the
-    article (article or main, less menus, notices, forms, comments and the like inside it),
-    its blocks are the text. Elsewhere the unmarked lines are differenced: pages are paired
-    with the page of the nearest other path of their host (of the next and the one before in
-    path order, that with the longer common start), text lines are aligned by longest common subsequence, and shared lines go. A
-    page whose lines are all shared is a copy and stays whole. Rows that repeat repeat.
-    Line hashes only are shuffled for pages whose article is marked.
+    Each page is paired with the pages of the next paths of its host, after and before it in path
+    order; the lines of their texts (blocks, menus and all) are aligned by longest common
+    subsequence, and shared lines go. Markup is the second signal. Where it names the article
+    (article or main), its blocks less menus, notices, forms, comments and the like are the text,
+    and of these the lines go that both neighbours share: a copy of an article stands beside
+    one page, what a site repeats beside all. Elsewhere the blocks not marked as such are the text,
+    less the lines that the nearest page shares (the one with the longer common start of the path).
+    A page with nothing left is a copy and stays whole.
+
+    Null or empty html gives an empty text; a null url stands alone. Rows that repeat repeat;
+    pages of one path count as the one of the least id; extra columns aren't read; an empty table
+    gives an empty result. Hashes of lines are shuffled, and the html only of pages that lose lines.
     """
     address = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)([^?#]*)"
+    key = F.xxhash64("_id", "_url", "_html").alias("_key")
 
-    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def outline(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
-                text, lines, hashes = [], [], []
-                for page in part.column(2).to_pylist():
-                    got = lines_of(page or "")
-                    main = [t for kind, t in got if kind == "main"]
-                    free = [t for kind, t in got if kind == "open"]
-                    text.append("\n".join(main) if main or not free else None)
-                    lines.append(None if main or not free else free)
-                    hashes.append([xxhash.xxh3_64_intdigest(t) - (1 << 63) for kind, t in got if kind != "main"] if main else [xxhash.xxh3_64_intdigest(t) - (1 << 63) for t in free])
-                yield pa.record_batch([part.column(0), part.column(1), pa.array(text, pa.string()), pa.array(lines, pa.list_(pa.string())), pa.array(hashes, pa.list_(pa.int64()))], names=["_id", "_url", "_text", "_lines", "_hashes"])
+                hashes = [[xxhash.xxh3_64_intdigest(t) - (1 << 63) for _, t in lines_of(page)] for page in part.column(3).to_pylist()]
+                yield pa.record_batch([*(part.column(i) for i in range(3)), pa.array(hashes, pa.list_(pa.int64()))], names=["_key", "_id", "_url", "_hashes"])
 
     def difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [differenced(*row) for row in zip(*(batch.column(i).to_pylist() for i in range(2, 7)), strict=True)]
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["_id", "_url", "_text"])
-
-    rows = spread(pages.select(F.col(id_col).cast("long").alias("_id"), F.col(url_col).alias("_url"), F.col(html_col).alias("_html")))
-    rows = rows.mapInArrow(parse, "_id long, _url string, _text string, _lines array<string>, _hashes array<long>")
-    placed = rows.withColumn("_host", F.lower(F.regexp_extract("_url", address, 1))).withColumn("_path", F.regexp_extract("_url", address, 2))
-    paths = placed.filter("_url is not null").groupBy("_host", "_path").agg(F.min(F.struct("_id", "_hashes"))["_hashes"].alias("_hashes"))
-    paths = ranked(paths, ["_host", "_path"], "paths")
-    loose = placed.filter("_lines is not null")
-    own = loose.join(paths.select("_host", "_path", "_rank"), ["_host", "_path"], "left")
-    beside = paths.select(F.col("_host").alias("_h1"), F.col("_rank").alias("_r1"), F.struct(F.col("_path").alias("path"), F.col("_hashes").alias("hashes")).alias("_after"))
-    before = paths.select(F.col("_host").alias("_h0"), F.col("_rank").alias("_r0"), F.struct(F.col("_path").alias("path"), F.col("_hashes").alias("hashes")).alias("_before"))
-    own = own.join(beside, (F.col("_r1") == F.col("_rank") + 1) & (F.col("_h1") == F.col("_host")), "left").join(before, (F.col("_r0") == F.col("_rank") - 1) & (F.col("_h0") == F.col("_host")), "left")
-    done = own.select("_id", "_url", "_lines", "_hashes", F.coalesce("_path", F.lit("")).alias("_path"), "_after", "_before").mapInArrow(difference, "_id long, _url string, _text string")
-    out = rows.filter("_lines is null").select("_id", "_url", "_text").unionByName(done)
-    return out.select(F.col("_id").alias(id_col), F.col("_url").alias(url_col), F.col("_text").alias("text"), F.length("_text").cast("long").alias("n_chars"))
+            got = [differenced(*row) for row in zip(*(batch.column(i).to_pylist() for i in range(2, 6)), strict=True)]
+            kind = pa.list_(pa.int32())
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array([g[0] for g in got], kind), pa.array([g[1] for g in got], kind)], names=["_key", "_id", "_near", "_both"])
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                texts = [text_of(page or "", near or [], both or []) for page, near, both in zip(*(part.column(i).to_pylist() for i in range(2, 5)), strict=True)]
+                yield pa.record_batch([part.column(0), part.column(1), pa.array(texts, pa.string())], names=["_id", "_url", "_text"])
+
+    rows = spread(pages.select(F.col(id_col).cast("long").alias("_id"), F.col(url_col).alias("_url"), F.col(html_col).alias("_html"))).select(key, "_id", "_url", "_html")
+    placed = table(rows.filter("_url is not null and _html is not null").mapInArrow(outline, "_key long, _id long, _url string, _hashes array<long>"), "outlines")
+    placed = placed.select("_key", "_id", F.lower(F.regexp_extract("_url", address, 1)).alias("_host"), F.regexp_extract("_url", address, 2).alias("_path"), "_hashes")
+    paths = ranked(placed.groupBy("_host", "_path").agg(F.min(F.struct("_id", "_hashes"))["_hashes"].alias("_hashes")), ["_host", "_path"], "paths")
+    beside = lambda step: paths.select("_host", (F.col("_rank") - step).alias("_rank"), F.struct(F.col("_path").alias("path"), F.col("_hashes").alias("hashes")).alias("_after" if step > 0 else "_before"))
+    trio = paths.select("_host", "_path", "_rank").join(beside(1), ["_host", "_rank"], "left").join(beside(-1), ["_host", "_rank"], "left").filter("_after is not null or _before is not null")
+    own = placed.join(trio.drop("_rank"), ["_host", "_path"]).select("_key", "_id", "_hashes", "_path", "_after", "_before")
+    gone = own.mapInArrow(difference, "_key long, _id long, _near array<int>, _both array<int>").filter("size(_near) > 0")
+    gone = table(gone.dropDuplicates(["_key"]).drop("_id"), "gone")
+    none = F.lit(None).cast("array<int>")
+    rest = sieve(rows, "_key", gone, "gone-bits", keep=False).select("_id", "_url", "_html", none.alias("_near"), none.alias("_both"))
+    cut = sieve(rows, "_key", gone, "gone-bits").join(gone, "_key", "left").select("_id", "_url", "_html", "_near", "_both")
+    done = rest.unionAll(cut).mapInArrow(write, "_id long, _url string, _text string")
+    return done.select(F.col("_id").alias(id_col), F.col("_url").alias(url_col), F.col("_text").alias("text"), F.length("_text").cast("long").alias("n_chars"))
 
 
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from collections import defaultdict
 from hashlib import sha256
 
@@ -354,4 +355,39 @@ def test_html(spark):
     ]
     got = {r.page_id: r for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert [got[i].text for i in range(1, 7)] == ["First & only x", "Second", "T\none\ntwo words", "x", "", ""] and got[3].n_chars == 15
+    assert extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
     assert shared([1, 2, 3, 4, 5], [1, 9, 3, 5]) == {0, 2, 4} and lines_of("<script>a</script><p>b") == [("open", "b")]
+
+
+def test_html_differencing(spark):
+    """What all pages of a site repeat goes, inside articles too and where no tag or class tells; what one neighbour shares with an article stays."""
+    page = lambda k, body: f"<div>Menu one</div><div>Offer {k}</div><article><p>Subscribe here<p>{body}</article><div>The end</div>"
+    bare = lambda k, body: f"<div>Menu one</div><div>Menu two</div><p>{body}</p><div>The end</div>"
+    rows = [(k, f"http://h/a/{k}", page(k, f"Text {k}<p>{'Same' if k in (3, 4) else k}")) for k in range(1, 6)] + [(k, f"http://g/{k}", bare(k, f"Body {k}")) for k in range(10, 13)]
+    rows += [rows[0], (20, "http://solo/x", page(20, "Alone")), (None, "http://g/10", bare(10, "Body none"))]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({c: F.lit("x") for c in ("_id", "_url", "_hashes", "text", "n_chars")})
+    got = sorted((tuple(r) for r in extract(df).select("page_id", "text").collect()), key=str)
+    want = [(k, f"Text {k}\n{'Same' if k in (3, 4) else k}") for k in (1, 2, 3, 4, 5)] + [(1, "Text 1\n1")] + [(k, f"Body {k}") for k in range(10, 13)] + [(20, "Subscribe here\nAlone"), (None, "Body none")]
+    want[0], want[4], want[5] = (1, "Subscribe here\nText 1\n1"), (5, "Subscribe here\nText 5\n5"), (1, "Subscribe here\nText 1\n1")  # ends of the order have one neighbour
+    assert got == sorted(want, key=str)
+
+
+def test_html_long_and_broken_pages():
+    began = time.time()
+    for page in ("<a " * 300_000, '<a "' * 300_000 + ">x", "<div>" * 100_000 + "x", "<b><div>" * 50_000 + "</i>" * 100_000, "<title>" * 50_000, "< 5 " * 100_000, "<p>" + "w " * 500_000, "<!-- " * 100_000, "<x '" + "<b>" * 100_000):
+        lines_of(page)
+    rng = random.Random(1)
+    a, b = [rng.randrange(50) for _ in range(20_000)], [rng.randrange(50) for _ in range(20_000)]
+    shared(a, b)
+    assert time.time() - began < 30
+    for _ in range(200):
+        a, b = [rng.randrange(4) for _ in range(rng.randrange(9))], [rng.randrange(4) for _ in range(rng.randrange(9))]
+        row = [0] * (len(b) + 1)
+        for x in a:
+            last, row = row, [0]
+            for j, y in enumerate(b):
+                row.append(last[j] + 1 if x == y else max(row[j], last[j + 1]))
+        got = sorted(shared(a, b))
+        rest = iter(b)
+        assert len(got) == row[-1] and all(a[i] in rest for i in got)
+    assert lines_of('<div data-id="ads">x</div>') == [("open", "x")] and lines_of('<div class="ads">x</div>') == [("aside", "x")]
