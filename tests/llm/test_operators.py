@@ -277,10 +277,21 @@ def test_line_dedup_equals_brute_force(spark):
                 gone |= set(range(k, k + m)) if run in seen else set()
                 seen.add(run)
             want[i] = (len(ls), len(gone), "\n".join(x for k, x in enumerate(ls) if k not in gone))
-        got = {r.doc_id: tuple(r)[1:] for r in line_dedup(table(spark, rows), min_run=m).collect()}
+        got = {r.doc_id: tuple(r)[1:4] for r in line_dedup(table(spark, rows), min_run=m).collect()}
         assert got == want
 
 
+def test_line_runs(spark):
+    """Maximal runs of 100 lines by doubling, beside repeated and null ids, an empty table and a very long line."""
+    lines = [f"line {i}" for i in range(100)]
+    rows = [(1, "\n".join(["a", *lines])), (2, "\n".join([*lines, "b"])), (3, "\n".join(["x", "y", *lines[40:60], "z"])), (3, "\n".join(["x", "y", *lines[40:60], "z"])), (None, "\n".join(lines)), (5, "q" * 300_000), (6, None)]
+    got = [r for r in line_dedup(table(spark, rows)).collect()]
+    by = {r.doc_id: r for r in got}
+    assert len(got) == 7 and [tuple(x) for x in by[2].runs] == [(0, 100, 1, 1)] and [tuple(x) for x in by[3].runs] == [(2, 20, 1, 41)]
+    assert (by[2].text, by[3].text, by[3].n_deleted, by[1].n_deleted, by[None].n_deleted, by[6].n_lines, by[5].text) == ("b", "x\ny\nz", 20, 0, 0, 1, "q" * 300_000)
+    assert line_dedup(table(spark, [])).count() == 0
+
+
 def test_passages(spark):
     rng = random.Random(2)
     filler = lambda n: [f"f{rng.randrange(10**6)}" for _ in range(n)]
