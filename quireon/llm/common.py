@@ -98,14 +98,10 @@ def id_remainder(col: str, n: int) -> Column:
     return F.crc32(F.col(col).cast("string").cast("binary")) % n
 
 
-def ascii_lower(col: Column) -> Column:
-    return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
 def words(col: Column) -> Column:
     """Runs of anything but the six ASCII white spaces, lower-cased A-Z; null gives an empty array."""
-    parts = F.split(ascii_lower(F.coalesce(col, F.lit(""))), "[ \\t-\\r]+")
-    return F.filter(parts, lambda w: w != "")
+    spaced = F.translate(F.coalesce(col, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ\t\n\x0b\x0c\r", "abcdefghijklmnopqrstuvwxyz     ")
+    return F.filter(F.split(spaced, " "), lambda w: w != "")
 
 
 def hot_join(left: DataFrame, right: DataFrame, keys: list[str], weight: str, total: int, how: str = "inner", share: int = HOT_SHARE) -> DataFrame:

@@ -3,7 +3,8 @@
 import random
 import re
 import time
-from collections import defaultdict
+import zlib
+from collections import Counter, defaultdict
 from hashlib import sha256
 
 import numpy as np
@@ -16,7 +17,7 @@ from quireon.llm.decontaminate import Index, find_leaks, infix_distance
 from quireon.llm.exact_dedup import exact_dedup
 from quireon.llm.html_text import extract, lines_of, shared
 from quireon.llm.language_id import language_id, viterbi
-from quireon.llm.lattice_lm import Lattice, lm_scores
+from quireon.llm.lattice_lm import Lattice, lattice, lm_scores
 from quireon.llm.line_dedup import line_dedup
 from quireon.llm.near_dedup import long_links, near_dedup, postings, rest_pairs, sketched
 from quireon.llm.substring_dedup import chains, repeated_passages
@@ -342,16 +343,46 @@ def test_language(spark):
     assert got[1].lang_pred == got[2].lang_pred == "und" and got[1].score == 0 and 0 <= got[4].score <= 1
 
 
+TOTAL = 1 / 2 + 1 / 3 + 1 / 4 + 1 / 6 + 256 / 6  # weights of four pieces and, at the least of them, of the 256 bytes
+
+
 def test_lattice(spark):
     m = Lattice([("▁a", -1.0), ("a", -2.0), ("▁aa", -3.0), ("b", -5.0)])
 
     def brute(word):
-        logs = {p: np.log(w) for p, w in zip(["▁a", "a", "▁aa", "b"], np.array([1 / 2, 1 / 3, 1 / 4, 1 / 6]) / (1 / 2 + 1 / 3 + 1 / 4 + 1 / 6), strict=True)}
+        logs = {p: np.log(w) for p, w in zip(["▁a", "a", "▁aa", "b"], np.array([1 / 2, 1 / 3, 1 / 4, 1 / 6]) / TOTAL, strict=True)}
         paths = lambda s: 1.0 if not s else sum(np.exp(v) * 0.65 * paths(s[len(p) :]) for p, v in logs.items() if s.startswith(p))
         return np.log(paths("▁" + word) * 0.35 / 0.65)
 
     for w in ("a", "aa", "aab", "aaaa"):
         assert m.score([w])[0] == pytest.approx(brute(w))
+    assert m.score(["b" * 3000])[0] < 3000 * np.log(1 / 6 / TOTAL)
+
+    def expected(word):  # over all segmentations
+        paths = lambda s: [[]] if not s else [[p, *rest] for p in ("▁a", "a", "▁aa", "b") if s.startswith(p) for rest in paths(s[len(p) :])]
+        logs = dict(zip(["▁a", "a", "▁aa", "b"], np.array([1 / 2, 1 / 3, 1 / 4, 1 / 6]) / TOTAL, strict=True))
+        weigh = [np.prod([logs[p] * 0.65 for p in path]) for path in paths("▁" + word)]
+        return sum(w * len(path) for w, path in zip(weigh, paths("▁" + word), strict=True)) / sum(weigh)
+
+    for w in ("a", "aab", "aaaa"):
+        assert m.expected([w]).sum() == pytest.approx(expected(w))
+    test_rows = [(i, random.Random(i).choice(["the cat sat", "The dog ran off", "a Cat\x0bran", "x" * 400 + " of", "dog"])) for i in range(60)] + [(60, None), (61, "unseen zzz"), (None, "the end"), (None, "the end"), (next(i for i in range(70, 99) if zlib.crc32(str(i).encode()) % 5 == 1), "zq" * 300)]
+    held = {i for i, _ in test_rows if i is not None and zlib.crc32(str(i).encode()) % 5 == 1}
+    split = lambda t: re.findall(r"[^\x20\x09-\x0D]+", (t or "").lower())
+    trained = [t for i, t in test_rows if i not in held]
+    c = Counter(w for t in trained for w in split(t))
+    n, v, k = sum(c.values()) + len(trained), len(c) + 1, Counter(c.values())
+    d = k[1] / (k[1] + 2 * k[2]) if k[1] and k[2] else 0.5
+    fitted = lattice(P.path("piece_bpe_32k.model"))
+    fitted.logs, fitted.stop = fitted.first, 0.35
+    fitted.fitted(fitted.expected(sorted(c)), len(c))
+    b = {w: fitted.score([w])[0] for t in [t for _, t in test_rows] for w in split(t)}
+    logsum = lambda xs: max(xs) + np.log(sum(np.exp(x - max(xs)) for x in xs))
+    lp = lambda w: logsum([*([np.log((c[w] - d) / n)] if c[w] else []), np.log(d * v / n * 0.99) + b[w]]) / np.log(10)
+    want = sorted((str(i), i in held, len(split(t)) + 1, sum(c[w] > 0 for w in split(t)) + 1, n, sum(np.log10((c[w] + 0.5) / (n + 0.5 * (v + 1))) for w in split(t)) + np.log10((len(trained) + 0.5) / (n + 0.5 * (v + 1))), sum(map(lp, split(t))) + np.log10((len(trained) - d + d * v * 0.01) / n)) for i, t in test_rows)
+    got = sorted((str(r.doc_id), *tuple(r)[1:]) for r in lm_scores(table(spark, test_rows)).collect())
+    assert [r for r in zip(got, want) if r[0][:5] != r[1][:5]] == []
+    assert np.allclose([r[5:] for r in got], [r[5:] for r in want]) and min(r[6] for r in got) < -400
     rows = [(i, "the cat sat" if i % 2 else "The dog ran off") for i in range(40)] + [(50, None), (51, "unseen zzz")]
     got = lm_scores(table(spark, rows)).collect()
     by = {r.doc_id: r for r in got}
