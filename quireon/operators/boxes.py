@@ -55,16 +55,30 @@ def merge_close_peaks(peaks: list[float]) -> list[float]:
 
 
 def neighbours(boxes: DataFrame, band: int = 64) -> DataFrame:
-    """Right neighbour of each box: the nearest to its right that overlaps in y and is nearer than its own width.
+    """Left and right neighbour of each box: the box with the nearest left edge on either side that overlaps in y, if close enough.
 
+    Close is nearer than the box's own width: the left one's right edge, the right one's left edge.
     Boxes meet in horizontal bands of the page (an equi-join), not in a cross join.
     """
     bands = F.explode(F.sequence(F.expr(f"int(anchor_y div {band})"), F.expr(f"int(antipod_y div {band})"))).alias("band")
-    a = boxes.select("page_id", F.col("box_id").alias("id"), F.col("antipod_x").alias("x"), F.col("anchor_y").alias("y0"), F.col("antipod_y").alias("y1"), "width", bands)
-    b = boxes.select("page_id", F.col("box_id").alias("other"), F.col("anchor_x").alias("ox"), F.col("anchor_y").alias("oy0"), F.col("antipod_y").alias("oy1"), bands)
-    near = a.join(b, ["page_id", "band"]).filter("id <> other and ox >= x and ox - x < width and y0 < oy1 and oy0 < y1")
-    best = near.groupBy("page_id", "id").agg(F.min(F.struct(F.expr("ox - x").alias("d"), "other"))["other"].alias("right_neighbor"))
-    return boxes.select("page_id", "box_id").join(best.withColumnRenamed("id", "box_id"), ["page_id", "box_id"], "left")
+    a = boxes.select("page_id", F.col("box_id").alias("id"), F.col("anchor_x").alias("x"), F.col("antipod_x").alias("z"), F.col("anchor_y").alias("y0"), F.col("antipod_y").alias("y1"), "width", bands)
+    b = boxes.select("page_id", F.col("box_id").alias("other"), F.col("anchor_x").alias("ox"), F.col("antipod_x").alias("oz"), F.col("anchor_y").alias("oy0"), F.col("antipod_y").alias("oy1"), bands)
+    near = a.join(b, ["page_id", "band"]).filter("ox <> x and y0 < oy1 and oy0 < y1")
+    side = lambda where: F.min(F.when(F.expr(where), F.struct(F.expr("abs(ox - x)").alias("d"), "other", F.expr("CASE WHEN ox < x THEN oz > x - width ELSE ox < z + width END").alias("close"))))
+    best = near.groupBy("page_id", F.col("id").alias("box_id")).agg(side("ox < x").alias("l"), side("ox > x").alias("r"))
+    best = best.select("page_id", "box_id", F.when(F.col("l.close"), F.col("l.other")).alias("left_neighbor"), F.when(F.col("r.close"), F.col("r.other")).alias("right_neighbor"))
+    return boxes.select("page_id", "box_id").join(best, ["page_id", "box_id"], "left")
+
+
+def invalid(boxes: DataFrame, page_area: Column) -> DataFrame:
+    """The boxes that are no characters, with their lower right corners."""
+    m = boxes.groupBy("page_id").agg(F.median("area").alias("_m"))
+    return with_corners(boxes.join(m, "page_id").filter(~is_valid(F.col("_m"), page_area)).drop("_m"))
+
+
+def nearest_peak(height: Column, peaks: list[int]) -> Column:
+    """The peak nearest to a height, the lower one on ties."""
+    return F.array_min(F.array(*[F.struct(F.abs(height - p).alias("d"), F.lit(p).alias("p")) for p in peaks]))["p"]
 
 
 def rollup(boxes: DataFrame, level: str) -> DataFrame:

@@ -33,11 +33,11 @@ FROM (SELECT *, CASE shape WHEN 0 THEN concat('Donne en Grand Conseil a ', place
 _name = lambda n: "CASE " + " ".join(f"WHEN month(o_orderdate) = {i} THEN '{m}'" for i, m in enumerate(n, 1)) + " END"
 NAMES = _name(["janvier", "fevrier", "mars", "avril", "mai", "juin", "juillet", "aout", "septembre", "octobre", "novembre", "decembre"])
 PLACE = "CASE " + " ".join(f"WHEN o_custkey % 6 = {i} THEN '{p}'" for i, p in enumerate(PLACES)) + " END"
-#: Boxes of characters on pages of a thousand points.
+#: Boxes of characters on pages of a thousand points; pages grow in number with the table.
 BOXES = """
-SELECT CAST(l_orderkey % 50 AS int) AS page_id, row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate) AS box_id,
+SELECT CAST(floor(l_orderkey / 50) AS bigint) AS page_id, row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate) AS box_id,
   CAST(l_partkey * 37 % 1000 AS int) AS anchor_x, CAST(l_suppkey * 91 % 1000 AS int) AS anchor_y, CAST(5 + l_quantity AS int) AS width, CAST(8 + l_linenumber * 3 AS int) AS height,
-  CAST(5 + l_quantity AS int) * CAST(8 + l_linenumber * 3 AS int) AS area FROM lineitem WHERE l_orderkey % 20 = 1
+  CAST(5 + l_quantity AS int) * CAST(8 + l_linenumber * 3 AS int) AS area FROM lineitem
 """
 
 
@@ -69,7 +69,7 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     load(spark, sf_dir, "lineitem")
-    return spark.sql(BOXES.replace("row_number() OVER (ORDER BY l_orderkey, ", "row_number() OVER (PARTITION BY l_orderkey % 50 ORDER BY l_orderkey, "))
+    return spark.sql(BOXES.replace("row_number() OVER (ORDER BY l_orderkey, ", "row_number() OVER (PARTITION BY floor(l_orderkey / 50) ORDER BY l_orderkey, "))
 
 
-BOXES_SQL = BOXES.replace("row_number() OVER (ORDER BY l_orderkey, ", "row_number() OVER (PARTITION BY l_orderkey % 50 ORDER BY l_orderkey, ")
+BOXES_SQL = BOXES.replace("row_number() OVER (ORDER BY l_orderkey, ", "row_number() OVER (PARTITION BY floor(l_orderkey / 50) ORDER BY l_orderkey, ")

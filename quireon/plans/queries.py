@@ -268,15 +268,15 @@ def q_topics_kw(spark: SparkSession, d: str) -> DataFrame:
     return A.texts(spark, d).groupBy(F.array_join(named, ",").alias("sujets"), code.alias("code")).agg(F.count("*").alias("n"))
 
 
-@query("SELECT okey, day AS jour, month AS mois, year AS annee, replace(lower(place), 'st maurice', 'st-maurice') AS lieu, CASE status WHEN 'O' THEN 'loi' WHEN 'F' THEN 'decret' ELSE 'arrete' END AS categorie FROM {text} WHERE shape < 3")
+@query("SELECT okey, CASE WHEN shape < 4 THEN day END AS jour, month AS mois, year AS annee, CASE WHEN shape < 3 THEN replace(lower(place), 'st maurice', 'st-maurice') END AS lieu, CASE status WHEN 'O' THEN 'loi' WHEN 'F' THEN 'decret' ELSE 'arrete' END AS categorie FROM {text}")
 def q_simple_documents(spark: SparkSession, d: str) -> DataFrame:
-    t = A.texts(spark, d).filter("shape < 3").select("okey", "text")
+    t = A.texts(spark, d).select("okey", "text")
     return M.simple_documents(t, ["okey"]).select("okey", "jour", "mois", "annee", "lieu", "categorie")
 
 
-@query("SELECT ckey, count(*) AS n_documents FROM {text} WHERE shape < 3 GROUP BY ckey")
+@query("SELECT ckey, count(*) AS n_documents FROM {text} GROUP BY ckey")
 def q_compile_split(spark: SparkSession, d: str) -> DataFrame:
-    t = A.texts(spark, d).filter("shape < 3").groupBy("ckey").agg(F.array_sort(F.collect_list(F.struct("okey", "text"))).alias("p"))
+    t = A.texts(spark, d).groupBy("ckey").agg(F.array_sort(F.collect_list(F.struct("okey", "text"))).alias("p"))
     whole = t.select("ckey", F.array_join(F.transform("p", lambda x: x["text"]), "\n").alias("text"))
     return M.split_compilation(whole, ["ckey"]).groupBy("ckey").agg(F.count("*").alias("n_documents"))
 
@@ -352,7 +352,13 @@ def q_valid_boxes(spark: SparkSession, d: str) -> DataFrame:
     return b.join(m, "page_id").groupBy("page_id").agg(F.count("*").alias("n"), F.count_if(B.is_valid(F.col("m"), F.lit(1_000_000))).alias("valid"))
 
 
-@query("SELECT a.page_id, a.box_id, (SELECT arg_min(b.box_id, (b.anchor_x - a.anchor_x - a.width) * 100000 + b.box_id) FROM {boxes} b WHERE b.page_id = a.page_id AND b.box_id <> a.box_id AND b.anchor_x >= a.anchor_x + a.width AND b.anchor_x - a.anchor_x - a.width < a.width AND a.anchor_y < b.anchor_y + b.height AND b.anchor_y < a.anchor_y + a.height) AS right_neighbor FROM {boxes} a")
+@query("""
+WITH b AS (SELECT * FROM {boxes}),
+n AS (SELECT a.page_id, a.box_id, arg_min(o.box_id, CAST(a.anchor_x - o.anchor_x AS bigint) * 10000000 + o.box_id) FILTER (WHERE o.anchor_x < a.anchor_x) AS l, arg_min(o.box_id, CAST(o.anchor_x - a.anchor_x AS bigint) * 10000000 + o.box_id) FILTER (WHERE o.anchor_x > a.anchor_x) AS r
+  FROM b a JOIN b o ON o.page_id = a.page_id AND a.anchor_y < o.anchor_y + o.height AND o.anchor_y < a.anchor_y + a.height GROUP BY 1, 2)
+SELECT b.page_id, b.box_id, CASE WHEN l.anchor_x + l.width > b.anchor_x - b.width THEN l.box_id END AS left_neighbor, CASE WHEN r.anchor_x < b.anchor_x + 2 * b.width THEN r.box_id END AS right_neighbor
+FROM b LEFT JOIN n ON n.page_id = b.page_id AND n.box_id = b.box_id LEFT JOIN b l ON l.page_id = b.page_id AND l.box_id = n.l LEFT JOIN b r ON r.page_id = b.page_id AND r.box_id = n.r
+""")
 def q_neighbors(spark: SparkSession, d: str) -> DataFrame:
     return B.neighbours(B.with_corners(A.boxes(spark, d)))
 

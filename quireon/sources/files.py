@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import struct
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -34,6 +35,27 @@ def read_metadata(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.csv(path, header=True, schema=schema, multiLine=True, escape='"')
 
 
+def write_metadata(tables: dict[str, DataFrame], path: str) -> None:
+    """One CSV folder per table (images, shelf marks, documents); lists are written as JSON."""
+    for name, df in tables.items():
+        lists = {f.name: F.to_json(f.name) for f in df.schema.fields if isinstance(f.dataType, T.ArrayType)}
+        df.withColumns(lists).write.csv(f"{path}/{name}", header=True, escape='"', mode="overwrite")
+
+
+def cached(spark: SparkSession, path: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """The table at path (tokens, topics, sizes; lists stay lists), made and written there where it isn't yet."""
+    if not exists(spark, path):
+        make().write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def write_new_texts(df: DataFrame, path: str, name: str = "txt_name", text: str = "text") -> None:
+    """A folder of one text file for each row whose name isn't there yet."""
+    if exists(df.sparkSession, path):
+        df = missing(df, df.sparkSession.read.text(path).select(name), name)
+    df.select(name, F.col(text).alias("value")).write.partitionBy(name).mode("append").text(path)
+
+
 def check_columns(df: DataFrame, expected: list[str]) -> DataFrame:
     if set(df.columns) != set(expected):
         raise ValueError(f"columns differ: {sorted(set(df.columns) ^ set(expected))}")
@@ -49,10 +71,14 @@ def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select(F.col("_metadata.file_name").alias("file"), "length")
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
 def read_bank(spark: SparkSession, path: str) -> DataFrame:
     """Expression bank without header; a missing file is an empty bank."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    if not hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop):
+    if not exists(spark, path):
         return spark.createDataFrame([], "expression string")
     return spark.read.csv(path, sep="\t", schema="expression string").dropna().distinct()
 
