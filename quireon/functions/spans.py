@@ -20,27 +20,48 @@ def let(value: Column, f) -> Column:
     return F.get(F.transform(F.array(value), f), F.lit(0))
 
 
-def find(text: Column, pattern: str | Column) -> Column:
-    """All matches: array of struct(start, end, text). The gaps between matches tell where they stand."""
-    p = F.lit(pattern) if isinstance(pattern, str) else pattern
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,text:string>>").alias("out"))
+def find(text: Column, pattern: str) -> Column:
+    """All matches: array of struct(start, end, text); NUL counts as a space.
+
+    One pass with a pattern that is compiled once puts a NUL at both ends of each match; what
+    stands between NULs is then gap and match by turns. (Splitting at the pattern itself would
+    compile it anew for every row.)
+    """
+    pieces = F.split(F.regexp_replace(F.translate(text, "\x00", " "), F.lit(pattern), F.lit("\x00$0\x00")), "\x00", -1)
+    zero = F.struct(F.lit(0).alias("at"), F.lit(False).alias("is_match"), F.array().cast("array<struct<start:int,end:int,text:string>>").alias("out"))
 
     def step(s: Column, x: Column) -> Column:
-        start = s["at"] + F.length(x["gap"])
-        match = F.struct(start.alias("start"), (start + F.length(x["m"])).alias("end"), x["m"].alias("text"))
-        return F.struct((start + F.length(x["m"])).alias("at"), F.concat(s["out"], F.array(match)).alias("out"))
+        end = s["at"] + F.length(x)
+        match = F.struct(s["at"].alias("start"), end.alias("end"), x.alias("text"))
+        return F.struct(end.alias("at"), (~s["is_match"]).alias("is_match"), F.when(s["is_match"], F.concat(s["out"], F.array(match))).otherwise(s["out"]).alias("out"))
+
+    return F.when(text.isNotNull(), F.aggregate(pieces, zero, step)["out"])
+
+
+def cascade(text: Column, levels: list[tuple[str, str]], needs: list[str] | None = None) -> Column:
+    """struct(code, matches) of the first level whose pattern occurs; only that level's matches are computed.
+
+    needs has for each level a part of its pattern, or "", without which it can't occur; each
+    such part is looked for once, before any level.
+    """
+    parts = [p for p in dict.fromkeys(needs or []) if p]
 
-    pairs = F.zip_with(F.regexp_extract_all(text, p, F.lit(0)), F.split(text, p, -1), lambda m, gap: F.struct(m.alias("m"), gap.alias("gap")))
-    return F.aggregate(F.filter(pairs, lambda x: x["m"].isNotNull()), zero, step)["out"]
+    def chosen(s: Column) -> Column:
+        level = F.lit(len(levels))
+        for i, (_, pattern) in reversed(list(enumerate(levels))):
+            occurs = s["text"].rlike(pattern)
+            level = F.when(s[f"p{parts.index(needs[i])}"] & occurs if needs and needs[i] else occurs, F.lit(i)).otherwise(level)
+        return F.struct(s["text"].alias("text"), level.alias("level"))
 
+    def matched(s: Column) -> Column:
+        code, matches = F.lit("no_match"), F.lit(None)
+        for i, (name, pattern) in reversed(list(enumerate(levels))):
+            code = F.when(s["level"] == i, F.lit(name)).otherwise(code)
+            matches = F.when(s["level"] == i, find(s["text"], pattern)).otherwise(matches)
+        return F.struct(code.alias("code"), matches.alias("matches"))
 
-def cascade(text: Column, levels: list[tuple[str, str]]) -> Column:
-    """struct(code, matches) of the first level whose pattern occurs; only that level's matches are computed."""
-    level = F.lit(len(levels))
-    for i, (_, pattern) in reversed(list(enumerate(levels))):
-        level = F.when(text.rlike(pattern), F.lit(i)).otherwise(level)
-    codes, patterns = F.array(*[F.lit(c) for c, _ in levels]), F.array(*[F.lit(p) for _, p in levels])
-    return let(level, lambda i: F.struct(F.coalesce(F.get(codes, i), F.lit("no_match")).alias("code"), F.when(i < len(levels), find(text, F.get(patterns, i))).alias("matches")))
+    known = let(text, lambda t: F.struct(t.alias("text"), *[t.rlike(p).alias(f"p{k}") for k, p in enumerate(parts)]))
+    return let(let(known, chosen), matched)
 
 
 def first(matches: Column) -> Column:

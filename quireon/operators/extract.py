@@ -41,13 +41,17 @@ DATE_LEVELS = [
 ]
 
 
+#: What each level can't be without, in one line with it: a full date, a month and year, or neither.
+DATE_NEEDS = ["(?iU)" + part if (part := FULL_DATE if p.endswith(FULL_DATE) else MONTH_YEAR if p.endswith(MONTH_YEAR) else "") else "" for _, p in DATE_LEVELS]
+
+
 def dates(text: Column) -> tuple[Column, Column]:
     """(code, matches) of the date cascade; a partial date alone counts only if all its matches read alike."""
     def decide(c: Column) -> Column:
         alike = (c["code"] != "date_partielle_unique") | (F.size(F.array_distinct(F.transform(c["matches"], lambda m: m["text"]))) == 1)
         return F.struct(F.when(alike, c["code"]).otherwise("no_match").alias("code"), F.when(alike, c["matches"]).alias("matches"))
 
-    got = S.let(S.cascade(one_line(text), [(c, S.whole(p)) for c, p in DATE_LEVELS]), decide)
+    got = S.let(S.cascade(one_line(text), [(c, S.whole(p)) for c, p in DATE_LEVELS], DATE_NEEDS), decide)
     return got["code"], got["matches"]
 
 
