@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ranked, read, sieve, spread, table
+from .common import drop, hot_join, ranked, read, sieve, spread, table
 
 #: A tag with quoted values, and one that ends at the first > (after a quote that nothing closes).
 TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
@@ -192,6 +192,22 @@ def text_of(page: str, near: list[int], both: list[int]) -> str:
     return "\n".join([got[i][1] for i in [i for i in mine if i not in gone] or mine])
 
 
+def with_repeated_lines(gone: DataFrame, paths: DataFrame) -> DataFrame:
+    """(_key, _near, _both): of the lines that both neighbours share, those that at least half of the host's paths (three or more) have."""
+    line = F.xxhash64("_host", "_line").alias("_line_key")
+    each = gone.select("_key", "_host", F.posexplode("_lines").alias("_i", "_line"), "_both").select("_key", "_host", line, F.get("_both", F.col("_i")).alias("_at"))
+    asked = table(each.select("_line_key").distinct(), "asked")
+    held = paths.select("_host", F.explode(F.array_distinct("_hashes")).alias("_line")).select("_host", line)
+    times = sieve(held, "_line_key", asked, "line-bits").groupBy("_line_key", "_host").agg(F.count("*").alias("times"))
+    sizes = paths.groupBy("_host").agg(F.count("*").alias("paths"))
+    often = table(times.join(sizes, "_host").filter("times >= 3 and 2 * times >= paths").groupBy("_line_key").agg(F.max("times").alias("times")), "boilerplate")
+    kept = hot_join(each.drop("_host"), often, ["_line_key"], "times", often.agg(F.sum("times")).first()[0] or 0)
+    kept = kept.groupBy("_key").agg(F.sort_array(F.collect_list("_at")).alias("_both"))
+    out = table(gone.drop("_both", "_lines", "_host").join(kept, "_key", "left"), "gone")
+    drop(gone, asked, often)
+    return out
+
+
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per row of pages: id, url, text, n_chars.
 
@@ -199,8 +215,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     order; the lines of their texts (blocks, menus and all) are aligned by longest common
     subsequence, and shared lines go. Markup is the second signal. Where it names the article
     (article or main), its blocks less menus, notices, forms, comments and the like are the text,
-    and of these the lines go that both neighbours share: a copy of an article stands beside
-    one page, what a site repeats beside all. Elsewhere the blocks not marked as such are the text,
+    and of these the lines go that both neighbours share and at least half of the host's paths
+    have: copies of an article are few, what a site repeats is on most of its pages. Elsewhere the blocks not marked as such are the text,
     less the lines that the nearest page shares (the one with the longer common start of the path).
     A page with nothing left is a copy and stays whole.
 
@@ -220,9 +236,10 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
     def difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = [differenced(*row) for row in zip(*(batch.column(i).to_pylist() for i in range(2, 6)), strict=True)]
+            got = [(*differenced(*row), row[0]) for row in zip(*(batch.column(i).to_pylist() for i in range(2, 6)), strict=True)]
             kind = pa.list_(pa.int32())
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array([g[0] for g in got], kind), pa.array([g[1] for g in got], kind)], names=["_key", "_id", "_near", "_both"])
+            lines = pa.array([[hashes[i] for i in both] for _, both, hashes in got], pa.list_(pa.int64()))
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array([g[0] for g in got], kind), pa.array([g[1] for g in got], kind), lines], names=["_key", "_host", "_near", "_both", "_lines"])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -237,9 +254,9 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     paths = ranked(placed.groupBy("_host", "_path").agg(F.min(F.struct("_id", "_hashes"))["_hashes"].alias("_hashes")), ["_host", "_path"], "paths")
     beside = lambda step: paths.select("_host", (F.col("_rank") - step).alias("_rank"), F.struct(F.col("_path").alias("path"), F.col("_hashes").alias("hashes")).alias("_after" if step > 0 else "_before"))
     trio = paths.select("_host", "_path", "_rank").join(beside(1), ["_host", "_rank"], "left").join(beside(-1), ["_host", "_rank"], "left").filter("_after is not null or _before is not null")
-    own = placed.join(trio.drop("_rank"), ["_host", "_path"]).select("_key", "_id", "_hashes", "_path", "_after", "_before")
-    gone = own.mapInArrow(difference, "_key long, _id long, _near array<int>, _both array<int>").filter("size(_near) > 0")
-    gone = table(gone.dropDuplicates(["_key"]).drop("_id"), "gone")
+    own = placed.join(trio.drop("_rank"), ["_host", "_path"]).select("_key", "_host", "_hashes", "_path", "_after", "_before")
+    gone = own.mapInArrow(difference, "_key long, _host string, _near array<int>, _both array<int>, _lines array<long>").filter("size(_near) > 0")
+    gone = with_repeated_lines(table(gone.dropDuplicates(["_key"]), "shared"), paths)
     none = F.lit(None).cast("array<int>")
     rest = sieve(rows, "_key", gone, "gone-bits", keep=False).select("_id", "_url", "_html", none.alias("_near"), none.alias("_both"))
     cut = sieve(rows, "_key", gone, "gone-bits").join(gone, "_key", "left").select("_id", "_url", "_html", "_near", "_both")
