@@ -433,3 +433,25 @@ def test_html_long_and_broken_pages():
         rest = iter(b)
         assert len(got) == row[-1] and all(a[i] in rest for i in got)
     assert lines_of('<div data-id="ads">x</div>') == [("open", "x")] and lines_of('<div class="ads">x</div>') == [("aside", "x")]
+
+
+def test_language_edges(spark):
+    """Repeated rows, null ids, clashing columns, a very long text, an empty table, and a table without labels."""
+    schema = "doc_id long, text string, lang string"
+    rows = [(i, "the cat and the dog" if i % 2 else "le chat et le chien", "en" if i % 2 else "fr") for i in range(40)]
+    odd = [(50, "the dog " * 30_000, None), (51, "le chat", None), (51, "le chat", None), (None, "the cat", None), (52, "the dog and the cat " * 20 + "le chien et le chat " * 19, None)]
+    df = spark.createDataFrame(rows + odd, schema).withColumns({c: F.lit("x") for c in ("_text", "held_out", "lang_pred", "score", "source")})
+    got = language_id(df).collect()
+    by = {r.doc_id: r for r in got}
+    assert len(got) == 45 and (by[50].lang_pred, by[51].lang_pred, by[None].lang_pred, by[None].held_out) == ("en", "fr", "en", False) and sum(r.doc_id == 51 for r in got) == 2
+    assert [(s.lang, s.words) for s in by[52].spans] == [("en", 100), ("fr", 95)]
+    assert language_id(spark.createDataFrame([], schema)).count() == 0
+    assert {r.lang_pred for r in language_id(spark.createDataFrame([(1, "the cat", None)], schema)).collect()} == {"und"}
+
+
+def test_exact_dedup_edges(spark):
+    """Ids that repeat inside a group, with equal and other texts, and very long texts."""
+    long = "y" * 2_000_000
+    rows = [(1, "a"), (1, "a"), (2, "a"), (2, "b"), (3, long), (4, long), (5, long + "z")]
+    got = sorted((r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact_dedup(table(spark, rows)).collect())
+    assert got == [(1, 2, 3, False), (1, 2, 3, False), (2, 2, 1, True), (2, 2, 3, True), (3, 4, 2, False), (4, 4, 2, True), (5, 5, 1, True)]
