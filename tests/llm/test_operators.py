@@ -332,6 +332,31 @@ def test_passages_equal_brute_force(spark):
     assert got == want and 20 < len(want) < len(docs) - 40
 
 
+def test_passages_whole(spark):
+    """Every pair of documents that shares just 50 words, or 50 with edits near their ends, is linked, whoever else holds parts of them; less isn't."""
+    rng = random.Random(21)
+    filler = lambda n: [f"f{rng.randrange(10**7)}" for _ in range(n)]
+    docs: list[list[str]] = []
+    whole = [filler(50) for _ in range(60)]
+    for _ in range(150):  # pieces of 30 words, side by side: stretches of repeated seeds, but no passage
+        docs.append(filler(20) + [w for p in rng.sample(whole, 4) for at in [rng.randrange(21)] for w in p[at : at + 30] + filler(20)] + filler(20))
+    pairs = set()
+    for p in whole:
+        for _ in range(2):
+            docs.append(filler(rng.randrange(5, 60)) + p + filler(rng.randrange(5, 60)))
+        pairs.add((len(docs) - 2, len(docs) - 1))
+    for _ in range(60):
+        p = filler(54)
+        docs += [filler(30) + p + filler(30), filler(40) + p[:4] + filler(1) + p[5:49] + filler(1) + p[50:] + filler(20)]
+        pairs.add((len(docs) - 2, len(docs) - 1))
+    for _ in range(40):  # 44 words
+        p = filler(44)
+        docs += [filler(30) + p + filler(30), filler(40) + p + filler(20)]
+    rows = repeated_passages(table(spark, [(i, " ".join(w)) for i, w in enumerate(docs)])).collect()
+    assert {(r.source_id, r.doc_id) for r in rows if not r.first} == pairs
+    assert all(r.n_words >= 50 and r.similarity >= 0.8 for r in rows)
+
+
 def test_language(spark):
     got = viterbi([np.array([[0.0, -9], [-3, 0], [0, -9]]), np.array([[-9.0, 0]]), np.array([[0.0, -9], [-9, 0], [-9, 0]])], 8.0)
     assert [p.tolist() for p in got] == [[0, 0, 0], [1], [0, 1, 1]]
