@@ -20,7 +20,7 @@ from quireon.llm.language_id import language_id, viterbi
 from quireon.llm.lattice_lm import Lattice, lattice, lm_scores
 from quireon.llm.line_dedup import line_dedup
 from quireon.llm.near_dedup import long_links, near_dedup, postings, rest_pairs, sketched
-from quireon.llm.substring_dedup import chains, repeated_passages
+from quireon.llm.substring_dedup import bags, chains, ends, growth, repeated_passages, shared_words
 from quireon.llm.token_counts import token_counts
 
 P = pytest.importorskip("public_tokenizers")
@@ -357,6 +357,43 @@ def test_passages_whole(spark):
     assert all(r.n_words >= 50 and r.similarity >= 0.8 for r in rows)
 
 
+def test_passages_under_common_line(spark):
+    """3,000 documents with one line and nothing else alike around it: all pairs are compared, few of them word by word."""
+    rng = random.Random(22)
+    filler = lambda n: [f"f{rng.randrange(10**8)}" for _ in range(n)]
+    n, line = 3000, filler(20)
+    p, q = [filler(25) for _ in range(n + 2)], [filler(25) for _ in range(n + 2)]
+    docs = [filler(45) + p[i] + line + q[i] + filler(45) + p[i + 1] + filler(45) + q[i + 2] + filler(5) for i in range(n)]
+    same = filler(30)
+    docs[700], docs[2100] = docs[700][:70] + line + same + docs[700][120:], docs[2100][:70] + line + same + docs[2100][120:]
+    began = time.time()
+    rows = repeated_passages(table(spark, [(i, " ".join(w)) for i, w in enumerate(docs)])).collect()
+    assert {(r.source_id, r.doc_id) for r in rows if not r.first} == {(700, 2100)}
+    assert time.time() - began < 30
+
+
+def test_passage_bounds():
+    """Beginnings of least length against a plain table; words shared in any order bound those shared in order."""
+    rng = np.random.default_rng(5)
+    for _ in range(50):
+        a, b = rng.integers(0, 6, (2, 64))
+        t = np.zeros((65, 65), int)
+        for i in range(64):
+            for j in range(64):
+                t[i + 1, j + 1] = t[i, j] + 1 if a[i] == b[j] else max(t[i, j + 1], t[i + 1, j])
+        want = [(i, j, t[i, j]) for i in range(1, 65) for j in range(1, 65) if a[i - 1] == b[j - 1] and t[i, j] > max(t[i - 1, j], t[i, j - 1])]
+        assert ends(a.tolist(), b.tolist()) == [(0, 0, 0), *want]
+    left, right = (rng.integers(-1, 400, (30, 64)).astype(np.int32) for _ in range(2))
+    left[1], right[2] = left[0], right[0]
+    bag = bags(left, right)
+    both = shared_words(bag, bag)
+    i, j = (k.ravel() for k in np.indices(both.shape))
+    u, v = np.where(left < 0, -2, left), np.where(right < 0, -2, right)
+    assert (both.ravel() >= growth(left[i], u[j])[:, -1].astype(int) + growth(right[i], v[j])[:, -1]).all()
+    sets = [Counter(x for x in row if x >= 0) for row in bag.tolist()]
+    assert both.tolist() == [[sum((a & b).values()) for b in sets] for a in sets]
+
+
 def test_language(spark):
     got = viterbi([np.array([[0.0, -9], [-3, 0], [0, -9]]), np.array([[-9.0, 0]]), np.array([[0.0, -9], [-9, 0], [-9, 0]])], 8.0)
     assert [p.tolist() for p in got] == [[0, 0, 0], [1], [0, 1, 1]]
