@@ -40,8 +40,8 @@ def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Byte-level BPE of what is left; a small memo, since executors hold the memory of the stages before."""
-    return bpe_round_trip(docs, with_ids=False, memo=100_000)
+    """Byte-level BPE of what is left; a small memo, freed when a task ends, since executors hold the memory of the stages before."""
+    return bpe_round_trip(docs, with_ids=False, memo=100_000, keep=False)
 
 
 def without(docs: DataFrame, gone: DataFrame) -> DataFrame:

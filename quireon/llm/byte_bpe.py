@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import own_memos, read, spread
+from .common import let_go, own_memos, read, spread
 from .token_counts import spelled, tokenizer_path
 
 #: Distinct pre-tokens, and chunks of them, that a worker keeps, and the characters of the longest of them;
@@ -200,10 +200,12 @@ def unload() -> None:
     _loaded.clear()
 
 
-def bpe_round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, with_ids: bool = True, memo: int = MEMO) -> DataFrame:
+def bpe_round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, with_ids: bool = True, memo: int = MEMO, keep: bool = True) -> DataFrame:
     """One row per row of docs: id, n_tokens, ids (array, only with with_ids), ids_sha256, decoded_sha256.
 
-    memo says how many pre-tokens and chunks a worker keeps: memory for time.
+    memo says how many pre-tokens and chunks a worker keeps: memory for time; without keep it
+    keeps them, and the tables, only to the end of a task (Spark deals tasks to its idle workers
+    in turn, so that otherwise all of them come to hold their own).
     Null text counts as empty: no tokens, the digests of nothing. Null ids are carried,
     repeated rows repeat, extra columns are not read. No shuffle. Token-position rows of a
     batch's distinct pre-tokens join the merge table inside DuckDB; each pass contracts the
@@ -227,6 +229,9 @@ def bpe_round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     yield pa.record_batch(columns, names=[id_col, "n_tokens", *["ids"] * with_ids, "ids_sha256", "decoded_sha256"])
         finally:
             gc.enable()
+            if not keep:
+                del c
+                let_go("byte_bpe")
 
     picked = spread(docs.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).alias("_text")))
     return picked.mapInArrow(run, f"`{id_col}` long, n_tokens long, {'ids array<int>, ' * with_ids}ids_sha256 string, decoded_sha256 string")

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import id_remainder, own_memos, read, spread
+from .common import id_remainder, let_go, own_memos, read, spread
 
 #: Labelled rows that the classifier is fitted on at most (in expectation; chosen by a hash of the id).
 FIT_ROWS = 20_000
@@ -192,6 +192,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     sample = labelled.filter(F.pmod(F.xxhash64(id_col), F.lit(1 << 20)) < math.ceil(share * (1 << 20)))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own_memos("language_id")
         find, n = word_finder(), defaultdict(int)
         for batch in batches:
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -220,14 +221,18 @@ def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own_memos("language_id")  # this operator's are the task's own
         m, find = Model(model.value), word_finder()
-        for batch in batches:
-            for start in range(0, batch.num_rows, 1024):
-                part = batch.slice(start, 1024)
-                got = m.predict([find((t or "").lower()) for t in part.column(2).to_pylist()])
-                columns = [part.column(0), part.column(1), pa.array([g[0] for g in got]), pa.array([min(1.0, g[1]) for g in got])]
-                if spans:
-                    columns.append(pa.array([[{"lang": a, "words": b} for a, b in g[2]] for g in got], pa.list_(pa.struct([("lang", pa.string()), ("words", pa.int32())]))))
-                yield pa.record_batch(columns, names=[id_col, "held_out", "lang_pred", "score", *["spans"] * spans])
+        try:
+            for batch in batches:
+                for start in range(0, batch.num_rows, 1024):
+                    part = batch.slice(start, 1024)
+                    got = m.predict([find((t or "").lower()) for t in part.column(2).to_pylist()])
+                    columns = [part.column(0), part.column(1), pa.array([g[0] for g in got]), pa.array([min(1.0, g[1]) for g in got])]
+                    if spans:
+                        columns.append(pa.array([[{"lang": a, "words": b} for a, b in g[2]] for g in got], pa.list_(pa.struct([("lang", pa.string()), ("words", pa.int32())]))))
+                    yield pa.record_batch(columns, names=[id_col, "held_out", "lang_pred", "score", *["spans"] * spans])
+        finally:
+            del m
+            let_go("language_id")
 
     picked = docs.select(F.col(id_col).cast("long").alias(id_col), F.coalesce(id_remainder(id_col, 3) == 1, F.lit(False)).alias("held_out"), F.col(text_col).alias("_text"))
     return spread(picked).mapInArrow(run, f"`{id_col}` long, held_out boolean, lang_pred string, score double{', spans array<struct<lang: string, words: int>>' * spans}")

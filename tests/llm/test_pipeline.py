@@ -74,3 +74,24 @@ def test_pipeline_of_an_empty_table(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_memos_are_freed(spark, monkeypatch):
+    """What a task of the last stage has loaded goes when it ends; the first stage's tasks, fitting included, free what others have left."""
+    import pyarrow as pa
+
+    from quireon.llm import byte_bpe, common, language_id
+
+    docs, tasks = spark.createDataFrame([(1, "some words here", "en"), (2, "other words", "en")], "doc_id long, text string, lang string"), []
+    real = type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, f, *a, **b: tasks.append(f) or real(self, f, *a, **b))
+    monkeypatch.setattr(common, "_held", {})
+    corpus_pipeline.tokens(spark, docs, "")
+    batch = pa.record_batch([pa.array([1]), pa.array(["some words here"])], names=["doc_id", "_text"])
+    assert sum(b.num_rows for b in tasks.pop()(iter([batch]))) == 1
+    assert not byte_bpe._loaded and not common._held
+    language_id.language_id(docs, spans=False)
+    freed = []
+    common._held["other"] = lambda: freed.append("other")
+    assert sum(b.num_rows for b in tasks[0](iter([pa.record_batch([pa.array(["some words"]), pa.array(["en"])], names=["text", "lang"])]))) > 0
+    assert freed == ["other"]
