@@ -20,7 +20,7 @@ from quireon.llm.language_id import language_id, viterbi
 from quireon.llm.lattice_lm import Lattice, lattice, lm_scores
 from quireon.llm.line_dedup import line_dedup
 from quireon.llm.near_dedup import long_links, near_dedup, postings, rest_pairs, sketched
-from quireon.llm.substring_dedup import bags, chains, ends, growth, repeated_passages, shared_words
+from quireon.llm.substring_dedup import bags, chains, ends, growth, op7_substring_dedup, repeated_passages, shared_words
 from quireon.llm.token_counts import token_counts
 
 P = pytest.importorskip("public_tokenizers")
@@ -357,6 +357,46 @@ def test_passages_whole(spark):
     assert all(r.n_words >= 50 and r.similarity >= 0.8 for r in rows)
 
 
+def test_passage_classes(spark, tmp_path):
+    """op7 has a row per stretch of a document, however many pairs hold it; its links, classes and sources are those of all the pairs."""
+    rng = random.Random(23)
+    filler = lambda n: [f"f{rng.randrange(10**7)}" for _ in range(n)]
+    p, q, r = filler(90), filler(60), filler(120)
+    docs = [filler(20) + p + filler(30) for _ in range(30)] + [filler(9) + q + filler(30) + p for _ in range(2)] + [q + filler(25) for _ in range(3)]
+    docs += [filler(5) + r[:70] + filler(40), filler(12) + r[50:] + filler(30), filler(30) + r + filler(20), filler(150)]
+    for _ in range(12):  # variants of one text, not all alike enough to each other
+        v = list(r)
+        for at in rng.sample(range(120), 14):
+            v[at] = filler(1)[0]
+        docs.append(filler(rng.randrange(30)) + v + filler(20))
+    rows = [(i, " ".join(w)) for i, w in enumerate(docs)] + [(99, None), (None, " ".join(p))]
+    table(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    pairs = [x for x in repeated_passages(spark.read.parquet(f"{tmp_path}/documents.parquet")).collect() if not x.first]
+    held = defaultdict(set)
+    for x in pairs:
+        held[x.doc_id].update(range(x.start_word, x.start_word + x.n_words))
+        held[x.source_id].update(range(x.source_start, x.source_start + x.source_words))
+    spans = defaultdict(set)
+    for x in pairs:
+        spans[x.doc_id].add((x.start_word, x.start_word + x.n_words))
+        spans[x.source_id].add((x.source_start, x.source_start + x.source_words))
+    at = lambda i, w: max(s for s, _ in spans[i] if s <= w and not any(a < s < b for a, b in spans[i]))
+    links = defaultdict(set)
+    for x in pairs:
+        a, b = (x.doc_id, at(x.doc_id, x.start_word)), (x.source_id, at(x.source_id, x.source_start))
+        links[a].add(b)
+        links[b].add(a)
+    least = {k: min([k, *v]) for k, v in links.items()}
+    for _ in links:
+        least = {k: min(least[k], *(least[o] for o in v)) for k, v in links.items()}
+    got = {(x.doc_id, x.start_word): x for x in op7_substring_dedup(spark, str(tmp_path)).collect()}
+    assert got.keys() == links.keys() and len(pairs) > len(links) == 30 + 4 + 3 + 15
+    for k, x in got.items():
+        assert ((x.class_id, x.class_start), x.n_links, (x.source_id, x.source_start), x.first) == (least[k], len(links[k]), min(links[k]), min(links[k])[0] > k[0])
+        assert held[k[0]].issuperset(range(k[1], k[1] + x.n_words)) and k[1] + x.n_words not in held[k[0]]
+    assert len(set(least.values())) == 3
+
+
 def test_passages_under_common_line(spark):
     """3,000 documents with one line and nothing else alike around it: all pairs are compared, few of them word by word."""
     rng = random.Random(22)
