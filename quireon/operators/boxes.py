@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -95,52 +94,3 @@ def bigrams(sequences: DataFrame, values: str) -> DataFrame:
 
 def has_no_jump(pair: tuple, truth: list) -> bool:
     return abs(truth.index(pair[0]) - truth.index(pair[1])) <= 1
-
-
-def lines(words: DataFrame) -> DataFrame:
-    """words with line: greedy rays to the right with a quarter cropped off, like heights, and gaps of two heights at most."""
-
-    def page(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["anchor_x", "anchor_y", "box_id"]).reset_index(drop=True)
-        line, n = [-1] * len(pdf), 0
-        rows = pdf[["anchor_x", "anchor_y", "antipod_x", "antipod_y"]].to_numpy().tolist()
-        for i in range(len(rows)):
-            if line[i] >= 0:
-                continue
-            at = i
-            while at is not None:
-                line[at] = n
-                x0, y0, x1, y1 = rows[at]
-                h, crop, best = y1 - y0, (y1 - y0) / 4, None
-                for j in range(len(rows)):
-                    a, b, _, d = rows[j]
-                    if line[j] < 0 and a >= x1 and a - x1 <= 2 * h and b < y1 - crop and d > y0 + crop and max(h, d - b) < 4 * max(1, min(h, d - b)) and (best is None or a < rows[best][0]):
-                        best = j
-                at = best
-            n += 1
-        return pdf.assign(line=line)
-
-    return words.groupBy("page_id").applyInPandas(page, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in words.schema.fields) + ", line int")
-
-
-def reading_order(lines_: DataFrame) -> DataFrame:
-    """lines with num: columns from left to right, each from top to bottom; a line joins the column it overlaps most."""
-
-    def page(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["anchor_y", "anchor_x", "line"]).reset_index(drop=True)
-        columns: list[list[float]] = []
-        held = []
-        for x0, x1 in zip(pdf["anchor_x"], pdf["antipod_x"], strict=True):
-            overlap = [min(x1, c[1]) - max(x0, c[0]) for c in columns]
-            k = max(range(len(columns)), key=overlap.__getitem__, default=None)
-            if k is None or overlap[k] <= 0:
-                columns.append([x0, x1])
-                k = len(columns) - 1
-            columns[k] = [min(x0, columns[k][0]), max(x1, columns[k][1])]
-            held.append(k)
-        left = pd.Series([columns[k][0] for k in held])
-        order = pd.DataFrame({"l": left, "k": held, "y": pdf["anchor_y"], "x": pdf["anchor_x"], "n": pdf["line"]}).sort_values(["l", "k", "y", "x", "n"]).index
-        num = pd.Series(range(1, len(pdf) + 1), index=order)
-        return pdf.assign(num=num.sort_index().astype("int32"))
-
-    return lines_.groupBy("page_id").applyInPandas(page, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in lines_.schema.fields) + ", num int")

@@ -40,13 +40,30 @@ SELECT CAST(floor(l_orderkey / 50) AS bigint) AS page_id, row_number() OVER (ORD
   CAST(5 + l_quantity AS int) * CAST(8 + l_linenumber * 3 AS int) AS area FROM lineitem
 """
 
+#: Pages of printed text: a word of one to five characters per item, a row of words per order (wrapped after seven),
+#: forty orders in two columns on a page; first rows are titles, last rows are small. Rulers stand between the columns
+#: of every other page and across every fourth. Boxes are numbered from 0 from top to bottom.
+LAYOUT = """
+SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY anchor_y, anchor_x, width, height) - 1 AS bigint) AS box_id, anchor_x, anchor_y, width, height, width * height AS area
+FROM (
+  SELECT page_id, CAST(40 + col * 480 + (k % 7) * 62 + shift + j * 11 AS int) AS anchor_x, CAST(56 + line * 45 + floor(k / 7) * 20 + skip + s % 5 - size - 8 * ((pk + j) % 2) AS int) AS anchor_y, CAST(8 + (pk + j) % 3 AS int) AS width, CAST(size + 8 * ((pk + j) % 2) AS int) AS height
+  FROM (SELECT *, {chars} FROM (
+    SELECT page_id, CAST(floor(slot / 20) AS int) AS col, slot % 20 AS line, k, pk, s, 1 + q % 5 AS n, CASE WHEN slot % 20 = 0 THEN 40 WHEN slot % 20 >= 17 THEN 9 ELSE 14 + 2 * (page_id % 3) END AS size,
+      CASE WHEN page_id % 3 = 2 AND slot = 10 THEN 150 ELSE 0 END AS shift, CASE WHEN page_id % 5 = 3 AND slot >= 20 THEN 20 ELSE 0 END AS skip
+    FROM (SELECT CAST(floor(l_orderkey / 40) AS bigint) AS page_id, CAST(l_orderkey % 40 AS int) AS slot, CAST(l_partkey % 1000000 AS int) AS pk, CAST(l_suppkey % 1000000 AS int) AS s, CAST(l_quantity AS int) AS q,
+        row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate) - 1 AS k FROM lineitem) i) w) c
+  UNION ALL SELECT DISTINCT CAST(floor(l_orderkey / 40) AS bigint), 484, 30, 4, 900 FROM lineitem WHERE floor(l_orderkey / 40) % 2 = 0
+  UNION ALL SELECT DISTINCT CAST(floor(l_orderkey / 40) AS bigint), 30, 481, 930, 4 FROM lineitem WHERE floor(l_orderkey / 40) % 4 = 1
+) b
+"""
+
 
 def spark_sql(view: str) -> str:
-    return view.replace("{text}", "string").replace("{names}", NAMES).replace("{places}", PLACE)
+    return view.replace("{text}", "string").replace("{names}", NAMES).replace("{places}", PLACE).replace("{chars}", "explode(sequence(0, n - 1)) AS j")
 
 
 def duck_sql(view: str) -> str:
-    out = view.replace("{text}", "varchar").replace("{names}", NAMES).replace("{places}", PLACE).replace("'\n'", "chr(10)")
+    out = view.replace("{text}", "varchar").replace("{names}", NAMES).replace("{places}", PLACE).replace("{chars}", "unnest(range(0, n)) AS j").replace("'\n'", "chr(10)")
     return out.replace("array(", "list_value(")
 
 
@@ -72,4 +89,9 @@ def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(BOXES.replace("row_number() OVER (ORDER BY l_orderkey, ", "row_number() OVER (PARTITION BY floor(l_orderkey / 50) ORDER BY l_orderkey, "))
 
 
+def layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    load(spark, sf_dir, "lineitem")
+    return spark.sql(spark_sql(LAYOUT))
+
+
 BOXES_SQL = BOXES.replace("row_number() OVER (ORDER BY l_orderkey, ", "row_number() OVER (PARTITION BY floor(l_orderkey / 50) ORDER BY l_orderkey, ")

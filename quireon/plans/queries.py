@@ -381,9 +381,3 @@ _K = B.half_disc(5)
 @query("WITH h AS (SELECT page_id, height, count(*) AS n FROM {boxes} GROUP BY 1, 2), f AS (SELECT m.page_id, m.height, coalesce(h.n, 0) AS n FROM (SELECT page_id, unnest(range(0, max(height) + 2)) AS height FROM h GROUP BY page_id) m LEFT JOIN h ON h.page_id = m.page_id AND h.height = m.height), s AS (SELECT page_id, height, round(" + " + ".join(f"coalesce({'lag' if i >= 0 else 'lead'}(n, {abs(i)}) OVER w, 0) * {k!r}::double" for i, k in zip(range(-2, 3), _K, strict=True)) + ", 9) AS s FROM f WINDOW w AS (PARTITION BY page_id ORDER BY height)), t AS (SELECT *, coalesce(lag(s) OVER w, 0) AS p, coalesce(lead(s) OVER w, 0) AS q FROM s WINDOW w AS (PARTITION BY page_id ORDER BY height)) SELECT page_id, CAST(height AS int) AS height FROM t WHERE s > p AND s >= q AND s > 0")
 def q_height_peaks(spark: SparkSession, d: str) -> DataFrame:
     return B.height_peaks(A.boxes(spark, d))
-
-
-@query()
-def q_reading_order(spark: SparkSession, d: str) -> DataFrame:
-    words = B.with_corners(A.boxes(spark, d)).drop("area")
-    return B.reading_order(B.rollup(B.lines(words), "line")).select("page_id", "line", "num")
