@@ -123,12 +123,10 @@ def hot_join(left: DataFrame, right: DataFrame, keys: list[str], weight: str, to
     none of which is large, are shuffled. No key's rows meet in one task.
     """
     least = max(2, -(-total // share))
-    hot = F.broadcast(right.filter(F.col(weight) >= least).withColumn("_hot", F.lit(True)))
-    tried = left.join(hot, keys, "left")
-    cold = right.filter(F.col(weight) < least)
-    rest = tried.filter(F.col("_hot").isNull()).select(*left.columns).join(cold, keys, how)
+    hot, cold = right.filter(F.col(weight) >= least), right.filter(F.col(weight) < least)
     out = [*left.columns, *(c for c in right.columns if c not in keys)]
-    return tried.filter("_hot").select(*out).unionAll(rest.select(*out))
+    rest = left.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(cold, keys, how)
+    return left.join(F.broadcast(hot), keys).select(*out).unionAll(rest.select(*out))
 
 
 def ranked(df: DataFrame, order: list[str], label: str, rank: str = "_rank") -> DataFrame:
@@ -152,11 +150,20 @@ def sieve(df: DataFrame, key: str, keys: DataFrame, label: str, bits: int = 26,
     With keep=False the other rows, whose key is surely not among them (null keys too).
     """
     bucket = 4096 * 8
+    b, part, at, bits_of, byte = unused(df, "_b", "_bucket", "_at", "_map", "_byte")
     bit = F.pmod(F.xxhash64(key), F.lit(1 << bits))
-    maps = keys.select(bit.alias("_b")).select(F.expr(f"_b div {bucket}").alias("_bucket"), (F.col("_b") % bucket).alias("_at")).groupBy("_bucket").agg(F.expr("bitmap_construct_agg(_at)").alias("_map"))
-    tried = df.withColumn("_b", bit).withColumn("_bucket", F.expr(f"_b div {bucket}")).join(F.broadcast(table(maps, label)), "_bucket", "inner" if keep else "left")
-    byte = F.conv(F.hex(F.substring("_map", F.expr(f"int((_b % {bucket}) div 8)") + 1, 1)), 16, 10).cast("int")
-    hit = F.coalesce(F.expr("shiftright(_byte, int(_b % 8)) & 1"), F.lit(0)) == 1
-    if keep:
-        return tried.withColumn("_byte", byte).filter(hit).select(*df.columns)
-    return tried.withColumn("_byte", byte).filter(~hit | F.col(key).isNull()).select(*df.columns)
+    maps = keys.select(bit.alias(b)).select(F.expr(f"{b} div {bucket}").alias(part), (F.col(b) % bucket).alias(at)).groupBy(part).agg(F.expr(f"bitmap_construct_agg({at})").alias(bits_of))
+    tried = df.withColumn(b, bit).withColumn(part, F.expr(f"{b} div {bucket}")).join(F.broadcast(table(maps, label)), part, "inner" if keep else "left")
+    tried = tried.withColumn(byte, F.conv(F.hex(F.substring(bits_of, F.expr(f"int(({b} % {bucket}) div 8)") + 1, 1)), 16, 10).cast("int"))
+    hit = F.coalesce(F.expr(f"shiftright({byte}, int({b} % 8)) & 1"), F.lit(0)) == 1
+    return tried.filter(hit if keep else ~hit | F.col(key).isNull()).select(*(f"`{c}`" for c in df.columns))
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores as make it differ from the columns of df."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out

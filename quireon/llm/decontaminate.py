@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import own_memos, read, spread
+from .common import let_go, own_memos, read, spread
 
 #: Repetitions of the walk, steps of a walk (about half as many words), sampled steps of a signature.
 REPEATS, STEPS, SAMPLED = 4, 16, 4
@@ -175,9 +175,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own_memos("decontaminate")
             index = Index(held.value, similarity)
-            for batch in batches:
-                got = [(i, *x) for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for x in index.search(t)]
-                yield pa.record_batch([pa.array([g[c] for g in got], pa.int64()) for c in range(5)], names=[id_col, item_col, "start_word", "n_words", "distance"])
+            try:
+                for batch in batches:
+                    got = [(i, *x) for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for x in index.search(t)]
+                    yield pa.record_batch([pa.array([g[c] for g in got], pa.int64()) for c in range(5)], names=[id_col, item_col, "start_word", "n_words", "distance"])
+            finally:
+                del index
+                let_go("decontaminate")
 
         return picked.mapInArrow(run, schema)
 

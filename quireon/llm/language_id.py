@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .common import id_remainder, let_go, own_memos, read, spread
 
-#: Labelled rows that the classifier is fitted on at most (in expectation; chosen by a hash of the id).
+#: Labelled rows that the classifier is fitted on at most (in expectation; chosen by a hash of id and text, since many rows may have no id).
 FIT_ROWS = 20_000
 #: Words kept in a task's memo.
 MEMO = 400_000
@@ -189,7 +189,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     """Trigram counts (trigram, lang, n) over a bounded sample of labelled training documents."""
     labelled = docs.filter((F.coalesce(id_remainder(id_col, 3), F.lit(0)) != 1) & F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
     share = fit_rows / max(1, labelled.count())
-    sample = labelled.filter(F.pmod(F.xxhash64(id_col), F.lit(1 << 20)) < math.ceil(share * (1 << 20)))
+    sample = labelled.filter(F.pmod(F.xxhash64(id_col, text_col), F.lit(1 << 20)) < math.ceil(share * (1 << 20)))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own_memos("language_id")

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import drop, hot_join, id_remainder, read, spread, table, words
+from .common import drop, hot_join, id_remainder, own_memos, read, spread, table, words
 from .token_counts import tokenizer_path
 
 #: Chance that a spelling ends after a piece before it is fitted, and share of the base measure that the end of a text has.
@@ -151,6 +151,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p
     state: tuple | None = None
 
     def loaded(state: tuple | None) -> Lattice:
+        own_memos("lattice_lm", _loaded.clear)
         m = lattice(tokenizer_path("piece_bpe_32k.model", path))
         m.logs, m.stop = state or (m.first, STOP)
         return m

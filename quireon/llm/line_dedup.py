@@ -41,7 +41,7 @@ def common_prefixes(docs: DataFrame, min_run: int) -> list[tuple[int, DataFrame]
         if not total:
             drop(*spent)
             return out
-        kept = hot_join(suffixes, groups, ["k1", "k2"], "times", total).select("_id", "at", "rank", "first")
+        kept = hot_join(sieve(suffixes, "k1", groups, "run-bits"), groups, ["k1", "k2"], "times", total).select("_id", "at", "rank", "first")
         if length == size:  # rows that repeat an id are one document
             kept = kept.groupBy("_id", "at").agg(F.min(F.struct("rank", "first")).alias("m")).select("_id", "at", "m.*")
         kept = table(kept, "ranks")

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import drop, hot_join, own_memos, read, sieve, spread, table
+from .common import drop, hot_join, let_go, own_memos, read, sieve, spread, table
 from .components import components
 
 #: Values that a sketch retains, and how many of the union sketch's must be shared to be verified.
@@ -73,6 +73,7 @@ def sketched(docs: DataFrame, size: int) -> DataFrame:
                     yield pa.record_batch([part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets]), sketches], names=["_id", "n", "same", "sketch"])
         finally:
             _memo.clear()
+            let_go("near_dedup")
 
     return docs.mapInArrow(run, "_id long, n long, same binary, sketch array<long>")
 
@@ -87,6 +88,7 @@ def sets_of(docs: DataFrame, size: int) -> DataFrame:
                     yield pa.record_batch([part.column(0), pa.array([shingles(t or "", size).tobytes() for t in part.column(1).to_pylist()], pa.binary())], names=["_id", "bag"])
         finally:
             _memo.clear()
+            let_go("near_dedup")
 
     return docs.mapInArrow(run, "_id long, bag binary")
 
@@ -107,22 +109,26 @@ def list_pairs(ratio: int):
     """Candidate pairs of inverted lists, of members in different components."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = [], []
-            for members in batch.column(0).to_pylist():
-                members.sort(key=lambda m: m["id"])
-                sketches = [np.array(m["sketch"], np.int64) for m in members]
-                for i, x in enumerate(members):
-                    for j in range(i + 1, len(members)):
-                        y = members[j]
-                        if x["component"] == y["component"] or 100 * min(x["n"], y["n"]) < ratio * max(x["n"], y["n"]):
-                            continue
-                        union = np.union1d(sketches[i], sketches[j])[: max(len(sketches[i]), len(sketches[j]))]
-                        shared = len(np.intersect1d(np.intersect1d(sketches[i], sketches[j], assume_unique=True), union, assume_unique=True))
-                        if passes(x["n"], y["n"], shared, len(union), ratio):
-                            a.append(x["id"])
-                            b.append(y["id"])
-            yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+        own_memos("near_dedup")
+        yield from map(pairs_of, batches)
+        let_go("near_dedup")
+
+    def pairs_of(batch: pa.RecordBatch) -> pa.RecordBatch:
+        a, b = [], []
+        for members in batch.column(0).to_pylist():
+            members.sort(key=lambda m: m["id"])
+            sketches = [np.array(m["sketch"], np.int64) for m in members]
+            for i, x in enumerate(members):
+                for j in range(i + 1, len(members)):
+                    y = members[j]
+                    if x["component"] == y["component"] or 100 * min(x["n"], y["n"]) < ratio * max(x["n"], y["n"]):
+                        continue
+                    union = np.union1d(sketches[i], sketches[j])[: max(len(sketches[i]), len(sketches[j]))]
+                    shared = len(np.intersect1d(np.intersect1d(sketches[i], sketches[j], assume_unique=True), union, assume_unique=True))
+                    if passes(x["n"], y["n"], shared, len(union), ratio):
+                        a.append(x["id"])
+                        b.append(y["id"])
+        return pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     return run
 
@@ -248,9 +254,13 @@ def long_links(hot: DataFrame, labels: DataFrame, docs: DataFrame, size: int, ra
     rows = places.join(bags.withColumnRenamed("_id", "id"), "id").select("id", "component", "values", "bag", F.explode("cells").alias("c"))
 
     def run(key: tuple, t: pa.Table) -> pa.Table:
+        own_memos("near_dedup")
         v, i, j = (k.as_py() for k in key)
         block, ids = t.column("block").to_numpy(), t.column("id").to_pylist()
-        got = block_links([np.frombuffer(b, np.uint64) for b in t.column("bag").to_pylist()], t.column("values").to_pylist(), t.column("component").to_pylist(), np.flatnonzero(block == i), np.flatnonzero(block == j), v, ratio)
+        bags = [np.frombuffer(b.as_buffer(), np.uint64) for b in t.column("bag")]  # in place
+        got = block_links(bags, t.column("values").to_pylist(), t.column("component").to_pylist(), np.flatnonzero(block == i), np.flatnonzero(block == j), v, ratio)
+        del bags
+        let_go("near_dedup")
         return pa.table({"a": pa.array([ids[p] for p, _ in got], pa.int64()), "b": pa.array([ids[q] for _, q in got], pa.int64())})
 
     out = table(rows.select("c.v", "c.i", "c.j", "c.block", "id", "component", "values", "bag").groupBy("v", "i", "j").applyInArrow(run, "a long, b long"), "long-links")
@@ -264,12 +274,15 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int, ratio: int) -> DataFr
     bags = table(sets_of(sieve(docs, "_id", ends, "end-bits").join(ends, "_id", "left_semi").dropDuplicates(["_id"]), size), "bags")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own_memos("near_dedup")
         for batch in batches:
             keep = []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
                 both, union = alike(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64))
                 keep.append(100 * both >= ratio * union)
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+        batch = x = y = None  # noqa: F841  nothing holds the last bags
+        let_go("near_dedup")
 
     met = pairs.select("a", "b").join(bags.select(F.col("_id").alias("a"), F.col("bag").alias("x")), "a").join(bags.select(F.col("_id").alias("b"), F.col("bag").alias("y")), "b")
     out = table(met.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "verified")
