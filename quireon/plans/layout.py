@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import boxes as B
 from ..operators import fonts as T
 from ..operators import layout as Y
+from ..operators import pixels as P
 from ..sources.scratch import stored
 from . import adapters as A
 from .queries import query
@@ -161,3 +162,58 @@ def q_font_sizes(spark: SparkSession, d: str) -> DataFrame:
     boxes, peaks = _wordy(spark, d)
     words = boxes.groupBy("page_id", "word").agg(F.transform(F.array_sort(F.collect_list(F.struct("box_id", "closest_peak"))), lambda s: s["closest_peak"]).alias("heights"))
     return T.font_sizes(T.pairs(words), peaks).withColumn("sizes", F.array_join("sizes", ","))
+
+
+#: Ink of the boxes view at a tenth of its size, and pages of a hundred by a hundred pixels.
+INK_SQL = f"SELECT DISTINCT page_id, x, unnest(range(y0, y1 + 1)) AS y FROM (SELECT page_id, unnest(range(anchor_x // 10, (anchor_x + width) // 10 + 1)) AS x, anchor_y // 10 AS y0, (anchor_y + height) // 10 AS y1 FROM ({A.BOXES_SQL}))"
+STATS_SQL = f"""
+px AS MATERIALIZED (SELECT * FROM ({INK_SQL}) WHERE x < 100 AND y < 100),
+beside AS (SELECT * FROM (VALUES (-1, -1), (0, -1), (1, -1), (-1, 0), (1, 0), (-1, 1), (0, 1), (1, 1)) v(dx, dy)),
+reach AS (SELECT page_id, y * 100 + x AS seed, x, y FROM px p WHERE NOT EXISTS (SELECT 1 FROM px q WHERE q.page_id = p.page_id AND ((q.y = p.y - 1 AND q.x IN (p.x - 1, p.x, p.x + 1)) OR (q.y = p.y AND q.x = p.x - 1)))
+  UNION SELECT p.page_id, n.seed, p.x, p.y FROM (SELECT r.page_id, r.seed, r.x + dx AS x, r.y + dy AS y FROM reach r, beside) n JOIN px p ON p.page_id = n.page_id AND p.x = n.x AND p.y = n.y),
+rooted AS (SELECT page_id, x, y, min(seed) AS root FROM reach GROUP BY ALL),
+paper AS (SELECT p.page_id, g.x, g.y FROM (SELECT DISTINCT page_id FROM px) p, (SELECT x.x, y.x AS y FROM range(0, 100) x(x), range(0, 100) y(x)) g ANTI JOIN px q ON q.page_id = p.page_id AND q.x = g.x AND q.y = g.y)
+SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY root) AS int) AS label, min(x) AS anchor_x, min(y) AS anchor_y, max(x) - min(x) + 1 AS width, max(y) - min(y) + 1 AS height, count(*) AS area FROM rooted GROUP BY page_id, root
+UNION ALL SELECT page_id, 0, min(x), min(y), max(x) - min(x) + 1, max(y) - min(y) + 1, count(*) FROM paper GROUP BY page_id"""
+
+
+def _ink(spark: SparkSession, d: str, tenth: int = 10) -> DataFrame:
+    b = A.boxes(spark, d)
+    span = lambda a, n: F.sequence(F.expr(f"int({a} div {tenth})"), F.expr(f"int(({a} + {n}) div {tenth})"))
+    return b.select("page_id", F.explode(span("anchor_x", "width")).alias("x"), span("anchor_y", "height").alias("ys"), "area").select("page_id", "x", F.explode("ys").alias("y"), "area")
+
+
+@query(f"WITH RECURSIVE {STATS_SQL}")
+def q_component_stats(spark: SparkSession, d: str) -> DataFrame:
+    ink = _ink(spark, d).filter("x < 100 and y < 100").groupBy("page_id", "y").agg(F.collect_set("x").alias("xs"))
+    all_rows = ink.select("page_id").distinct().select("page_id", F.explode(F.sequence(F.lit(0), F.lit(99))).alias("y")).join(ink, ["page_id", "y"], "left")
+    row = F.transform(F.sequence(F.lit(0), F.lit(99)), lambda i: F.when(F.array_contains(F.coalesce("xs", F.array().cast("array<int>")), i), 0).otherwise(255))
+    return P.component_stats(all_rows.select("page_id", "y", row.alias("row")))
+
+
+#: Photographs of 40 by 40 pixels: white around, almost white paper, ink of the boxes view at a twenty-fifth of its size.
+PHOTO = """
+SELECT p.page_id, x, y, CASE WHEN x < 6 OR x > 33 OR y < 4 THEN 255 ELSE coalesce(ink, CASE WHEN (x * 7 + y * 13 + p.page_id) % 5 < 3 THEN 205 ELSE 120 END) END AS r, CASE WHEN x < 6 OR x > 33 OR y < 4 THEN 255 ELSE coalesce(ink, CASE WHEN (x + y) % 4 < 3 THEN 210 ELSE 130 END) END AS g,
+  CASE WHEN x < 6 OR x > 33 OR y < 4 THEN 255 ELSE coalesce(ink + 7, 201 + (x * y) % 20) END AS b
+FROM (SELECT * FROM (SELECT DISTINCT page_id FROM photo_ink) i, xs, ys) p LEFT JOIN (SELECT page_id AS ip, x AS ix, y AS iy, min(area) % 90 AS ink FROM photo_ink GROUP BY 1, 2, 3) k ON ip = page_id AND ix = x AND iy = y
+"""
+_box = "ROWS BETWEEN 10 PRECEDING AND 10 FOLLOWING"
+BLUR_SQL = f"""
+WITH photo_ink AS (SELECT page_id, x, unnest(range(y0, y1 + 1)) AS y, area FROM (SELECT page_id, unnest(range(anchor_x // 25, (anchor_x + width) // 25 + 1)) AS x, anchor_y // 25 AS y0, (anchor_y + height) // 25 AS y1, area FROM ({A.BOXES_SQL}))),
+xs AS (SELECT unnest(range(0, 40)) AS x), ys AS (SELECT unnest(range(0, 40)) AS y),
+photo AS MATERIALIZED ({PHOTO}),
+w AS MATERIALIZED (SELECT *, r = 255 AND g = 255 AND b = 255 AS w FROM photo),
+e AS (SELECT a.*, a.w AND EXISTS (SELECT 1 FROM (VALUES (-1, 0), (1, 0), (0, -1), (0, 1)) v(dx, dy) JOIN w o ON o.page_id = a.page_id AND o.x = a.x + dx AND o.y = a.y + dy WHERE NOT o.w) AS edge FROM w a),
+m AS (SELECT page_id, floor(avg(r)) AS mr, floor(avg(g)) AS mg, floor(avg(b)) AS mb FROM photo GROUP BY page_id),
+f AS (SELECT page_id, x, y, edge, CASE WHEN r > 200 AND g > 200 AND b > 200 THEN mr ELSE r END AS r, CASE WHEN r > 200 AND g > 200 AND b > 200 THEN mg ELSE g END AS g, CASE WHEN r > 200 AND g > 200 AND b > 200 THEN mb ELSE b END AS b FROM e JOIN m USING (page_id)),
+h AS (SELECT *, bool_or(edge) OVER v AS ve, sum(r) OVER v AS vr, sum(g) OVER v AS vg, sum(b) OVER v AS vb FROM f WINDOW v AS (PARTITION BY page_id, x ORDER BY y {_box})),
+s AS (SELECT *, bool_or(ve) OVER v AS near, sum(vr) OVER v AS sr, sum(vg) OVER v AS sg, sum(vb) OVER v AS sb FROM h WINDOW v AS (PARTITION BY page_id, y ORDER BY x {_box}))
+SELECT page_id, x, y, CAST(CASE WHEN near THEN floor(sr / 441) ELSE r END AS int) AS r, CAST(CASE WHEN near THEN floor(sg / 441) ELSE g END AS int) AS g, CAST(CASE WHEN near THEN floor(sb / 441) ELSE b END AS int) AS b FROM s"""
+
+
+@query(BLUR_SQL)
+def q_blurred_boundary(spark: SparkSession, d: str) -> DataFrame:
+    _ink(spark, d, 25).createOrReplaceTempView("photo_ink")
+    for name in ("xs", "ys"):
+        spark.range(40).selectExpr(f"int(id) AS {name[0]}").createOrReplaceTempView(name)
+    return P.blurred_boundary(spark.sql(PHOTO))
