@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.rules import STATES, YES_STATES
 from ..operators import selection as K
+from ..sources.named import NamedFiles
+from ..sources.scratch import shared_folder
 from . import adapters as A
 from .queries import query
 
@@ -48,3 +52,14 @@ def presses(spark: SparkSession, d: str) -> DataFrame:
 @query(REPLAY_SQL)
 def q_replay(spark: SparkSession, d: str) -> DataFrame:
     return K.replayed(presses(spark, d)).withColumn("states", F.array_join("states", ","))
+
+
+@query("SELECT cote || '.txt' AS name, 'images ' || string_agg(Z_name, ', ' ORDER BY Z_name) AS text FROM {log} WHERE is_included = 1 GROUP BY cote")
+def q_named_files(spark: SparkSession, d: str) -> DataFrame:
+    """A file per shelf mark, written in two runs of which the second meets files of the first, and read back."""
+    spark.dataSource.register(NamedFiles)
+    folder = f"{shared_folder(spark)}/quireon-archive/named-{uuid.uuid4().hex}"
+    texts = A.log(spark, d).filter("is_included = 1").groupBy("cote").agg(F.concat(F.lit("images "), F.array_join(F.sort_array(F.collect_list("Z_name")), ", ")).alias("text"))
+    for part in (texts.filter(F.crc32(F.col("cote").cast("binary")) % 2 == 0), texts):
+        part.write.format("named_files").option("suffix", ".txt").mode("append").save(folder)
+    return spark.read.format("named_files").load(folder)
