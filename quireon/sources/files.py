@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import struct
+import unicodedata
 from collections.abc import Callable
 
 import pandas as pd
@@ -105,17 +106,31 @@ def image_size(content: pd.Series) -> pd.DataFrame:
 
 
 def alto_text(spark: SparkSession, path: str) -> DataFrame:
-    """(file, text) of ALTO pages: a line break per line, a blank line after a gap of three heights."""
-    lines = spark.read.format("xml").option("rowTag", "TextLine").schema("_VPOS int, _HEIGHT int, String array<struct<_CONTENT: string>>").load(path)
-    rows = lines.select(F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("n"), "_VPOS", "_HEIGHT", F.array_join(F.transform("String", lambda s: s["_CONTENT"]), " ").alias("line"))
+    """(file, text) of ALTO pages, in NFC: a line break before a line that begins over 3/4 of a height below the one before, a blank line over three.
+
+    A file is read whole, and a line's place is its place in the file, so files of any size keep
+    their order. Words are followed by a space, which a break takes away; empty lines count for
+    the gaps. A file without lines has an empty text.
+    """
+    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.regexp_replace("value", "(?s)<!--.*?-->", "").alias("xml"))
+    cut = F.regexp_extract_all("xml", F.lit(r"(?s)(<TextLine\b(?:[^>]*/>|.*?</TextLine>))"), F.lit(1))
+    lines = whole.select("file", F.posexplode_outer(cut).alias("n", "line")).select("file", "n", F.from_xml("line", "_VPOS int, _HEIGHT int, String array<struct<_CONTENT: string>>").alias("t"))
+    rows = lines.select("file", "n", "t._VPOS", "t._HEIGHT", F.array_join(F.transform("t.String", lambda s: F.concat(F.coalesce(s["_CONTENT"], F.lit("")), F.lit(" "))), "").alias("line"))
     return join_lines(rows, F.col("_VPOS"), F.col("_HEIGHT"))
 
 
 def join_lines(rows: DataFrame, top: Column, height: Column) -> DataFrame:
     w = Window.partitionBy("file").orderBy("n")
-    before = F.lag(top).over(w)
-    gap = F.when(before.isNull(), "").when(top > before + 3 * height, "\n\n").when(top > before + 0.75 * height, "\n").otherwise(" ")
-    return rows.withColumn("piece", F.concat(gap, "line")).groupBy("file").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "piece"))), lambda s: s["piece"]), "").alias("text"))
+    before, high = F.lag(top).over(w), F.lag(height).over(w)
+    below = lambda times: F.coalesce((before > 0) & (high > 0) & (top > before + times * high), F.lit(False))
+    rows = rows.withColumn("piece", F.concat(F.when(below(0.75), "\n").otherwise(""), F.when(below(3), "\n").otherwise(""), F.coalesce("line", F.lit(""))))
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "piece"))), lambda s: s["piece"]), "")
+    return rows.groupBy("file").agg(text.alias("text")).select("file", nfc(F.rtrim(F.regexp_replace("text", " \n", "\n"))).alias("text"))
+
+
+@F.pandas_udf(T.StringType())
+def nfc(text: pd.Series) -> pd.Series:
+    return text.map(lambda t: unicodedata.normalize("NFC", t))
 
 
 def write_manifests(df: DataFrame, path: str) -> None:
