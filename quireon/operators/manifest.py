@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
+from ..functions.names import page_label
 
 
 def shown(value: Column, kind: str = "string") -> Column:
@@ -34,17 +35,48 @@ def document_entries() -> Column:
     return F.array(entry("Date", french_date(F.col("jour"), F.col("mois"), F.col("annee"))), *[entry(label, shown(F.col(name))) for name, label in R.DOCUMENT_LABELS.items()])
 
 
-def manifests(cotes: DataFrame, images: DataFrame, parts: DataFrame, base: str = "https://example.org/iiif") -> DataFrame:
+def parts_entries(parts: DataFrame) -> DataFrame:
+    """(cote, content): the sub-documents of each compilation, in order of their numbers, with their entries."""
+    one = F.struct(F.col("sous_document").cast("int").alias("n"), F.struct(F.concat(F.lit("Sous-document "), F.col("sous_document")).alias("label"), document_entries().alias("metadata")).alias("part"))
+    return parts.groupBy("cote").agg(F.transform(F.array_sort(F.collect_list(one)), lambda x: x["part"]).alias("content"))
+
+
+def canvas(base: str) -> Column:
+    """An image on its canvas: size, resource with its service, labelled fields and languages."""
+    at = F.concat(F.lit(f"{base}/iiif/2/"), F.col("name"))
+    service = F.struct(F.lit("http://iiif.io/api/image/2/context.json").alias("@context"), at.alias("@id"), F.lit("http://iiif.io/api/image/2/level2.json").alias("profile"))
+    resource = F.struct(F.lit("dctypes:Image").alias("@type"), F.concat(at, F.lit("/full/full/0/default."), F.col("file_extension")).alias("@id"), service.alias("service"))
+    fields = [entry(label, shown(F.array_contains("states", "m"), "boolean") if name == "manuscrit" else shown(F.col(name))) for name, label in R.IMAGE_LABELS.items()]
+    metadata = F.array(*fields, entry("Langue", languages(F.col("states"), True)))
+    painting = F.struct(F.lit("oa:Annotation").alias("@type"), F.lit("sc:painting").alias("motivation"), F.concat(at, F.lit("/canvas/1")).alias("on"), resource.alias("resource"), metadata.alias("metadata"))
+    return F.struct(F.lit("sc:Canvas").alias("@type"), F.concat(at, F.lit("/canvas/1")).alias("@id"), F.concat(F.lit("Page "), page_label(F.col("name"))).alias("label"), "width", "height", F.array(painting).alias("images"))
+
+
+#: What a publisher says of all manifests.
+PUBLISHED = {"label": "archive", "description": "Imprimés", "license": "CC BY-NC 4.0", "attribution": "Archives"}
+
+
+def manifests(cotes: DataFrame, images: DataFrame, parts: DataFrame, base: str = "https://example.org", published: dict[str, str] = PUBLISHED) -> DataFrame:
     """(cote, manifest): one JSON text per shelf mark.
 
     cotes: cote, interest, is_compil, n_images, states and document fields. images: cote, name,
-    width, height, states. parts: sub-documents of compilations with the same fields.
+    file_extension, width, height, states and the names of original texts. parts: sub-documents of
+    compilations with the same fields as documents. The thumbnail is the image of the least name.
     """
-    canvas = F.struct(F.col("name"), F.concat(F.lit(f"{base}/"), F.col("cote"), F.lit("/canvas/"), F.col("name")).alias("@id"), F.lit("sc:Canvas").alias("@type"), F.right("name", F.lit(3)).alias("label"), F.col("width"), F.col("height"), F.array(entry("Langues", languages(F.col("states"), True))).alias("metadata"))
-    sequence = images.groupBy("cote").agg(F.sort_array(F.collect_list(canvas)).alias("canvases"), F.min("name").alias("thumbnail"))
-    content = parts.groupBy("cote").agg(F.sort_array(F.collect_list(F.struct(F.col("sous_document").cast("int").alias("n"), document_entries().alias("metadata")))).alias("content"))
-    head = F.array(entry("Côte", F.col("cote")), entry("Intérêt", shown(F.col("interest"))), entry("Compilation", shown(F.col("is_compil"), "boolean")), entry("Nombre d'images", shown(F.col("n_images"))))
-    simple = F.concat(head, document_entries(), F.array(entry("Langues", languages(F.col("states")))))
-    compiled = F.concat(head, F.array(entry("Contenu", F.to_json("content"))))
-    whole = F.struct(F.lit("http://iiif.io/api/presentation/2/context.json").alias("@context"), F.concat(F.lit(f"{base}/"), F.col("cote"), F.lit("/manifest.json")).alias("@id"), F.lit("sc:Manifest").alias("@type"), F.col("cote").alias("label"), "thumbnail", F.when(F.coalesce("is_compil", F.lit(False)), compiled).otherwise(simple).alias("metadata"), F.array(F.struct(F.lit("sc:Sequence").alias("@type"), "canvases")).alias("sequences"))
-    return cotes.join(sequence, "cote").join(content, "cote", "left").select("cote", F.to_json(whole, {"ignoreNullFields": "false"}).alias("manifest"))
+    pages = images.groupBy("cote").agg(F.transform(F.array_sort(F.collect_list(F.struct("name", canvas(base).alias("canvas")))), lambda x: x["canvas"]).alias("canvases"), F.min_by(F.struct("name", "width", "height"), "name").alias("_t"))
+    head = [entry("Côte", F.col("cote")), entry("Intérêt", shown(F.col("interest"))), entry("Compilation", shown(F.col("is_compil"), "boolean")), entry("Nombre d'images", shown(F.col("n_images"))), entry("Structure vide", shown(F.array_contains("states", "v"), "boolean"))]
+    simple = F.to_json(F.concat(F.array(*head), document_entries(), F.array(entry("Langue", languages(F.col("states"))))))
+    opened = F.to_json(F.array(*head))
+    compiled = F.concat(F.left(opened, F.length(opened) - 1), F.lit(',{"label":"Contenu","value":'), F.coalesce(F.to_json("content"), F.lit("[]")), F.lit("}]"))
+    metadata = F.when(F.coalesce("is_compil", F.lit(False)), compiled).otherwise(simple)
+    pixels = lambda c: F.concat(F.col(f"_t.{c}").cast("string"), F.lit("px"))
+    thumbnail = F.struct(F.concat(F.lit(f"{base}/iiif/2/"), F.col("_t.name"), F.lit("/thumb/canvas/1")).alias("@id"), F.lit("dctypes:images").alias("@type"), pixels("width").alias("width"), pixels("height").alias("height"))
+    words = F.struct(F.lit("http://iiif.io/api/search/1/autocomplete").alias("profile"), F.lit("Get suggested words").alias("label"))
+    search = F.array(F.struct(F.lit("http://iiif.io/api/search/1/context.json").alias("@context"), F.lit("").alias("@id"), F.lit("http://iiif.io/api/search/1/search").alias("profile"), F.lit("Search within this thing").alias("label"), words.alias("service")))
+    sequences = F.array(F.struct(F.lit("sc:Sequence").alias("@type"), F.lit("individuals/paged").alias("viewingHint"), F.lit("left-to-right").alias("viewingDirection"), "canvases"))
+    told = {k: F.lit(v).alias(k) for k, v in published.items()}
+    start = F.struct(F.lit("http://iiif.io/api/presentation/2/context.json").alias("@context"), F.lit("sc:Manifest").alias("@type"), F.concat(F.lit(f"{base}/manifest/CH-AEV_IV_"), F.col("cote"), F.lit(".json")).alias("@id"), told["label"], told["description"])
+    rest = F.struct(thumbnail.alias("thumbnail"), told["license"], search.alias("service"), told["attribution"], sequences.alias("sequences"))
+    joined = lambda a, m, b: F.concat(F.left(a, F.length(a) - 1), F.lit(',"metadata":'), m, F.lit(","), F.substr(b, F.lit(2)))
+    text = joined(F.to_json(start), metadata, F.to_json(rest))
+    return cotes.join(pages, "cote").join(parts_entries(parts), "cote", "left").select("cote", text.alias("manifest"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import names as N
@@ -333,15 +333,45 @@ def q_manifest_fields(spark: SparkSession, d: str) -> DataFrame:
     return A.log(spark, d).select("Z_name", J.shown(F.col("interest")).alias("interest"), J.shown(F.col("is_compil"), "boolean").alias("is_compil"))
 
 
-@query("SELECT cote, min(regexp_extract(Z_name, '^([^.]*)', 1)) AS thumbnail, count(*) AS n_canvases FROM {log} WHERE is_included = 1 GROUP BY cote")
+#: Document fields of a shelf mark (from its order key) or of a sub-document (from an image's quantity), in both dialects.
+FIELDS = {
+    "jour": "CASE WHEN x % 7 > 0 THEN CAST(1 + x % 28 AS int) END", "mois": "CASE WHEN x % 5 > 0 THEN CAST(1 + x % 12 AS int) END", "annee": "CASE WHEN x % 11 > 0 THEN CAST(1798 + x % 90 AS int) END",
+    "lieu": "CASE x % 3 WHEN 0 THEN 'Sion' WHEN 1 THEN 'St-Maurice' END", "categorie": "CASE WHEN x % 2 = 0 THEN 'Arrêté' END", "intitule": "CASE WHEN x % 4 > 0 THEN concat('Loi \"', CAST(x AS {text}), '\" sur le commerce') END",
+    "signataire_nom": "CASE WHEN x % 6 = 0 THEN 'Jean Rey' END", "signataire_titre": "CASE WHEN x % 6 < 2 THEN 'Le president' END", "secretaire_nom": "CASE WHEN x % 9 = 0 THEN 'Paul Roux' END", "secretaire_titre": "CASE WHEN x % 9 < 2 THEN 'Le secretaire' END",
+    "imprimeur": "CASE WHEN x % 10 > 4 THEN 'samuel delisle' END", "sujet_1": "CASE WHEN x % 8 > 1 THEN 'incendie' END", "sujet_2": "CASE WHEN x % 8 > 4 THEN 'école' END", "sujet_3": "CASE WHEN x % 8 = 7 THEN 'forêts' END",
+}
+_fields = lambda x, text: ", ".join(f"{e.replace('x %', x + ' %').replace('(x AS', '(' + x + ' AS').replace('{text}', text)} AS {n}" for n, e in FIELDS.items())
+_dash = lambda v: f"coalesce(CAST({v} AS varchar), '-')"
+_yes = lambda v: f"CASE WHEN {v} IS NULL THEN '-' WHEN {v} THEN 'oui' ELSE 'non' END"
+_item = lambda label, v: "{'label': '" + label.replace("'", "''") + "', 'value': " + v + "}"
+_months = "['" + "', '".join(R.LABEL_MONTHS) + "']"
+_doc = ", ".join([_item("Date", f"coalesce(nullif(concat_ws(' ', jour, {_months}[mois], annee), ''), '-')"), *(_item(label, _dash(n)) for n, label in R.DOCUMENT_LABELS.items())])
+_langs = lambda labels: "coalesce(nullif(concat_ws(', ', " + ", ".join(f"CASE WHEN list_contains(states, '{s}') THEN '{v}' END" for s, v in labels.items()) + "), ''), '-')"
+_head = ", ".join([_item("Côte", "cote"), _item("Intérêt", _dash("interest")), _item("Compilation", _yes("is_compil")), _item("Nombre d'images", _dash("n_images")), _item("Structure vide", _yes("list_contains(states, 'v')"))])
+_at = "'https://example.org/iiif/2/' || name"
+_image = ", ".join(_item(label, _yes("list_contains(states, 'm')") if n == "manuscrit" else _dash(n)) for n, label in R.IMAGE_LABELS.items()) + ", " + _item("Langue", _langs(R.LANGUAGE_LABELS | {"b": "sans texte"}))
+MANIFEST_SQL = f"""
+WITH l AS MATERIALIZED (SELECT *, split_part(Z_name, '.', 1) AS name, CASE WHEN q % 3 = 0 THEN name || '_fr.txt' END AS texte_original_fr, NULL AS texte_original_la, CASE WHEN q % 5 = 0 THEN name || '_it.txt' END AS texte_original_it FROM {{log}} WHERE is_included = 1),
+c AS (SELECT r.cote, string_split(r.states, ',') AS states, interest, is_compil, n_images, {_fields("okey", "varchar")} FROM ({ROLLUP_SQL}) r JOIN (SELECT DISTINCT cote, okey FROM l) k ON k.cote = r.cote),
+p AS (SELECT cote, list({{'label': 'Sous-document ' || n, 'metadata': [{_doc}]}} ORDER BY n) AS content FROM (SELECT cote, row_number() OVER (PARTITION BY cote ORDER BY Z_name) AS n, {_fields("q", "varchar")} FROM l) GROUP BY cote),
+i AS (SELECT cote, min(name) AS thumb, count(*) AS n_canvases, arg_min({{'@id': {_at} || '/thumb/canvas/1', '@type': 'dctypes:images', 'width': (100 + q) || 'px', 'height': (2 * q) || 'px'}}, name) AS t,
+  list({{'@type': 'sc:Canvas', '@id': {_at} || '/canvas/1', 'label': 'Page ' || right(name, 3), 'width': 100 + q, 'height': 2 * q, 'images': [{{'@type': 'oa:Annotation', 'motivation': 'sc:painting', 'on': {_at} || '/canvas/1', 'resource': {{'@type': 'dctypes:Image', '@id': {_at} || '/full/full/0/default.jpg', 'service': {{'@context': 'http://iiif.io/api/image/2/context.json', '@id': {_at}, 'profile': 'http://iiif.io/api/image/2/level2.json'}}}}, 'metadata': [{_image}]}}]}} ORDER BY name) AS canvases FROM l GROUP BY cote),
+m AS (SELECT cote, thumb, n_canvases, t, canvases, CASE WHEN coalesce(is_compil, false) THEN '[' || substr(to_json([{_head}]), 2, length(to_json([{_head}])) - 2) || ',{{"label":"Contenu","value":' || to_json(content) || '}}]' ELSE to_json([{_head}, {_doc}, {_item("Langue", _langs(R.LANGUAGE_LABELS))}]) END AS metadata FROM c JOIN i USING (cote) JOIN p USING (cote))
+SELECT cote, thumb AS thumbnail, n_canvases, '{{"@context":"http://iiif.io/api/presentation/2/context.json","@type":"sc:Manifest","@id":"https://example.org/manifest/CH-AEV_IV_' || cote || '.json","label":"archive","description":"Imprimés","metadata":' || metadata || ',"thumbnail":' || to_json(t) || ',"license":"CC BY-NC 4.0","service":[{{"@context":"http://iiif.io/api/search/1/context.json","@id":"","profile":"http://iiif.io/api/search/1/search","label":"Search within this thing","service":{{"profile":"http://iiif.io/api/search/1/autocomplete","label":"Get suggested words"}}}}],"attribution":"Archives","sequences":[{{"@type":"sc:Sequence","viewingHint":"individuals/paged","viewingDirection":"left-to-right","canvases":' || to_json(canvases) || '}}]}}' AS manifest FROM m
+"""
+
+
+@query(MANIFEST_SQL)
 def q_manifests(spark: SparkSession, d: str) -> DataFrame:
     log = A.log(spark, d).filter("is_included = 1")
-    empty = {c: F.lit(None).cast("string") for c in R.DOCUMENT_LABELS} | {c: F.lit(None).cast("int") for c in ("jour", "mois", "annee")}
-    cotes = L.cote_rollup(log).withColumns(empty)
-    images = log.select("cote", N.image_id(F.col("Z_name")).alias("name"), F.lit(100).alias("width"), F.lit(200).alias("height"), "states")
-    parts = cotes.select("cote", F.lit("1").alias("sous_document"), *empty)
+    of = lambda x: [F.expr(e.replace("x %", f"{x} %").replace("(x AS", f"({x} AS").replace("{text}", "string")).alias(n) for n, e in FIELDS.items()]
+    cotes = L.cote_rollup(log).join(log.select("cote", "okey").distinct(), "cote").select("*", *of("okey"))
+    name, file = N.image_id(F.col("Z_name")), lambda n, lang: F.when(F.col("q") % n == 0, F.concat(N.image_id(F.col("Z_name")), F.lit(f"_{lang}.txt")))
+    images = log.select("cote", name.alias("name"), F.lit("jpg").alias("file_extension"), (100 + F.col("q")).alias("width"), (2 * F.col("q")).alias("height"), "states", file(3, "fr").alias("texte_original_fr"), F.lit(None).cast("string").alias("texte_original_la"), file(5, "it").alias("texte_original_it"))
+    parts = log.select("cote", F.row_number().over(Window.partitionBy("cote").orderBy("Z_name")).cast("string").alias("sous_document"), *of("q"))
     made = J.manifests(cotes, images, parts)
-    return made.select("cote", F.get_json_object("manifest", "$.thumbnail").alias("thumbnail"), F.size(F.from_json(F.get_json_object("manifest", "$.sequences[0].canvases"), "array<struct<name:string>>")).cast("long").alias("n_canvases"))
+    first = F.regexp_extract(F.get_json_object("manifest", "$.thumbnail.@id"), "/iiif/2/(.*)/thumb", 1)
+    return made.select("cote", first.alias("thumbnail"), F.size(F.from_json(F.get_json_object("manifest", "$.sequences[0].canvases"), "array<struct<label:string>>")).cast("long").alias("n_canvases"), "manifest")
 
 
 # Boxes
