@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import names as N
 from ..functions.rules import LANGUAGE_STATES
-from .log import any_or_null, as_set, literals
+from .log import any_or_null, as_set, literals, undecided
 
 ROW_DEFAULTS = {"states": "array<string>", "selection_version": "string", "is_included": "int", "doublon": "string", "remarque": "string"}
 
@@ -153,3 +153,27 @@ def recognised(parts: DataFrame) -> DataFrame:
 def assembled(pages: Column) -> Column:
     """Pages as one text: no blank lines, words that a hyphen parts at a line's end joined."""
     return F.regexp_replace(F.regexp_replace(F.array_join(pages, "\n"), "\n+", "\n"), r"(?U)(\w)-\n(\w)", "$1$2")
+
+
+def files_by_cote(files: DataFrame) -> DataFrame:
+    """(cote, n): files of each shelf mark in a list of names."""
+    return files.groupBy(N.cote(F.col("file")).alias("cote")).agg(F.count("*").alias("n"))
+
+
+def next_image(log: DataFrame, files: DataFrame, part: Column) -> DataFrame:
+    """(part, file): the least undecided image of each part of the names, else the least file that the log lacks; none where all is decided."""
+    open_ = log.filter(undecided(F.col("is_included"))).groupBy(part.alias("part")).agg(F.min("Z_name").alias("_undecided"))
+    new = files.select(F.col("file").alias("Z_name")).join(log.select("Z_name"), "Z_name", "left_anti").groupBy(part.alias("part")).agg(F.min("Z_name").alias("_new"))
+    return open_.join(new, "part", "full").select("part", F.coalesce("_undecided", "_new").alias("file"))
+
+
+def next_batch(todo: DataFrame, done: DataFrame, key: str, cap: int = 5000) -> DataFrame:
+    """The first rows, by key, that aren't done; a run takes cap of them at most, and the next run goes on."""
+    return todo.join(done.select(key), key, "left_anti").orderBy(key).limit(cap)
+
+
+def fitted(width: Column, height: Column, most: int) -> Column:
+    """struct(width, height, ratio) of an image scaled to a square of side most."""
+    tall = height > width
+    side = lambda a, b: F.floor(F.lit(most) * a / b).cast("int")
+    return F.struct(F.when(tall, side(width, height)).otherwise(most).alias("width"), F.when(tall, most).otherwise(side(height, width)).alias("height"), (F.greatest(width, height) / most).alias("ratio"))

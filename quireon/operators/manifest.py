@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
-from ..functions.names import page_label
+from ..functions.names import image_url, page_label
 
 
 def shown(value: Column, kind: str = "string") -> Column:
@@ -43,7 +43,7 @@ def parts_entries(parts: DataFrame) -> DataFrame:
 
 def canvas(base: str) -> Column:
     """An image on its canvas: size, resource with its service, labelled fields and languages."""
-    at = F.concat(F.lit(f"{base}/iiif/2/"), F.col("name"))
+    at = image_url(F.col("name"), f"{base}/iiif/2")
     service = F.struct(F.lit("http://iiif.io/api/image/2/context.json").alias("@context"), at.alias("@id"), F.lit("http://iiif.io/api/image/2/level2.json").alias("profile"))
     resource = F.struct(F.lit("dctypes:Image").alias("@type"), F.concat(at, F.lit("/full/full/0/default."), F.col("file_extension")).alias("@id"), service.alias("service"))
     fields = [entry(label, shown(F.array_contains("states", "m"), "boolean") if name == "manuscrit" else shown(F.col(name))) for name, label in R.IMAGE_LABELS.items()]

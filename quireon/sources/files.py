@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.log import decode_set, encode_set
+from .named import NamedFiles
 
 LOG = T.StructType([T.StructField(n, t) for n, t in [
     ("Z_name", T.StringType()), ("should_be_name", T.StringType()), ("cote", T.StringType()), ("is_included", T.IntegerType()), ("states", T.StringType()), ("doublon", T.StringType()),
@@ -134,8 +135,14 @@ def nfc(text: pd.Series) -> pd.Series:
 
 
 def write_manifests(df: DataFrame, path: str) -> None:
-    """One JSON text per shelf mark, in a folder each."""
-    df.select("cote", F.col("manifest").alias("value")).write.partitionBy("cote").text(path)
+    """CH-AEV_IV_<cote>.json for each shelf mark whose file isn't there yet."""
+    write_new_files(df.select(F.concat(F.lit("CH-AEV_IV_"), "cote").alias("name"), "manifest"), path, ".json")
+
+
+def write_new_files(df: DataFrame, path: str, suffix: str = "") -> None:
+    """One file per row (name first, text last) for the names that aren't there yet; all of them or, if a task fails for good, none."""
+    df.sparkSession.dataSource.register(NamedFiles)
+    df.write.format("named_files").option("suffix", suffix).mode("append").save(path)
 
 
 def missing(df: DataFrame, done: DataFrame, key: str) -> DataFrame:

@@ -16,7 +16,7 @@ from quireon.operators import edits as E
 from quireon.operators import extract as M
 from quireon.operators import log as L
 from quireon.operators import manifest as J
-from quireon.plans import more  # noqa: F401  registers its queries
+from quireon.plans import acts, layout, more, replay, rest  # noqa: F401  register their queries
 from quireon.plans import queries as Q
 from quireon.sources import files
 
