@@ -23,26 +23,39 @@ PLAIN = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
 RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "template", "xmp"}
 ASIDE = {"nav", "header", "footer", "aside", "form", "button", "select", "dialog", "svg", "object", "canvas", "menu", "head"} | RAW
 BLOCKS = set("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 MARKED = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|side-?bar|menu|nav\w*|breadcrumbs?|header|footer|masthead|comments?|respond|discussion|notices?|alert|cookies?|consent|banner|newsletter|subscri\w*|related|recommended|share|sharing|social|login|popup|modal|widget)(?:$|[\s_-])", re.I)
+#: Names that stand for such a part by themselves, on a page with no other page of its host beside it.
+PLAIN_NAMES = frozenset("ad ads advert advertisement advertising sponsored promo sidebar nav navbar navigation menu breadcrumb breadcrumbs comments cookie cookies newsletter popup social-share share-buttons".split())
 NAMES = re.compile(r"(?<![\w-])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 SPACE = re.compile(r"\s+")
 ENDS_P = BLOCKS - {"html", "body", "head"}
 
 
 def lines_of(page: str) -> list[tuple[str, str]]:
-    """(kind, text) of each block in page order; kind is main (in article or main), open (no sign) or aside."""
-    out: list[tuple[str, str]] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, aside, main
+    """(kind, text) of each block in page order; kind is main (in article or main), open (no sign) or aside, by tags or names."""
+    return [("aside" if mark else kind, text) for kind, text, mark, _ in blocks_of(page)]
+
+
+def blocks_of(page: str) -> list[tuple[str, str, str, bool]]:
+    """(kind, text, mark, heading) of each block in page order.
+
+    kind is main (in article or main), open (no sign) or aside (in an element that is no text by
+    its tag). mark has the tag and names of the outermost block element around it whose class, id
+    or role could mean a menu, an advert and the like ("" if none); heading tells blocks in h1 to h6.
+    """
+    out: list[tuple[str, str, str, bool]] = []
+    stack: list[tuple[str, bool, bool, str, bool]] = []  # name, aside, main, mark, heading
     buffer: list[str] = []
-    late: list[tuple[str, bool, bool]] = []
+    late: list[tuple[str, bool, bool, str, bool]] = []
 
     def flush() -> None:
         text = SPACE.sub(" ", entities.unescape("".join(buffer))).strip()
         buffer.clear()
         if text:
-            aside, main = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-            out.append(("aside" if aside else "main" if main else "open", text))
+            _, aside, main, mark, heading = stack[-1] if stack else ("", False, False, "", False)
+            out.append(("aside" if aside else "main" if main else "open", text, mark, heading))
 
     def pop() -> None:
         inside[stack.pop()[0]] -= 1
@@ -116,14 +129,15 @@ def lines_of(page: str) -> list[tuple[str, str]]:
             if name in ENDS_P:
                 while inside["p"] and (stack[-1][0] not in BLOCKS or stack[-1][0] == "p"):
                     pop()
-        named = " ".join(a or b or c for a, b, c in NAMES.findall(m[3])) if m[3] else ""
+        above = stack[-1] if stack else ("", False, False, "", False)
+        named = " ".join(a or b or c for a, b, c in NAMES.findall(m[3])) if m[3] and name in BLOCKS and not above[3] else ""
         marked = bool(named and name not in ("html", "body", "main") and MARKED.search(named)) and not (name == "article" and "comment" not in named.lower())
-        above = stack[-1] if stack else ("", False, False)
-        aside = above[1] or name in ASIDE or marked
+        aside = above[1] or name in ASIDE
         if aside and not above[1]:
             flush()
         if not m[3].endswith("/") or name in BLOCKS:
-            stack.append((name, aside, above[2] or (name in ("article", "main") and not aside)))
+            mark = above[3] or (f"{name} {named}" if marked else "")
+            stack.append((name, aside, above[2] or (name in ("article", "main") and not aside and not marked), mark, above[4] or name in HEADINGS))
             inside[name] += 1
     flush()
     return out
@@ -184,14 +198,42 @@ def differenced(hashes: list[int], path: str, after: dict | None, before: dict |
     return sorted(gone[near]), sorted(gone[0] & gone[1]) if len(gone) > 1 else []
 
 
-def text_of(page: str, near: list[int], both: list[int]) -> str:
-    """The blocks of the article: those that markup names less what both neighbours share, or else the unmarked ones less what the nearest shares."""
-    got = lines_of(page)
-    main = [i for i, (kind, _) in enumerate(got) if kind == "main"]
-    mine, gone = (main, set(both)) if main else ([i for i, (kind, _) in enumerate(got) if kind == "open"], set(near))
+def mark_key(mark: str) -> int:
+    return xxhash.xxh3_64_intdigest(mark) - (1 << 63)
+
+
+def text_of(page: str, near: list[int], both: list[int], confirmed: list[int] | None) -> str:
+    """The blocks of the article: those that markup names less what both neighbours share, or else those in no other part less what the nearest shares.
+
+    A name only proposes a part. Its blocks go where the host's other pages confirm it (its key is
+    among confirmed) or, on a page without others (None), where it can't mean anything else; never
+    a heading, and never all there is.
+    """
+    got = blocks_of(page)
+
+    def leaves(i: int) -> bool:
+        _, _, mark, heading = got[i]
+        if not mark or heading:
+            return False
+        return mark_key(mark) in confirmed if confirmed is not None else not PLAIN_NAMES.isdisjoint(mark.lower().split()[1:])
+
+    main = [i for i, b in enumerate(got) if b[0] == "main"]
+    some, gone = (main, set(both)) if main else ([i for i, b in enumerate(got) if b[0] == "open"], set(near))
+    mine = [i for i in some if not leaves(i)] or some
     return "\n".join([got[i][1] for i in [i for i in mine if i not in gone] or mine])
 
 
+def with_confirmed_marks(gone: DataFrame, paths: DataFrame) -> DataFrame:
+    """gone with _confirmed: of a page's marks, those that another path and at least half of its host's paths have."""
+    held = paths.select("_host", F.explode(F.array_distinct("_marks")).alias("_mark")).groupBy("_host", "_mark").agg(F.count("*").alias("times"))
+    sizes = paths.groupBy("_host").agg(F.count("*").alias("paths"))
+    sure = held.join(sizes, "_host").filter("times >= 2 and 2 * times >= paths").select(F.xxhash64("_host", "_mark").alias("_mark_key"), "times")
+    sure = table(sure.groupBy("_mark_key").agg(F.max("times").alias("times")), "marks")
+    each = gone.select("_key", "_host", F.explode(F.array_distinct("_marks")).alias("_mark")).withColumn("_mark_key", F.xxhash64("_host", "_mark")).drop("_host")
+    kept = hot_join(each, sure, ["_mark_key"], "times", sure.agg(F.sum("times")).first()[0] or 0)
+    return gone.drop("_marks").join(kept.groupBy("_key").agg(F.collect_list("_mark").alias("_confirmed")), "_key", "left")
+
+
 def with_repeated_lines(gone: DataFrame, paths: DataFrame) -> DataFrame:
     """(_key, _near, _both): of the lines that both neighbours share, those that at least half of the host's paths (three or more) have."""
     line = F.xxhash64("_host", "_line").alias("_line_key")
@@ -203,7 +245,7 @@ def with_repeated_lines(gone: DataFrame, paths: DataFrame) -> DataFrame:
     often = table(times.join(sizes, "_host").filter("times >= 3 and 2 * times >= paths").groupBy("_line_key").agg(F.max("times").alias("times")), "boilerplate")
     kept = hot_join(each.drop("_host"), often, ["_line_key"], "times", often.agg(F.sum("times")).first()[0] or 0)
     kept = kept.groupBy("_key").agg(F.sort_array(F.collect_list("_at")).alias("_both"))
-    out = table(gone.drop("_both", "_lines", "_host").join(kept, "_key", "left"), "gone")
+    out = table(with_confirmed_marks(gone.drop("_both", "_lines"), paths).drop("_host").join(kept, "_key", "left"), "gone")
     drop(gone, asked, often)
     return out
 
@@ -214,8 +256,9 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     Each page is paired with the pages of the next paths of its host, after and before it in path
     order; the lines of their texts (blocks, menus and all) are aligned by longest common
     subsequence, and shared lines go. Markup is the second signal. Where it names the article
-    (article or main), its blocks less menus, notices, forms, comments and the like are the text,
-    and of these the lines go that both neighbours share and at least half of the host's paths
+    (article or main), its blocks less those in menus, forms and the like by their tags are the
+    text; names of block elements (class, id, role) that could mean an advert, a notice or comments
+    count where at least half of the host's paths have them at such an element. Of these the lines go that both neighbours share and at least half of the host's paths
     have: copies of an article are few, what a site repeats is on most of its pages. Elsewhere the blocks not marked as such are the text,
     less the lines that the nearest page shares (the one with the longer common start of the path).
     A page with nothing left is a copy and stays whole.
@@ -231,35 +274,39 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
-                hashes = [[xxhash.xxh3_64_intdigest(t) - (1 << 63) for _, t in lines_of(page)] for page in part.column(3).to_pylist()]
-                yield pa.record_batch([*(part.column(i) for i in range(3)), pa.array(hashes, pa.list_(pa.int64()))], names=["_key", "_id", "_url", "_hashes"])
+                got = [blocks_of(page) for page in part.column(3).to_pylist()]
+                hashes = [[xxhash.xxh3_64_intdigest(b[1]) - (1 << 63) for b in page] for page in got]
+                marks = [sorted({mark_key(b[2]) for b in page if b[2] and b[0] != "aside"}) for page in got]
+                yield pa.record_batch([*(part.column(i) for i in range(3)), *(pa.array(x, pa.list_(pa.int64())) for x in (hashes, marks))], names=["_key", "_id", "_url", "_hashes", "_marks"])
 
     def difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             got = [(*differenced(*row), row[0]) for row in zip(*(batch.column(i).to_pylist() for i in range(2, 6)), strict=True)]
             kind = pa.list_(pa.int32())
             lines = pa.array([[hashes[i] for i in both] for _, both, hashes in got], pa.list_(pa.int64()))
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array([g[0] for g in got], kind), pa.array([g[1] for g in got], kind), lines], names=["_key", "_host", "_near", "_both", "_lines"])
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array([g[0] for g in got], kind), pa.array([g[1] for g in got], kind), lines, batch.column(6)], names=["_key", "_host", "_near", "_both", "_lines", "_marks"])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
-                texts = [text_of(page or "", near or [], both or []) for page, near, both in zip(*(part.column(i).to_pylist() for i in range(2, 5)), strict=True)]
+                texts = [text_of(page or "", near or [], both or [], (sure or []) if beside else None) for page, near, both, sure, beside in zip(*(part.column(i).to_pylist() for i in range(2, 7)), strict=True)]
                 yield pa.record_batch([part.column(0), part.column(1), pa.array(texts, pa.string())], names=["_id", "_url", "_text"])
 
     rows = spread(pages.select(F.col(id_col).cast("long").alias("_id"), F.col(url_col).alias("_url"), F.col(html_col).alias("_html"))).select(key, "_id", "_url", "_html")
-    placed = table(rows.filter("_url is not null and _html is not null").mapInArrow(outline, "_key long, _id long, _url string, _hashes array<long>"), "outlines")
-    placed = placed.select("_key", "_id", F.lower(F.regexp_extract("_url", address, 1)).alias("_host"), F.regexp_extract("_url", address, 2).alias("_path"), "_hashes")
-    paths = ranked(placed.groupBy("_host", "_path").agg(F.min(F.struct("_id", "_hashes"))["_hashes"].alias("_hashes")), ["_host", "_path"], "paths")
+    placed = table(rows.filter("_url is not null and _html is not null").mapInArrow(outline, "_key long, _id long, _url string, _hashes array<long>, _marks array<long>"), "outlines")
+    placed = placed.select("_key", "_id", F.lower(F.regexp_extract("_url", address, 1)).alias("_host"), F.regexp_extract("_url", address, 2).alias("_path"), "_hashes", "_marks")
+    first = placed.groupBy("_host", "_path").agg(F.min(F.struct("_id", "_hashes", "_marks")).alias("m"))
+    paths = ranked(first.select("_host", "_path", "m._hashes", "m._marks"), ["_host", "_path"], "paths")
     beside = lambda step: paths.select("_host", (F.col("_rank") - step).alias("_rank"), F.struct(F.col("_path").alias("path"), F.col("_hashes").alias("hashes")).alias("_after" if step > 0 else "_before"))
     trio = paths.select("_host", "_path", "_rank").join(beside(1), ["_host", "_rank"], "left").join(beside(-1), ["_host", "_rank"], "left").filter("_after is not null or _before is not null")
-    own = placed.join(trio.drop("_rank"), ["_host", "_path"]).select("_key", "_host", "_hashes", "_path", "_after", "_before")
-    gone = own.mapInArrow(difference, "_key long, _host string, _near array<int>, _both array<int>, _lines array<long>").filter("size(_near) > 0")
+    own = placed.join(trio.drop("_rank"), ["_host", "_path"]).select("_key", "_host", "_hashes", "_path", "_after", "_before", "_marks")
+    gone = own.mapInArrow(difference, "_key long, _host string, _near array<int>, _both array<int>, _lines array<long>, _marks array<long>").filter("size(_near) > 0 or size(_marks) > 0")
     gone = with_repeated_lines(table(gone.dropDuplicates(["_key"]), "shared"), paths)
     none = F.lit(None).cast("array<int>")
-    rest = sieve(rows, "_key", gone, "gone-bits", keep=False).select("_id", "_url", "_html", none.alias("_near"), none.alias("_both"))
-    cut = sieve(rows, "_key", gone, "gone-bits").join(gone, "_key", "left").select("_id", "_url", "_html", "_near", "_both")
+    out = ["_id", "_url", "_html", "_near", "_both", "_confirmed", "_beside"]
+    rest = sieve(rows, "_key", gone, "gone-bits", keep=False).withColumns({"_near": none, "_both": none, "_confirmed": none.cast("array<long>"), "_beside": F.lit(False)}).select(*out)
+    cut = sieve(rows, "_key", gone, "gone-bits").join(gone.withColumn("_beside", F.lit(True)), "_key", "left").select(*out)
     done = rest.unionAll(cut).mapInArrow(write, "_id long, _url string, _text string")
     return done.select(F.col("_id").alias(id_col), F.col("_url").alias(url_col), F.col("_text").alias("text"), F.length("_text").cast("long").alias("n_chars"))
 
