@@ -3,19 +3,24 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import rules
+from .spans import let
 
 #: ASCII punctuation that a character class built from the whole set takes out: all but the backslash.
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[]^_`{|}~"
-#: Accented Latin letters and what they become, one by one and as several letters (fixed values).
-ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝ’"
-PLAIN = "aaaaaaceeeeiiiinooooouuuuyyAAAAAACEEEEIIIINOOOOOUUUUY'"
-WIDER = {"ß": "ss", "œ": "oe", "Œ": "OE", "æ": "ae", "Æ": "AE", "°": "deg"}
+#: Signs that become another one (fixed values); accented Latin letters (to U+024F and U+1E00 to U+1EFF) become their base, by decomposition.
+SIGNS = {"’": "'", "‘": "'", "“": '"', "”": '"', "–": "-", "ø": "o", "Ø": "O", "ł": "l", "Ł": "L", "đ": "d", "Đ": "D", "ħ": "h", "ı": "i", "ſ": "s", "\u00a0": " "}
+_split = {c: unicodedata.normalize("NFD", c) for c in map(chr, [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)])}
+_base = {c: d[0] for c, d in _split.items() if len(d) > 1 and d[0].isascii()} | SIGNS
+ACCENTED, PLAIN = "".join(_base), "".join(_base.values())
+#: Letters and signs that become several (fixed values).
+WIDER = {"ß": "ss", "œ": "oe", "Œ": "OE", "æ": "ae", "Æ": "AE", "°": "deg", "«": "<<", "»": ">>", "…": "...", "—": "--", "€": "EUR"}
 
 
 def java(replacement: str) -> str:
@@ -26,10 +31,20 @@ def char_class(chars: str) -> str:
     return "[" + "".join("\\" + c for c in chars) + "]"
 
 
+#: What a text can't be without for the first of the letter rules to change it, and the words that have a rule.
+LETTERS_MET = r"(?U)[lI]\d|\d[lIoO]|[A-Za-z][10]|0[A-Za-z]|l[A-Z]|[A-Z]{2}l|[a-z]I|\b(?:ler|Ier|1es)\b"
+WORDS_MET = r"(?U)\b(?:" + "|".join(rules.WORD_RULES) + r")\b"
+
+
 def correct(text: Column, letters: bool = True, words: bool = True) -> Column:
-    """The correction rules in order, each on whole words, case-sensitive."""
-    steps = (rules.LETTER_RULES if letters else []) + (list(rules.WORD_RULES.items()) if words else [])
-    return reduce(lambda t, r: F.regexp_replace(t, rf"(?U)\b{r[0]}\b", java(r[1])), steps, text)
+    """The correction rules in order, each on whole words, case-sensitive; a text that no rule meets is left after one look at it."""
+
+    def step(t: Column, met: str, pairs: list[tuple[str, str]]) -> Column:
+        changed = lambda x: reduce(lambda y, r: F.regexp_replace(y, rf"(?U)\b{r[0]}\b", java(r[1])), pairs, x)
+        return let(t, lambda x: F.when(x.rlike(met), changed(x)).otherwise(x))
+
+    text = step(text, LETTERS_MET, rules.LETTER_RULES) if letters else text
+    return step(text, WORDS_MET, list(rules.WORD_RULES.items())) if words else text
 
 
 def changed_positions(before: Column, after: Column) -> Column:

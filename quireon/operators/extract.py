@@ -262,6 +262,13 @@ def documents(texts: DataFrame, key: str = "cote", flag: str = "is_compil", text
     return simple.unionByName(simple_documents(parts, [key, "sous_document"], text))
 
 
+def typed(found_: DataFrame) -> DataFrame:
+    """Days, months and years as nullable whole numbers, all else that was found as text; what can't be a number is null."""
+    numbers = {c: F.expr(f"try_cast({c} AS int)") for c in ("jour", "mois", "annee") if c in found_.columns}
+    return found_.withColumns(numbers | {c: F.col(c).cast("string") for c in found_.columns if c in R.DOCUMENT_LABELS or c.startswith("type_")})
+
+
 def finished(found_: DataFrame) -> DataFrame:
-    """Labels of places and categories; a month outside 1..12 goes."""
-    return found_.withColumn("lieu", capitalised(F.col("lieu"), R.PLACE_LABELS)).withColumn("categorie", capitalised(F.col("categorie"), R.CATEGORY_LABELS)).withColumn("mois", F.when(F.col("mois").between(1, 12), F.col("mois")))
+    """Types, labels of places and categories; a month outside 1..12 goes."""
+    labelled = {"lieu": capitalised(F.col("lieu"), R.PLACE_LABELS), "categorie": capitalised(F.col("categorie"), R.CATEGORY_LABELS), "mois": F.when(F.col("mois").between(1, 12), F.col("mois"))}
+    return typed(found_).withColumns(labelled)

@@ -82,9 +82,10 @@ def q_link_binaries(spark: SparkSession, d: str) -> DataFrame:
     return L.link_binaries(log, files).select("Z_name", F.array_join("binary_files", ",").alias("files"), "expected")
 
 
-@query("SELECT Z_name, (doublon IS NOT NULL) = list_contains(states, 'd') AS doublon_ok, (Z_name <> should_be_name) = list_contains(states, 'r') AS renaming_ok, true AS cote_ok FROM {log}")
+@query("SELECT Z_name, (doublon IS NOT NULL) = list_contains(states, 'd') AS doublon_ok, (Z_name <> CASE WHEN q % 13 = 0 THEN 'CH-AEV_IV_7_001.jpg' ELSE should_be_name END) = list_contains(states, 'r') AS renaming_ok, q % 13 <> 0 OR cote = '7' AS cote_ok FROM {log}")
 def q_consistency(spark: SparkSession, d: str) -> DataFrame:
-    return L.consistency(A.log(spark, d)).select("Z_name", "doublon_ok", "renaming_ok", "cote_ok")
+    log = A.log(spark, d).withColumn("should_be_name", F.when(F.col("q") % 13 == 0, "CH-AEV_IV_7_001.jpg").otherwise(F.col("should_be_name")))
+    return L.consistency(log).select("Z_name", "doublon_ok", "renaming_ok", "cote_ok")
 
 
 @query("SELECT Z_name, CASE WHEN is_included IS NULL AND NOT list_contains(states, 's') THEN CAST(list_has_any(states, ['f','a','l','t','m','b','r']) AS int) ELSE is_included END AS decision FROM {log}")
@@ -174,6 +175,16 @@ def q_auto_correct(spark: SparkSession, d: str) -> DataFrame:
     return t.select("okey", X.correct(F.col("t")).alias("text"))
 
 
+_strings = lambda values: "['" + "', '".join(v.replace("'", "''") for v in values) + "']"
+
+
+@query(f"SELECT okey, 'le ' || {_strings(v if k != '€' else k for k, v in R.WORD_RULES.items())}[1 + okey % {len(R.WORD_RULES)}] || ' de ' || year AS text FROM {{text}}")
+def q_word_rules(spark: SparkSession, d: str) -> DataFrame:
+    """Each word that has a rule, by itself in a text."""
+    word = F.element_at(F.array(*[F.lit(w) for w in R.WORD_RULES]), (1 + F.col("okey") % len(R.WORD_RULES)).cast("int"))
+    return A.texts(spark, d).select("okey", X.correct(F.concat(F.lit("le "), word, F.lit(" de "), "year")).alias("text"))
+
+
 @query("SELECT doc_id, regexp_replace(text, '\\. ', '.' || chr(10) || chr(10) || chr(10), 'g') AS t0, trim(regexp_replace(array_to_string(list_transform(string_split(replace(t0, 'œ', 'oe'), chr(10)), lambda l: rtrim(ltrim(l, ' |=+$£}{][*_:;.,'), ' |=+$£}{][*_')), chr(10)), '\\n{2,}', chr(10) || chr(10), 'g'), chr(10)) AS text FROM documents".replace("SELECT doc_id, ", "SELECT doc_id, text FROM (SELECT doc_id, ", 1) + ")")
 def q_format_text(spark: SparkSession, d: str) -> DataFrame:
     t = A.load(spark, d, "documents")["documents"].select("doc_id", F.regexp_replace("text", "\\. ", ".\n\n\n").alias("t"))

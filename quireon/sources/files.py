@@ -101,9 +101,35 @@ def jpeg_size(data: bytes) -> tuple[int, int] | None:
     return None
 
 
+def tiff_size(data: bytes) -> tuple[int, int] | None:
+    """(width, height) from the tags of the first directory, in either byte order."""
+    order = {b"II*\0": "<", b"MM\0*": ">"}.get(data[:4])
+    if not order or len(data) < 8:
+        return None
+    at, found = struct.unpack(order + "I", data[4:8])[0], {}
+    count = struct.unpack(order + "H", data[at : at + 2])[0] if at + 2 <= len(data) else 0
+    for k in range(at + 2, min(at + 2 + 12 * count, len(data) - 11), 12):
+        tag, kind = struct.unpack(order + "HH", data[k : k + 4])
+        if tag in (256, 257) and kind in (3, 4):  # short or long
+            found[tag] = struct.unpack(order + ("H" if kind == 3 else "I"), data[k + 8 : k + (10 if kind == 3 else 12)])[0]
+    return (found[256], found[257]) if len(found) == 2 else None
+
+
+def header_size(data: bytes) -> tuple[int, int] | None:
+    """(width, height) of a JPEG, PNG or TIFF image from its header; None for anything else."""
+    if data[:8] == b"\x89PNG\r\n\x1a\n" and len(data) >= 24:
+        return struct.unpack(">II", data[16:24])
+    return jpeg_size(data) if data[:2] == b"\xff\xd8" else tiff_size(data)
+
+
 @F.pandas_udf(T.StructType([T.StructField("width", T.IntegerType()), T.StructField("height", T.IntegerType())]))
 def image_size(content: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([jpeg_size(c) or (None, None) for c in content], columns=["width", "height"]).astype("Int32")
+    return pd.DataFrame([header_size(c) or (None, None) for c in content], columns=["width", "height"]).astype("Int32")
+
+
+def write_segments(df: DataFrame, path: str) -> None:
+    """<page_id>.json for each page whose segments aren't there yet."""
+    write_new_files(df.select(F.col("page_id").cast("string").alias("name"), "segments"), path, ".json")
 
 
 def alto_text(spark: SparkSession, path: str) -> DataFrame:
