@@ -100,10 +100,19 @@ PLACE_LEVELS = [("Fait_a+lieu_seul", rf"fait (?:en {S.group(R.CHAMBERS)} )?a ({P
 
 def place_in_text(text: Column) -> tuple[Column, Column]:
     """(code, place) where a text names the place of signing or of printing."""
-    made = found(text, S.whole(PLACE_LEVELS[0][1]), 1)
-    printed = F.coalesce(found(text, S.whole(PLACE_LEVELS[1][1]), 1), found(text, S.whole(PLACE_LEVELS[1][1]), 2))
-    code = F.when(made.isNotNull(), PLACE_LEVELS[0][0]).when(printed.isNotNull(), PLACE_LEVELS[1][0]).otherwise("no_match")
-    return code, S.let(F.lower(F.coalesce(made, printed)), lambda x: lookup(x, R.PLACE_SPELLINGS))
+    printed = S.whole(PLACE_LEVELS[1][1])
+
+    def printing(made: Column) -> Column:
+        """Printing is looked for where nothing is signed, and its place in what was found."""
+        at = S.let(F.when(made.isNull(), F.regexp_substr(text, F.lit(printed))), lambda x: F.coalesce(found(x, printed, 1), found(x, printed, 2)))
+        return F.struct(made.alias("made"), at.alias("printed"))
+
+    def decide(p: Column) -> Column:
+        code = F.when(p["made"].isNotNull(), PLACE_LEVELS[0][0]).when(p["printed"].isNotNull(), PLACE_LEVELS[1][0]).otherwise("no_match")
+        return F.struct(code.alias("code"), S.let(F.lower(F.coalesce(p["made"], p["printed"])), lambda x: lookup(x, R.PLACE_SPELLINGS)).alias("place"))
+
+    got = S.let(S.let(found(text, S.whole(PLACE_LEVELS[0][1]), 1), printing), decide)
+    return got["code"], got["place"]
 
 
 # Titles
@@ -144,7 +153,11 @@ def printer(text: Column) -> tuple[Column, Column]:
         by = lambda x: F.when(c["code"] == "nom_imprimeur", S.unique(x, S.group(_names))).otherwise(S.unique(x, S.group(_titles)))
         return F.struct(c["code"].alias("code"), S.let(F.lower(S.last(c["matches"])["text"]), lambda x: S.let(by(x), lambda n: lookup(n, R.PRINTER_SPELLINGS))).alias("name"))
 
-    got = S.let(S.cascade(text, [(c, S.whole(p)) for c, p in PRINTER_LEVELS]), name)
+    (named, by_name), (titled, by_title) = ((c, S.whole(p)) for c, p in PRINTER_LEVELS)
+    # Most texts name a printer, at their end: all matches are taken in the pass that looks for the first.
+    level = S.let(S.find(text, by_name), lambda n: F.struct(n.alias("n"), ((F.size(n) < 1) & text.rlike(by_title)).alias("t")))
+    chosen = S.let(level, lambda x: F.struct(F.when(F.size(x["n"]) > 0, named).when(x["t"], titled).otherwise("no_match").alias("code"), F.when(F.size(x["n"]) > 0, x["n"]).when(x["t"], S.find(text, by_title)).alias("matches")))
+    got = S.let(chosen, name)
     return got["code"], got["name"]
 
 
