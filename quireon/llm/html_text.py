@@ -276,7 +276,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
                 part = batch.slice(start, 256)
                 got = [blocks_of(page) for page in part.column(3).to_pylist()]
                 hashes = [[xxhash.xxh3_64_intdigest(b[1]) - (1 << 63) for b in page] for page in got]
-                marks = [sorted({mark_key(b[2]) for b in page if b[2] and b[0] != "aside"}) for page in got]
+                kinds = ["main" if any(b[0] == "main" for b in page) else "open" for page in got]  # what text_of() takes from
+                marks = [sorted({mark_key(b[2]) for b in page if b[2] and b[0] == kind}) for page, kind in zip(got, kinds, strict=True)]
                 yield pa.record_batch([*(part.column(i) for i in range(3)), *(pa.array(x, pa.list_(pa.int64())) for x in (hashes, marks))], names=["_key", "_id", "_url", "_hashes", "_marks"])
 
     def difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
