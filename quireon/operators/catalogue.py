@@ -55,8 +55,9 @@ def with_generated_names(cotes: DataFrame, files: DataFrame, column: str) -> Dat
     return cotes.join(files.select(N.cote(F.col("file")).alias("cote"), F.col("file").alias(column)), "cote", "full")
 
 
-def with_sizes(images: DataFrame, sizes: DataFrame, key: str = "Z_name") -> DataFrame:
-    return images.join(sizes.select(key, "width", "height"), key, "left")
+def with_sizes(images: DataFrame, sizes: DataFrame, key: str | list[str] = "Z_name") -> DataFrame:
+    """Sizes of images by their key: the name, or names of columns where names alone may coincide."""
+    return images.join(sizes.select(*([key] if isinstance(key, str) else key), "width", "height"), key, "left")
 
 
 def first_rows(df: DataFrame, columns: list[str], order: str = "Z_name") -> DataFrame:
