@@ -171,6 +171,6 @@ def write_new_files(df: DataFrame, path: str, suffix: str = "") -> None:
     df.write.format("named_files").option("suffix", suffix).mode("append").save(path)
 
 
-def missing(df: DataFrame, done: DataFrame, key: str) -> DataFrame:
+def missing(df: DataFrame, done: DataFrame, key: str | list[str]) -> DataFrame:
     """Rows whose output doesn't exist yet."""
     return df.join(done.select(key).distinct(), key, "left_anti")
