@@ -76,10 +76,14 @@ def dispatch(df: DataFrame) -> DataFrame:
     return df.filter("needs_transcription").select("Z_name", N.batch_folder(F.col("Z_name")).alias("folder"), F.explode(lanes).alias("lane"))
 
 
-def link_binaries(df: DataFrame, files: DataFrame) -> DataFrame:
-    """Names of the binary files of each image by the shelf mark and page in both; one or two are expected."""
-    held = files.select(N.join_key(F.col("file")).alias("_k"), "file").groupBy("_k").agg(F.sort_array(F.collect_set("file")).alias("binary_files"))
-    out = df.withColumn("_k", N.join_key(F.col("Z_name"))).join(held, "_k", "left").drop("_k").withColumn("binary_files", F.coalesce("binary_files", F.array().cast("array<string>")))
+def link_binaries(df: DataFrame, files: DataFrame, also: list[str] | None = None) -> DataFrame:
+    """Names of the binary files of each image by the shelf mark and page in both; one or two are expected.
+
+    also names columns of both that have to agree too, where marks in names may coincide.
+    """
+    key = [*(also or []), "_k"]
+    held = files.withColumn("_k", N.join_key(F.col("file"))).groupBy(*key).agg(F.sort_array(F.collect_set("file")).alias("binary_files"))
+    out = df.withColumn("_k", N.join_key(F.col("Z_name"))).join(held, key, "left").drop("_k").withColumn("binary_files", F.coalesce("binary_files", F.array().cast("array<string>")))
     return out.withColumn("expected", F.size("binary_files").between(1, 2))
 
 
