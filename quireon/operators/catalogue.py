@@ -104,15 +104,16 @@ def without_binary(df: DataFrame) -> DataFrame:
 
 # Entries of the selection screen
 def default_row(names: DataFrame, version: str) -> DataFrame:
-    """A row at its defaults for each Z_name."""
+    """A row at its defaults for each Z_name; its shelf mark is the one given, or else that of the name."""
+    cote = F.col("cote") if "cote" in names.columns else N.cote(F.col("Z_name"))
     values = {"states": F.array().cast("array<string>"), "selection_version": F.lit(version)}
-    return names.select("Z_name", F.col("Z_name").alias("should_be_name"), N.cote(F.col("Z_name")).alias("cote"), *[(values[c] if c in values else F.lit(None)).cast(t).alias(c) for c, t in ROW_DEFAULTS.items()])
+    return names.select("Z_name", F.col("Z_name").alias("should_be_name"), cote.alias("cote"), *[(values[c] if c in values else F.lit(None)).cast(t).alias(c) for c, t in ROW_DEFAULTS.items()])
 
 
 def loaded(names: DataFrame, log: DataFrame, version: str) -> DataFrame:
-    """The log's row of each name, or one at its defaults."""
-    default = default_row(names, version)
-    return log.join(names.select("Z_name"), "Z_name", "left_semi").select(default.columns).unionByName(default.join(log, "Z_name", "left_anti"))
+    """The log's row of each name, or one at its defaults; where names come with their shelf mark, that has to agree too."""
+    default, key = default_row(names, version), [c for c in ("cote", "Z_name") if c in names.columns]
+    return log.join(names.select(key), key, "left_semi").select(default.columns).unionByName(default.join(log, key, "left_anti"))
 
 
 def merged(old: Column, value: Column, f: Callable[[Column, Column], Column]) -> Column:
