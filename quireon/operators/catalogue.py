@@ -162,10 +162,14 @@ def files_by_cote(files: DataFrame) -> DataFrame:
     return files.groupBy(N.cote(F.col("file")).alias("cote")).agg(F.count("*").alias("n"))
 
 
-def next_image(log: DataFrame, files: DataFrame, part: Column) -> DataFrame:
-    """(part, file): the least undecided image of each part of the names, else the least file that the log lacks; none where all is decided."""
+def next_image(log: DataFrame, files: DataFrame, part: Column, also: list[str] | None = None) -> DataFrame:
+    """(part, file): the least undecided image of each part, else the least file that the log lacks; none where all is decided.
+
+    also names columns of log and files that tell images apart whose names coincide.
+    """
+    key = [*(also or []), "Z_name"]
     open_ = log.filter(undecided(F.col("is_included"))).groupBy(part.alias("part")).agg(F.min("Z_name").alias("_undecided"))
-    new = files.select(F.col("file").alias("Z_name")).join(log.select("Z_name"), "Z_name", "left_anti").groupBy(part.alias("part")).agg(F.min("Z_name").alias("_new"))
+    new = files.withColumnRenamed("file", "Z_name").join(log.select(key), key, "left_anti").groupBy(part.alias("part")).agg(F.min("Z_name").alias("_new"))
     return open_.join(new, "part", "full").select("part", F.coalesce("_undecided", "_new").alias("file"))
 
 
