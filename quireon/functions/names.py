@@ -29,13 +29,13 @@ def is_valid(name: Column, ext: str = "jpg") -> Column:
     return name.rlike(rf"\d+[a-z]*.*\d\d\d\.{ext}")
 
 
-def canonical(name: Column) -> Column:
-    """CH-AEV_IV_<cote>_<ppp>.jpg, or null where the name doesn't end in three digits and .jpg."""
-    return F.concat(F.lit("CH-AEV_IV_"), cote(name), F.lit("_"), _or_null(F.regexp_extract(name, r"(\d\d\d\.jpg)$", 1)))
+def canonical(name: Column, mark: Column | None = None) -> Column:
+    """CH-AEV_IV_<cote>_<ppp>.jpg, or null where the name doesn't end in three digits and .jpg; the shelf mark is that of the name, or mark."""
+    return F.concat(F.lit("CH-AEV_IV_"), cote(name) if mark is None else mark, F.lit("_"), _or_null(F.regexp_extract(name, r"(\d\d\d\.jpg)$", 1)))
 
 
-def official(name: Column, is_included: Column) -> Column:
-    return F.when(is_included == 1, canonical(name))
+def official(name: Column, is_included: Column, mark: Column | None = None) -> Column:
+    return F.when(is_included == 1, canonical(name, mark))
 
 
 def text_name(name: Column) -> Column:
