@@ -146,9 +146,12 @@ def corrected(log: DataFrame, saved: DataFrame) -> DataFrame:
     return out.select(log.columns)
 
 
-def recognised(parts: DataFrame) -> DataFrame:
-    """(Z_name, text) from (Z_name, file, text): texts of an image's files in order of their names; one empty text and there is none."""
-    g = parts.groupBy("Z_name").agg(F.array_sort(F.collect_list(F.struct("file", "text"))).alias("p"), F.bool_and(F.length("text") > 0).alias("whole"))
+def recognised(parts: DataFrame, also: list[str] | None = None) -> DataFrame:
+    """(Z_name, text) from (Z_name, file, text): texts of an image's files in order of their names; one empty text and there is none.
+
+    also names columns that tell images apart whose names coincide.
+    """
+    g = parts.groupBy("Z_name", *(also or [])).agg(F.array_sort(F.collect_list(F.struct("file", "text"))).alias("p"), F.bool_and(F.length("text") > 0).alias("whole"))
     return g.select("Z_name", F.when(F.col("whole"), F.array_join(F.transform("p", lambda x: x["text"]), "\n")).alias("text"))
 
 
