@@ -63,10 +63,10 @@ def consistency(df: DataFrame) -> DataFrame:
     return df.withColumn("doublon_ok", same(F.col("doublon").isNotNull(), F.array_contains("states", "d"))).withColumn("renaming_ok", same(F.col("Z_name") != F.col("should_be_name"), F.array_contains("states", "r"))).withColumn("cote_ok", F.col("cote").eqNullSafe(N.cote(F.col("should_be_name"))))
 
 
-def rename_actions(df: DataFrame, present: Column, target_present: Column) -> DataFrame:
-    """(src, dst, action): what renaming would do to each file; nothing is moved here."""
+def rename_actions(df: DataFrame, present: Column, target_present: Column, mark: Column | None = None) -> DataFrame:
+    """(src, dst, action): what renaming would do to each file; nothing is moved here. The shelf mark is that of the new name, or mark."""
     action = F.when(undecided(F.col("is_included")), "undecided").when(F.col("is_included") == 0, "garbage").when(target_present, "exists").when(~present, "missing").otherwise("move")
-    dst = F.when(F.col("is_included") == 1, N.canonical(F.col("should_be_name")))
+    dst = F.when(F.col("is_included") == 1, N.canonical(F.col("should_be_name"), mark))
     return df.select(F.col("Z_name").alias("src"), dst.alias("dst"), action.alias("action"))
 
 
