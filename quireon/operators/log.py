@@ -112,7 +112,7 @@ def state_pivot(states: Column) -> list[Column]:
     return [F.array_contains(states, code).alias(name) for name, code in flags.items()]
 
 
-def upsert(df: DataFrame, changes: DataFrame, key: str) -> DataFrame:
+def upsert(df: DataFrame, changes: DataFrame, key: str | list[str]) -> DataFrame:
     """Rows of changes replace or join those of df."""
     return df.join(changes, key, "left_anti").unionByName(changes, allowMissingColumns=True)
 
