@@ -57,10 +57,13 @@ def default_interest(interest: Column, states: Column) -> Column:
     return F.coalesce(interest, F.when(F.array_contains(states, "v"), 2).otherwise(4))
 
 
-def consistency(df: DataFrame) -> DataFrame:
-    """Three conditions of a row: duplicate field and state agree, so do renaming and state, shelf mark and name."""
+def consistency(df: DataFrame, mark: Column | None = None) -> DataFrame:
+    """Three conditions of a row: duplicate field and state agree, so do renaming and state, shelf mark and name.
+
+    mark is the shelf mark as a name spells it, where that isn't the shelf mark itself.
+    """
     same = lambda a, b: a == b
-    return df.withColumn("doublon_ok", same(F.col("doublon").isNotNull(), F.array_contains("states", "d"))).withColumn("renaming_ok", same(F.col("Z_name") != F.col("should_be_name"), F.array_contains("states", "r"))).withColumn("cote_ok", F.col("cote").eqNullSafe(N.cote(F.col("should_be_name"))))
+    return df.withColumn("doublon_ok", same(F.col("doublon").isNotNull(), F.array_contains("states", "d"))).withColumn("renaming_ok", same(F.col("Z_name") != F.col("should_be_name"), F.array_contains("states", "r"))).withColumn("cote_ok", (F.col("cote") if mark is None else mark).eqNullSafe(N.cote(F.col("should_be_name"))))
 
 
 def rename_actions(df: DataFrame, present: Column, target_present: Column, mark: Column | None = None) -> DataFrame:
