@@ -137,10 +137,14 @@ def entered(df: DataFrame, name: Column, doublon: Column, remarque: Column) -> D
 
 # Corrections and recognised texts
 def corrected(log: DataFrame, saved: DataFrame) -> DataFrame:
-    """saved (Z_name, interest, is_compil): these images are corrected; interest and compilation hold for their whole shelf mark, the last name's count."""
-    marks = saved.select("Z_name", F.lit(True).alias("_saved"))
-    of = saved.join(log.select("Z_name", "cote"), "Z_name").groupBy("cote").agg(F.max_by(F.struct("interest", "is_compil"), "Z_name").alias("_of"))
-    joined = log.join(marks, "Z_name", "left").join(of, "cote", "left")
+    """saved (Z_name, interest, is_compil): these images are corrected; interest and compilation hold for their whole shelf mark, the last name's count.
+
+    Where saved has the shelf mark too, it has to agree as well as the name.
+    """
+    key = [c for c in ("cote", "Z_name") if c in saved.columns]
+    marks = saved.select(*key, F.lit(True).alias("_saved"))
+    of = saved.join(log.select("Z_name", "cote"), key).groupBy("cote").agg(F.max_by(F.struct("interest", "is_compil"), "Z_name").alias("_of"))
+    joined = log.join(marks, key, "left").join(of, "cote", "left")
     new = lambda c: F.when(F.col("_of").isNotNull(), F.col(f"_of.{c}")).otherwise(F.col(c))
     out = joined.withColumns({"has_been_corrected": F.coalesce("_saved", "has_been_corrected"), "interest": new("interest"), "is_compil": new("is_compil")})
     return out.select(log.columns)
