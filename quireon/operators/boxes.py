@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,20 +55,65 @@ def merge_close_peaks(peaks: list[float]) -> list[float]:
             return peaks
 
 
-def neighbours(boxes: DataFrame, band: int = 64) -> DataFrame:
+def beside(x: np.ndarray, z: np.ndarray, top: np.ndarray, bottom: np.ndarray, ids: np.ndarray, block: int = 256) -> tuple[np.ndarray, np.ndarray]:
+    """Places of each box's left and right neighbour among a page's boxes, -1 for none.
+
+    Boxes are compared by blocks in order of their upper edges, each with those that reach into
+    its part of the page.
+    """
+    left, right = np.full(len(x), -1), np.full(len(x), -1)
+    down = np.argsort(top, kind="stable")
+    tops, tall = top[down], (bottom - top).max(initial=0)
+    for start in range(0, len(x), block):
+        i = down[start : start + block]
+        j = down[np.searchsorted(tops, top[i[0]] - tall) : np.searchsorted(tops, bottom[i].max())]
+        if not len(j):
+            continue
+        j = j[np.lexsort((ids[j], x[j]))]
+        back = np.lexsort((ids[j], -x[j]))
+        at = x[i][:, None]
+        met = (top[i][:, None] < bottom[j]) & (top[j] < bottom[i][:, None])
+        for there, to, side in ((met & (x[j] > at), j, right), ((met & (x[j] < at))[:, back], j[back], left)):
+            first = there.argmax(axis=1)
+            side[i] = np.where(there[np.arange(len(i)), first], to[first], -1)
+    wide = z - x
+    left[(left >= 0) & ~(z[left] > x - wide)] = -1
+    right[(right >= 0) & ~(x[right] < z + wide)] = -1
+    return left, right
+
+
+def placed(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the left and right neighbour of each row of a page's boxes; rows without corners or number have none and are none."""
+    columns = [table.column(c) for c in ("anchor_x", "antipod_x", "anchor_y", "antipod_y", "box_id")]
+    if not any(c.null_count for c in columns):
+        return beside(*(c.to_numpy().astype("int64") for c in columns))
+    known = np.flatnonzero(np.all([c.is_valid().to_numpy() for c in columns], axis=0))
+    left, right = np.full(len(table), -1), np.full(len(table), -1)
+    for side, found in zip((left, right), beside(*(c.take(known).to_numpy().astype("int64") for c in columns)), strict=True):
+        side[known] = np.where(found >= 0, known[found], -1) if len(known) else found
+    return left, right
+
+
+def numbers(table: pa.Table, places: np.ndarray) -> pa.ChunkedArray:
+    """Box numbers at places of a table, null for -1."""
+    return table.column("box_id").take(pa.array(places, mask=places < 0))
+
+
+def neighbours(boxes: DataFrame) -> DataFrame:
     """Left and right neighbour of each box: the box with the nearest left edge on either side that overlaps in y, if close enough.
 
     Close is nearer than the box's own width: the left one's right edge, the right one's left edge.
-    Boxes meet in horizontal bands of the page (an equi-join), not in a cross join.
+    A page's boxes are one group, so boxes that lie by pages already aren't shuffled, and pairs of
+    boxes never leave a task.
     """
-    bands = F.explode(F.sequence(F.expr(f"int(anchor_y div {band})"), F.expr(f"int(antipod_y div {band})"))).alias("band")
-    a = boxes.select("page_id", F.col("box_id").alias("id"), F.col("anchor_x").alias("x"), F.col("antipod_x").alias("z"), F.col("anchor_y").alias("y0"), F.col("antipod_y").alias("y1"), "width", bands)
-    b = boxes.select("page_id", F.col("box_id").alias("other"), F.col("anchor_x").alias("ox"), F.col("antipod_x").alias("oz"), F.col("anchor_y").alias("oy0"), F.col("antipod_y").alias("oy1"), bands)
-    near = a.join(b, ["page_id", "band"]).filter("ox <> x and y0 < oy1 and oy0 < y1")
-    side = lambda where: F.min(F.when(F.expr(where), F.struct(F.expr("abs(ox - x)").alias("d"), "other", F.expr("CASE WHEN ox < x THEN oz > x - width ELSE ox < z + width END").alias("close"))))
-    best = near.groupBy("page_id", F.col("id").alias("box_id")).agg(side("ox < x").alias("l"), side("ox > x").alias("r"))
-    best = best.select("page_id", "box_id", F.when(F.col("l.close"), F.col("l.other")).alias("left_neighbor"), F.when(F.col("r.close"), F.col("r.other")).alias("right_neighbor"))
-    return boxes.select("page_id", "box_id").join(best, ["page_id", "box_id"], "left")
+
+    def page(t: pa.Table) -> pa.Table:
+        left, right = placed(t)
+        return pa.table({"page_id": t.column("page_id"), "box_id": t.column("box_id"), "left_neighbor": numbers(t, left), "right_neighbor": numbers(t, right)})
+
+    of = {c: boxes.schema[c].dataType.simpleString() for c in ("page_id", "box_id")}
+    schema = f"page_id {of['page_id']}, box_id {of['box_id']}, left_neighbor {of['box_id']}, right_neighbor {of['box_id']}"
+    return boxes.select("page_id", "box_id", "anchor_x", "anchor_y", "antipod_x", "antipod_y").groupBy("page_id").applyInArrow(page, schema)
 
 
 def invalid(boxes: DataFrame, page_area: Column) -> DataFrame:

@@ -86,7 +86,6 @@ def font_sizes(pairs_: DataFrame, peaks_: DataFrame) -> DataFrame:
     return rows.select("page_id", F.transform(F.aggregate("ps", none, step), lambda g: F.array_max(g["held"])).alias("sizes"))
 
 
-def wordy_boxes(boxes: DataFrame, neighbours: DataFrame, words: DataFrame, peaks_: DataFrame) -> DataFrame:
-    """Characters with closest peak, neighbours and word, as one frame."""
-    peaked = boxes.join(peaks_, "page_id", "left").withColumn("closest_peak", closest(F.col("height"), F.col("peaks"))).drop("peaks")
-    return peaked.join(neighbours, ["page_id", "box_id"]).join(words.drop("place"), ["page_id", "box_id"])
+def peaked(boxes: DataFrame, peaks_: DataFrame) -> DataFrame:
+    """Characters with the peak closest to their height."""
+    return boxes.join(peaks_, "page_id", "left").withColumn("closest_peak", closest(F.col("height"), F.col("peaks"))).drop("peaks")
