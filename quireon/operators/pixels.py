@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.scratch import discard, stored
-
 RGB = ["r", "g", "b"]
 #: A channel above this is almost white; radius of the box that the boundary is blurred over.
 ALMOST, RADIUS = 200, 10
@@ -42,39 +43,42 @@ def blurred_boundary(pixels: DataFrame, radius: int = RADIUS) -> DataFrame:
     return sums.select("page_id", "x", "y", *[F.when(near, F.floor(F.col(f"_s{c}") / cells)).otherwise(F.col(c)).cast("int").alias(c) for c in RGB])
 
 
-def runs(rows: DataFrame, ink: bool = True) -> DataFrame:
-    """(page_id, y, x0, x1): runs of black pixels (0) of each row, or of all others; rows has page_id, y and the array `row`."""
-    is_one = lambda i: (F.get("row", i) == 0) if ink else (F.get("row", i) != 0)
-    at = lambda i: F.coalesce(is_one(i), F.lit(False))
-    places = F.when(F.size("row") > 0, F.sequence(F.lit(0), F.size("row") - 1)).otherwise(F.array().cast("array<int>"))
-    firsts, lasts = F.filter(places, lambda i: at(i) & ~at(i - 1)), F.filter(places, lambda i: at(i) & ~at(i + 1))
-    both = F.arrays_zip(firsts.alias("x0"), lasts.alias("x1"))
-    return rows.select("page_id", "y", F.explode(both).alias("r")).select("page_id", "y", "r.x0", "r.x1")
+def runs(rows: DataFrame) -> DataFrame:
+    """(page_id, y, x0, x1, ink): runs of black pixels (0) of each row, and of all others; rows has page_id, y and the array `row`. Null pixels are neither."""
+
+    def batch(t: pa.RecordBatch) -> pa.RecordBatch:
+        row, of = t.column("row"), pc.list_parent_indices(t.column("row")).to_numpy()
+        pixels = row.flatten()
+        kind = pc.fill_null(pc.cast(pc.equal(pixels, 0), "int8"), -1).to_numpy()
+        first = np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]) | (kind[1:] != kind[:-1])])) if len(of) else np.zeros(0, int)
+        last = np.append(first[1:], len(of)) - 1
+        first, last = first[kind[first] >= 0], last[kind[first] >= 0]
+        begin, mine = np.searchsorted(of, of[first]), pa.array(of[first])
+        return pa.record_batch({"page_id": t.column("page_id").take(mine), "y": t.column("y").take(mine), "x0": pa.array(first - begin, "int32"), "x1": pa.array(last - begin, "int32"), "ink": pa.array(kind[first] == 1)})
 
+    page = rows.schema["page_id"].dataType.simpleString()
+    return rows.select("page_id", F.col("y").cast("int").alias("y"), "row").mapInArrow(lambda ts: map(batch, ts), f"page_id {page}, y int, x0 int, x1 int, ink boolean")
 
-def touching(runs_: DataFrame, band: int = 128) -> DataFrame:
-    """(page_id, a, b): runs of neighbouring rows that touch, corners included; both sides are cut into bands of x, and a pair meets in one."""
-    cut = lambda a, b: F.explode(F.sequence(F.floor(a / band), F.floor(b / band))).alias("band")
-    upper = runs_.select("page_id", F.col("run").alias("a"), (F.col("y") + 1).alias("y"), (F.col("x0") - 1).alias("a0"), (F.col("x1") + 1).alias("a1"), cut(F.col("x0") - 1, F.col("x1") + 1))
-    lower = runs_.select("page_id", F.col("run").alias("b"), "y", F.col("x0").alias("b0"), F.col("x1").alias("b1"), cut(F.col("x0"), F.col("x1")))
-    met = upper.join(lower, ["page_id", "y", "band"]).filter("b0 <= a1 and b1 >= a0")
-    return met.filter(F.col("band") == F.floor(F.greatest("a0", "b0") / band)).select("page_id", "a", "b")
 
+def rooted(y: np.ndarray, x0: np.ndarray, x1: np.ndarray) -> np.ndarray:
+    """The first run of the component of each of a page's runs, which are in order of y and x0; runs of neighbouring rows touch, corners included.
 
-def labelled(runs_: DataFrame, links: DataFrame) -> DataFrame:
-    """runs_ with root, the least run of its component: the least label of the neighbours, then the label's label, until nothing changes."""
-    both = stored(links.unionAll(links.select("page_id", F.col("b").alias("a"), F.col("a").alias("b"))), "links")
-    labels = stored(runs_.select("page_id", "run", F.col("run").alias("root")), "labels")
+    Roots that touch take the lesser one, then each run its root's root, until nothing changes.
+    """
+    wide = int(x1.max(initial=0)) + 3
+    at, upto = y * wide + x0 + 1, y * wide + x1 + 1
+    low, high = np.searchsorted(upto, at + wide - 1), np.searchsorted(at, upto + wide + 1, side="right")
+    n = np.maximum(high - low, 0)
+    a = np.repeat(np.arange(len(y)), n)
+    b = np.repeat(low, n) + np.arange(len(a)) - np.repeat(np.cumsum(n) - n, n)
+    root = np.arange(len(y))
     while True:
-        near = both.join(labels.withColumnRenamed("run", "b"), ["page_id", "b"]).groupBy("page_id", F.col("a").alias("run")).agg(F.min("root").alias("_near"))
-        step = stored(labels.join(near, ["page_id", "run"], "left").select("page_id", "run", F.col("root").alias("_old"), F.least("root", "_near").alias("root")), "labels")
-        jump = step.select("page_id", F.col("run").alias("root"), F.col("root").alias("_far"))
-        new = stored(step.join(jump, ["page_id", "root"]).select("page_id", "run", F.col("_far").alias("root"), (F.col("_far") != F.col("_old")).alias("_moved")), "labels")
-        discard(labels, step)
-        labels = new
-        if not labels.filter("_moved").limit(1).count():
-            discard(both)
-            return runs_.join(labels.drop("_moved"), ["page_id", "run"])
+        one, other = root[a], root[b]
+        if (one == other).all():
+            return root
+        np.minimum.at(root, np.maximum(one, other), np.minimum(one, other))
+        while ((far := root[root]) != root).any():
+            root = far
 
 
 def component_stats(rows: DataFrame) -> DataFrame:
@@ -82,11 +86,23 @@ def component_stats(rows: DataFrame) -> DataFrame:
 
     Labels count from 1 in order of the components' first pixels, row by row; label 0 is the
     background, all that isn't black, where there is any. Rows may be missing; null pixels are
-    neither. Pixels become runs, so what is shuffled follows the outlines, not the areas.
+    neither. Pixels become runs, so what is shuffled and what a page's task holds follow the
+    outlines, not the areas; runs are shuffled once.
     """
-    box = [F.min("x0").alias("anchor_x"), F.min("y").alias("anchor_y"), (F.max("x1") - F.min("x0") + 1).alias("width"), (F.max("y") - F.min("y") + 1).alias("height"), F.sum(F.col("x1") - F.col("x0") + 1).alias("area")]
-    ink = stored(runs(rows).withColumn("run", F.col("y").cast("long") * (1 << 31) + F.col("x0")), "runs")
-    found = labelled(ink, touching(ink)).groupBy("page_id", "root").agg(*box)
-    found = found.select("page_id", F.row_number().over(Window.partitionBy("page_id").orderBy("root")).alias("label"), "anchor_x", "anchor_y", "width", "height", "area")
-    paper = runs(rows, ink=False).groupBy("page_id").agg(*box).select("page_id", F.lit(0).alias("label"), "anchor_x", "anchor_y", "width", "height", "area")
-    return found.unionByName(paper)
+
+    def page(t: pa.Table) -> pa.Table:
+        y, x0, x1 = (t.column(c).to_numpy().astype("int64") for c in ("y", "x0", "x1"))
+        ink = np.lexsort((x0, y))
+        ink = ink[t.column("ink").to_numpy()[ink]]
+        root = np.full(len(y), -1)
+        root[ink] = rooted(y[ink], x0[ink], x1[ink])
+        by = np.argsort(root, kind="stable")
+        roots, starts = np.unique(root[by], return_index=True)
+        of = lambda f, v: f.reduceat(v[by], starts)
+        x, top = of(np.minimum, x0), of(np.minimum, y)
+        label = np.arange(len(roots)) + (0 if roots[0] < 0 else 1)
+        out = {"label": label, "anchor_x": x, "anchor_y": top, "width": of(np.maximum, x1) - x + 1, "height": of(np.maximum, y) - top + 1}
+        return pa.table({"page_id": t.column("page_id").slice(0, 1).take([0] * len(roots)), **{c: pa.array(v, "int32") for c, v in out.items()}, "area": of(np.add, x1 - x0 + 1)})
+
+    of = rows.schema["page_id"].dataType.simpleString()
+    return runs(rows).groupBy("page_id").applyInArrow(page, f"page_id {of}, label int, anchor_x int, anchor_y int, width int, height int, area long")

@@ -34,9 +34,9 @@ def test_boxes_without_corners_have_no_neighbours(spark):
     assert sorted((r.page_id, r.box_id, r.word, r.place) for r in Y.in_words(df).collect()) == [(1, 0, 0, 0), (1, 1, 0, 1), (1, 2, 1, 0), (2, 0, 0, 0)]
 
 
-@pytest.mark.parametrize(("name", "most"), [("q_words", 1), ("q_lines", 1), ("q_neighbors", 1), ("q_ray_stops", 5), ("q_reading_order", 4), ("q_segments", 4), ("q_wordy_boxes", 2), ("q_font_sizes", 6)])
+@pytest.mark.parametrize(("name", "most"), [("q_words", 1), ("q_lines", 1), ("q_neighbors", 1), ("q_ray_stops", 5), ("q_reading_order", 4), ("q_segments", 4), ("q_wordy_boxes", 2), ("q_font_sizes", 6), ("q_component_stats", 2)])
 def test_items_are_shuffled_by_pages(spark, name, most):
     """Nothing is written between the items and a page's result but small tables, so the plan has all shuffles of boxes."""
     plan = Q.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") <= most
-    assert "characters-" not in plan and "chains-" not in plan and "neighbours-" not in plan
+    assert "characters-" not in plan and "chains-" not in plan and "neighbours-" not in plan and "labels-" not in plan
