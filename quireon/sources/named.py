@@ -9,7 +9,10 @@ The folder is a path or an address that pyarrow.fs knows; on a cluster all machi
 
 from __future__ import annotations
 
+import json
+import os
 import uuid
+import zlib
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -18,8 +21,10 @@ from pyarrow import fs
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamWriter, DataSourceWriter, InputPartition, WriterCommitMessage
 from pyspark.sql.types import Row, StructType
 
-#: Bytes that a reading task takes on in the mean, and files that the driver moves or deletes at once.
-TASK_BYTES, AT_ONCE = 64 << 20, 16
+#: Bytes and files that a reading task takes on in the mean, and reading tasks at most: each lists the folder for its share of names.
+TASK_BYTES, TASK_FILES, READERS = 64 << 20, 4096, 64
+#: Files that the driver moves at once, and names in a list of those to be moved.
+AT_ONCE, LISTED = 16, 4096
 
 
 def place(folder: str) -> tuple[fs.FileSystem, str]:
@@ -31,16 +36,25 @@ def hidden(name: str) -> bool:
     return name.startswith(("_", "."))
 
 
+def listed(where: fs.FileSystem, root: str) -> Iterator[tuple[str, str]]:
+    """(name, path) of the files of a folder that aren't pending or hidden, one by one; file systems other than a machine's own hand over a whole list."""
+    if isinstance(where, fs.LocalFileSystem):
+        with os.scandir(root) as found:
+            yield from ((f.name, f.path) for f in found if not hidden(f.name) and f.is_file())
+    else:
+        yield from ((f.base_name, f.path) for f in where.get_file_info(fs.FileSelector(root)) if f.type == fs.FileType.File and not hidden(f.base_name))
+
+
 @dataclass
 class Written(WriterCommitMessage):
-    """What one task has put into its folder: (pending file, name)."""
+    """What one task has put into its folder: files by number, and lists of their names, so that a message doesn't grow with them."""
 
     folder: str
-    files: list[tuple[str, str]]
+    lists: int
 
 
 class Moves:
-    """Both writers: tasks write into a pending folder of the job, and the driver moves whole files when all have ended."""
+    """Both writers: tasks write into a pending folder of the job, and the driver moves whole files when all have ended, some thousands known to it at a time."""
 
     def __init__(self, options: dict, names: list[str]):
         self.folder, self.suffix, self.job = options["path"], options.get("suffix", ""), uuid.uuid4().hex
@@ -55,34 +69,51 @@ class Moves:
     def write(self, rows: Iterator[Row]) -> Written:
         """Files of one task. A second attempt has a folder of its own, so halves of the first are never moved."""
         where, root = place(self.folder)
-        mine, files = f"{root}/{self.pending}/{uuid.uuid4().hex}", []
+        mine, names, lists = f"{root}/{self.pending}/{uuid.uuid4().hex}", [], 0
         where.create_dir(mine)
+
+        def told() -> None:
+            with where.open_output_stream(f"{mine}/names-{lists}") as f:
+                f.write(json.dumps(names).encode())
+
         for r in rows:
             name = r[self.name]
             if name is None or not name or "/" in name or hidden(name):
                 raise ValueError(f"{name!r} can't name a file")
             if where.get_file_info(f"{root}/{name}{self.suffix}").type == fs.FileType.NotFound:
-                path = f"{mine}/{len(files)}"
-                with where.open_output_stream(path) as f:
+                with where.open_output_stream(f"{mine}/{lists}-{len(names)}") as f:
                     f.write((r[self.text] or "").encode())
-                files.append((path, f"{root}/{name}{self.suffix}"))
-        return Written(mine, files)
+                names.append(f"{name}{self.suffix}")
+            if len(names) == LISTED:
+                told()
+                names, lists = [], lists + 1
+        if names:
+            told()
+            lists += 1
+        return Written(mine, lists)
 
     def settle(self, messages: list[Written | None]) -> None:
-        """Move what isn't there by now (the first of equal names stays); then the pending folders go."""
+        """Move what isn't there by now (the first of equal names stays), list by list; then the pending folders go."""
         where, root = place(self.folder)
-        wanted: dict[str, str] = {}
-        for m in messages:
-            for path, name in m.files if m else []:
-                wanted.setdefault(name, path)
+        local = isinstance(where, fs.LocalFileSystem)
 
         def move(item: tuple[str, str]) -> None:
             name, path = item
-            if where.get_file_info(name).type == fs.FileType.NotFound:
+            if local:
+                if not os.path.lexists(name):
+                    os.rename(path, name)
+            elif where.get_file_info(name).type == fs.FileType.NotFound:
                 where.move(path, name)
 
         with ThreadPoolExecutor(AT_ONCE) as pool:
-            list(pool.map(move, wanted.items()))
+            for m in messages:
+                for k in range(m.lists if m else 0):
+                    with where.open_input_stream(f"{m.folder}/names-{k}") as f:
+                        names = json.loads(f.read())
+                    wanted: dict[str, str] = {}
+                    for i, name in enumerate(names):
+                        wanted.setdefault(f"{root}/{name}", f"{m.folder}/{k}-{i}")
+                    list((map if local else pool.map)(move, wanted.items()))  # a rename takes less time than handing it to a thread
         self.clear(messages)
 
     def clear(self, messages: list[Written | None]) -> None:
@@ -113,7 +144,10 @@ class StreamWriter(Moves, DataSourceStreamWriter):
 
 @dataclass
 class Files(InputPartition):
-    names: list[str]
+    """The files whose names' remainder by `of` is `at`."""
+
+    at: int
+    of: int
 
 
 class Reader(DataSourceReader):
@@ -121,22 +155,25 @@ class Reader(DataSourceReader):
         self.folder = options["path"]
 
     def partitions(self) -> list[Files]:
-        """Files by name, some 64 MB a task; pending and hidden ones aren't there."""
+        """Shares of names, some 64 MB a task; the driver holds no names, and looks at no more files than it takes to tell how many tasks there are."""
         where, root = place(self.folder)
-        out, size = [], TASK_BYTES
-        for f in sorted((f for f in where.get_file_info(fs.FileSelector(root)) if f.type == fs.FileType.File and not hidden(f.base_name)), key=lambda f: f.base_name):
-            if size + f.size > TASK_BYTES and (not out or out[-1].names):
-                out.append(Files([]))
-                size = 0
-            out[-1].names.append(f.base_name)
-            size += f.size
-        return out
+        n = READERS
+        if isinstance(where, fs.LocalFileSystem):
+            files = size = 0
+            for _, path in listed(where, root):
+                files, size = files + 1, size + os.path.getsize(path)
+                if files >= READERS * TASK_FILES or size >= READERS * TASK_BYTES:
+                    break
+            n = min(READERS, max(1, -(-files // TASK_FILES), -(-size // TASK_BYTES)))
+        return [Files(k, n) for k in range(n)]
 
     def read(self, partition: Files) -> Iterator[tuple[str, str]]:
+        """Pending and hidden files aren't there."""
         where, root = place(self.folder)
-        for name in partition.names:
-            with where.open_input_stream(f"{root}/{name}") as f:
-                yield name, f.read().decode()
+        for name, path in listed(where, root):
+            if zlib.crc32(name.encode()) % partition.of == partition.at:
+                with where.open_input_stream(path) as f:
+                    yield name, f.read().decode()
 
 
 class NamedFiles(DataSource):

@@ -1,10 +1,12 @@
 """One file per row: retries, aborts, names that are there, batch and stream."""
 
 import os
+import pickle
 
 import pytest
 
-from quireon.sources.named import Moves, NamedFiles, Writer
+from quireon.sources import named
+from quireon.sources.named import Moves, NamedFiles, Reader, Writer
 
 
 @pytest.fixture
@@ -65,3 +67,18 @@ def test_stream_writes_new_names(registered, tmp_path):
         stream = registered.readStream.schema("name string, text string").option("sep", "\t").csv(str(tmp_path / "in"))
         stream.writeStream.format("named_files").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination(120)
     assert {f: (tmp_path / "out" / f).read_text() for f in os.listdir(tmp_path / "out")} == {"a": "1", "b": "2", "c": "4"}
+
+
+def test_the_driver_holds_no_names(tmp_path, monkeypatch):
+    """What tasks tell the driver, and what it tells readers, is as small for many files as for few; lists of names are settled one by one."""
+    w = Writer({"path": str(tmp_path)}, ["name", "text"])
+    rows = [{"name": f"n{i % 9000}", "text": f"text {i}"} for i in range(9500)]  # later ones of equal names go
+    told = [w.write(iter(rows[:6000])), w.write(iter(rows[6000:]))]
+    assert max(len(pickle.dumps(m)) for m in told) < 500
+    w.commit(told)
+    shares = Reader({"path": str(tmp_path)}).partitions()
+    assert len(shares) == 3 and len(pickle.dumps(shares)) < 500
+    got = [row for share in shares for row in Reader({"path": str(tmp_path)}).read(share)]
+    assert len(got) == 9000 and dict(got) == {f"n{i}": f"text {i}" for i in range(9000)} and len(os.listdir(tmp_path)) == 9000
+    monkeypatch.setattr(named, "TASK_FILES", 10)
+    assert len(Reader({"path": str(tmp_path)}).partitions()) == named.READERS
