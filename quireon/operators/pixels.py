@@ -5,8 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import Column, DataFrame
 
 RGB = ["r", "g", "b"]
 #: A channel above this is almost white; radius of the box that the boundary is blurred over.
@@ -21,26 +20,64 @@ def is_almost_white(channels: list[Column], threshold: int = ALMOST) -> Column:
     return (channels[0] > threshold) & (channels[1] > threshold) & (channels[2] > threshold)
 
 
+def box_sums(v: np.ndarray, radius: int) -> np.ndarray:
+    """Sums over the box of a radius around each place of an array of two dimensions, zeros outside."""
+    for axis in (0, 1):
+        upto = np.concatenate([np.zeros_like(v[:1]), np.cumsum(v, axis=0)])
+        i = np.arange(len(v))
+        v = (upto[np.minimum(i + radius + 1, len(v))] - upto[np.maximum(i - radius, 0)]).T
+    return v
+
+
+def blurred(channels: list[np.ndarray], known: list[np.ndarray], radius: int, threshold: int = ALMOST) -> tuple[list[np.ndarray], np.ndarray]:
+    """(channels, where the boundary is near) of one page, from its channels by y and x, 0 where not known."""
+    every = np.logical_and.reduce(known)
+    white = np.where(every & np.logical_and.reduce([c == 255 for c in channels]), 1, np.where(np.logical_or.reduce([k & (c != 255) for c, k in zip(channels, known, strict=True)]), 0, -1))
+    edge = np.zeros(white.shape, bool)
+    for axis in (0, 1):
+        one, other = (white[1:], white[:-1]) if axis == 0 else (white[:, 1:], white[:, :-1])
+        at, to = (edge[1:], edge[:-1]) if axis == 0 else (edge[:, 1:], edge[:, :-1])
+        at |= (one == 1) & (other == 0)
+        to |= (other == 1) & (one == 0)
+    almost = every & np.logical_and.reduce([c > threshold for c in channels])
+    near = box_sums(edge.astype(np.int64), radius) > 0
+    out = []
+    for c, k in zip(channels, known, strict=True):
+        plain = np.where(almost, int(c.sum()) // max(1, int(k.sum())), c)
+        out.append(np.where(near, box_sums(plain, radius) // (2 * radius + 1) ** 2, plain))
+    return out, near
+
+
 def blurred_boundary(pixels: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(page_id, x, y, r, g, b): almost white pixels take the page's mean colour; near the edge of the white, a box mean.
 
-    pixels has every pixel of a page once. An edge pixel is white and has a neighbour (of four;
-    outside the page it is its own) that isn't. Pixels within radius of one, in both directions,
-    become the mean of the box around them, with zeros outside the page; values are cut to whole
-    numbers. Box sums run along x, then along y: a pixel is summed 2 (2 radius + 1) times.
+    pixels has every pixel of a page once; it is an error if some are missing or there twice. An
+    edge pixel is white and has a neighbour (of four; outside the page it is its own) that isn't.
+    Pixels within radius of one, in both directions, become the mean of the box around them, with
+    zeros outside the page; values are cut to whole numbers. A page's pixels are one group, so they
+    are shuffled once at most, and not at all where they lie by pages already; box sums are
+    differences of running sums.
     """
-    along, down = Window.partitionBy("page_id", "y").orderBy("x"), Window.partitionBy("page_id", "x").orderBy("y")
-    white = pixels.withColumn("_w", is_white([F.col(c) for c in RGB]))
-    same = lambda w: F.coalesce(F.lag("_w").over(w), F.col("_w")) & F.coalesce(F.lead("_w").over(w), F.col("_w"))
-    edged = white.withColumn("_edge", (F.col("_w") & ~(same(along) & same(down))).cast("int"))
-    means = pixels.groupBy("page_id").agg(*[F.floor(F.avg(c)).cast("int").alias(f"_m{c}") for c in RGB])
-    almost = is_almost_white([F.col(c) for c in RGB])
-    plain = edged.join(means, "page_id").withColumn("_almost", almost).select("page_id", "x", "y", "_edge", *[F.when(F.col("_almost"), F.col(f"_m{c}")).otherwise(F.col(c)).cast("int").alias(c) for c in RGB])
-    box = lambda w: w.rowsBetween(-radius, radius)
-    sums = plain.withColumns({f"_s{c}": F.sum(c).over(box(along)) for c in ["_edge", *RGB]})
-    sums = sums.withColumns({f"_s{c}": F.sum(f"_s{c}").over(box(down)) for c in ["_edge", *RGB]})
-    near, cells = F.col("_s_edge") > 0, (2 * radius + 1) ** 2
-    return sums.select("page_id", "x", "y", *[F.when(near, F.floor(F.col(f"_s{c}") / cells)).otherwise(F.col(c)).cast("int").alias(c) for c in RGB])
+
+    def page(t: pa.Table) -> pa.Table:
+        x, y = (t.column(c).to_numpy().astype(np.int64) for c in ("x", "y"))
+        wide, high = int(x.max() - x.min()) + 1, int(y.max() - y.min()) + 1
+        at = (y - y.min()) * wide + x - x.min()
+        if wide * high != len(at) or len(np.unique(at)) != len(at):
+            raise ValueError(f"page {t.column('page_id')[0]} has {len(at)} pixels, not each of {wide} x {high} once")
+        channels, known = [], []
+        for c in RGB:
+            v, k = np.zeros((high, wide), np.int64), np.zeros((high, wide), bool)
+            v.ravel()[at] = pc.fill_null(pc.cast(t.column(c), pa.int64()), 0).to_numpy()
+            k.ravel()[at] = t.column(c).is_valid().to_numpy()
+            channels.append(v)
+            known.append(k)
+        values, near = blurred(channels, known, radius)
+        columns = {c: pa.array(v.ravel()[at].astype(np.int32), mask=~(k | near).ravel()[at]) for c, v, k in zip(RGB, values, known, strict=True)}
+        return pa.table({"page_id": t.column("page_id"), "x": t.column("x"), "y": t.column("y"), **columns})
+
+    of = {c: pixels.schema[c].dataType.simpleString() for c in ("page_id", "x", "y")}
+    return pixels.select("page_id", "x", "y", *RGB).groupBy("page_id").applyInArrow(page, f"page_id {of['page_id']}, x {of['x']}, y {of['y']}, r int, g int, b int")
 
 
 def runs(rows: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from quireon.operators import fonts as T
 from quireon.operators import layout as Y
 from quireon.operators import pixels as P
+from quireon.plans import layout as lay
 
 BOX = "anchor_x int, anchor_y int, antipod_x int, antipod_y int"
 
@@ -263,3 +264,15 @@ def test_blur_equals_numpy(spark):
                 box = np.s_[max(0, y - 10) : y + 11, max(0, x - 10) : x + 11]
                 want = plain[box].sum((0, 1)) // 441 if edge[box].any() else plain[y, x]
                 assert got[p, x, y] == tuple(int(v) for v in want)
+
+
+def test_photographs_are_shuffled_once(spark):
+    """Pixels lie by pages as the boxes do: one shuffle, of boxes, no join and no windows."""
+    plan = lay.q_blurred_boundary(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan and "Window" not in plan
+
+
+def test_a_page_with_holes_is_refused(spark):
+    rows = [(1, x, y, 255, 255, 255) for x in range(3) for y in range(3) if (x, y) != (1, 1)]
+    with pytest.raises(Exception, match="not each of 3 x 3 once"):
+        P.blurred_boundary(spark.createDataFrame(rows, "page_id long, x int, y int, r int, g int, b int")).collect()
