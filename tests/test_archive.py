@@ -197,3 +197,21 @@ def test_lda_uses_the_production_call(spark, monkeypatch):
     with pytest.raises(StopIteration):
         Q.QUERIES["q_lda"](spark, SF)
     assert seen == {"k": 60, "maxIter": 20, "optimizer": "online", "seed": 0, "least": 40, "most": 1 / 8}
+
+
+def test_lda_cuts_words_once(spark, monkeypatch):
+    """Each of the 20 rounds reads counts that are stored; texts aren't cut into words again for it."""
+    seen = []
+
+    class Stub:
+        def __init__(self, **kw):
+            pass
+
+        def fit(self, vectors):
+            seen.append(vectors._jdf.queryExecution().executedPlan().toString())
+            raise StopIteration
+
+    monkeypatch.setattr("quireon.operators.topics.LDA", Stub)
+    with pytest.raises(StopIteration):
+        Q.QUERIES["q_lda"](spark, SF)
+    assert "quireon-archive/counts" in seen[0] and "regexp_replace" not in seen[0] and "documents.parquet" not in seen[0]
