@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from quireon.functions import rules as R
 from quireon.functions import spans as S
 from quireon.functions import text as X
+from quireon.operators import extract as M
 from quireon.operators import topics as T
 from quireon.sources import files
 
@@ -69,3 +70,14 @@ def test_group_keeps_the_order_of_alternatives():
             text = text.upper() if rng.random() < 0.2 else text
             assert [m.span() for m in dealt.finditer(text)] == [m.span() for m in plain.finditer(text)]
     assert S.group(["a", "b"]) == "(?:a|b)" and S.group(["x|y", *"abcdefghi"]).startswith("(?:x|y|a")
+
+
+def test_patterns_are_tried_where_words_are_mentioned(spark):
+    """Plain words are looked for before patterns; letters that patterns take for others don't hide a match."""
+    assert S.literal("commissaire(?:s)? federal") == "commissaire" and S.literal("1er vice-president") == "1er vice-president" and S.literal("ab?c") == "a"
+    texts = ["\nLe pre\u017fident du conseil\nJean Rey", "\nLE PRES\u0130DENT\nJean Rey", "\nLe vice\nJean Rey", "\nLa chancellerie\n", "Fait a \u017fion le 5 mai 1805", "le 5 mai 1805", "rien", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").repartition(1)
+    got = df.select("i", M.signature(F.col("t"))[0].alias("s"), M.dates(F.col("t"))[0].alias("d"), S.mentions(F.col("t"), R.SIGNATORIES).alias("m")).orderBy("i").collect()
+    assert [r.s for r in got] == ["grande_signature", "grande_signature", "no_match", "signature_institution", *["no_match"] * 4]
+    assert [r.d for r in got] == [*["no_match"] * 4, "formule_petite+date_complete", "le+date_complete", "no_match", "no_match"]
+    assert [r.m for r in got] == [True, True, *[False] * 5, None]
