@@ -20,7 +20,7 @@ from quireon.llm.language_id import language_id, viterbi
 from quireon.llm.lattice_lm import Lattice, lattice, lm_scores
 from quireon.llm.line_dedup import line_dedup
 from quireon.llm.near_dedup import long_links, near_dedup, postings, rest_pairs, sketched
-from quireon.llm.substring_dedup import bags, chains, ends, growth, op7_substring_dedup, repeated_passages, shared_words
+from quireon.llm.substring_dedup import bags, bit_maps, chains, ends, growth, hopeful, op7_substring_dedup, repeated_passages, shared_words, sharing, telling, word_keys
 from quireon.llm.token_counts import token_counts
 
 P = pytest.importorskip("public_tokenizers")
@@ -412,6 +412,59 @@ def test_passages_under_common_line(spark):
     assert time.time() - began < 30
 
 
+def test_passages_of_edits_under_common_line(spark):
+    """A line common to all, and the only seed of 40 pairs of passages: each pair is linked, though no stretch of repeated seeds is long."""
+    rng = random.Random(24)
+    filler = lambda n: [f"f{rng.randrange(10**8)}" for _ in range(n)]
+    line, docs, pairs = filler(20), [], set()
+    for _ in range(40):
+        p = filler(35)
+        q = list(p)
+        for at in (5, 16, 27):  # no run of these words has a seed
+            q[at] = filler(1)[0]
+        docs += [filler(40) + line + p + filler(60), filler(25) + line + q + filler(60)]
+        pairs.add((len(docs) - 2, len(docs) - 1))
+    rows = repeated_passages(table(spark, [(i, " ".join(w)) for i, w in enumerate(docs)])).collect()
+    assert {(r.source_id, r.doc_id) for r in rows if not r.first} == pairs
+
+
+def test_telling_words():
+    """No pair of places that may lie in a passage is left out for want of a telling word or by its map of bits; few others are left."""
+    rng = np.random.default_rng(6)
+    n, common = 400, rng.integers(0, 65536, 40)
+    left, right = (np.where(rng.random((n, 64)) < 0.3, rng.choice(common, (n, 64)), rng.integers(0, 65536, (n, 64))).astype(np.int32) for _ in range(2))
+    for i in range(0, n, 4):  # alike in parts of their sides, over edits
+        a, b = rng.integers(0, 60, 2)
+        left[i + 1, :a], right[i + 1, :b] = left[i, :a], right[i, :b]
+        right[i + 1, rng.integers(0, 64, 5)] = 7
+    left[::7, rng.integers(1, 64) :] = -1
+    right[:, :14] = np.arange(14)  # the rest of a line
+    bag = bags(left, right)
+    i, j = (k.ravel() for k in np.triu_indices(n, 1))
+    u, v = np.where(left < 0, -2, left), np.where(right < 0, -2, right)
+    want = hopeful((left[i], u[j]), (right[i], v[j]), 50, 0.8)
+    use = telling(bag, 50, 0.8)
+    got = set(zip(*(k.tolist() for k in sharing(bag, use, bag, use, n * n)), strict=True))
+    assert set(zip(i[want].tolist(), j[want].tolist(), strict=True)) <= got and want.sum() > 20 and len(got) < n * n / 4
+    maps = bit_maps(bag)
+    assert ((bag >= 0).sum(1)[i] - np.bitwise_count(maps[i] & ~maps[j]).sum(1) >= shared_words(bag, bag)[i, j]).all()
+    assert sharing(bag, use, bag, use, 10) is None
+
+
+def test_word_keys(monkeypatch):
+    """Words are those of bytes.split() in lower case, equal keys are equal words, wherever texts are cut."""
+    rng = random.Random(25)
+    texts = ["".join(rng.choice("aBé \t\n\x0b\x0c\r\x85 z\0") for _ in range(rng.randrange(40))) for _ in range(200)]
+    for chunk in (7, 1 << 15):
+        monkeypatch.setattr("quireon.llm.substring_dedup.CHUNK", chunk)
+        got = [k.tolist() for k in word_keys(texts)]
+        words = [t.encode().lower().split() for t in texts]
+        assert [len(k) for k in got] == [len(w) for w in words]
+        both = {(w, k) for ws, ks in zip(words, got, strict=True) for w, k in zip(ws, ks, strict=True)}
+        assert len(both) == len({w for w, _ in both}) == len({k for _, k in both}) > 100
+    assert [len(k) for k in word_keys(["", " "])] == [0, 0]
+
+
 def test_passage_bounds():
     """Beginnings of least length against a plain table; words shared in any order bound those shared in order."""
     rng = np.random.default_rng(5)
