@@ -57,7 +57,7 @@ PUBLISHED = {"label": "archive", "description": "Imprimés", "license": "CC BY-N
 
 
 def manifests(cotes: DataFrame, images: DataFrame, parts: DataFrame, base: str = "https://example.org", published: dict[str, str] = PUBLISHED) -> DataFrame:
-    """(cote, manifest): one JSON text per shelf mark.
+    """(cote, thumbnail, n_canvases, manifest): one JSON text per shelf mark, the image that stands for it and how many it shows.
 
     cotes: cote, interest, is_compil, n_images, states and document fields. images: cote, name,
     file_extension, width, height, states and the names of original texts. parts: sub-documents of
@@ -79,4 +79,4 @@ def manifests(cotes: DataFrame, images: DataFrame, parts: DataFrame, base: str =
     rest = F.struct(thumbnail.alias("thumbnail"), told["license"], search.alias("service"), told["attribution"], sequences.alias("sequences"))
     joined = lambda a, m, b: F.concat(F.left(a, F.length(a) - 1), F.lit(',"metadata":'), m, F.lit(","), F.substr(b, F.lit(2)))
     text = joined(F.to_json(start), metadata, F.to_json(rest))
-    return cotes.join(pages, "cote").join(parts_entries(parts), "cote", "left").select("cote", text.alias("manifest"))
+    return cotes.join(pages, "cote").join(parts_entries(parts), "cote", "left").select("cote", F.col("_t.name").alias("thumbnail"), F.size("canvases").cast("long").alias("n_canvases"), text.alias("manifest"))

@@ -1,5 +1,6 @@
 """Golden cases of the archive engine and parity of its queries with DuckDB at the smallest scale."""
 
+import json
 import os
 import re
 
@@ -215,3 +216,15 @@ def test_lda_cuts_words_once(spark, monkeypatch):
     with pytest.raises(StopIteration):
         Q.QUERIES["q_lda"](spark, SF)
     assert "quireon-archive/counts" in seen[0] and "regexp_replace" not in seen[0] and "documents.parquet" not in seen[0]
+
+
+def test_manifests_are_not_read_back(spark):
+    """Thumbnail and number of canvases come from the operator, not from the manifest's text; parts are those of compilations alone."""
+    from quireon.plans import queries as plans
+
+    made = plans.QUERIES["q_manifests"](spark, "/root/testdata/sf0.001")
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert made.columns == ["cote", "thumbnail", "n_canvases", "manifest"] and "get_json_object" not in plan and "_compil" in plan
+    for r in made.limit(50).collect():
+        told = json.loads(r.manifest)
+        assert len(told["sequences"][0]["canvases"]) == r.n_canvases and told["thumbnail"]["@id"].split("/")[-4] == r.thumbnail
