@@ -1,12 +1,17 @@
 """One file per row: retries, aborts, names that are there, batch and stream."""
 
+import glob
 import os
 import pickle
+import zipfile
 
 import pytest
+from pyspark.sql import functions as F
 
+from quireon.plans import queries as Q, replay  # noqa: F401  registers its queries
 from quireon.sources import named
 from quireon.sources.named import Moves, NamedFiles, Reader, Writer
+from quireon.sources.scratch import shared_folder
 
 
 @pytest.fixture
@@ -82,3 +87,33 @@ def test_the_driver_holds_no_names(tmp_path, monkeypatch):
     assert len(got) == 9000 and dict(got) == {f"n{i}": f"text {i}" for i in range(9000)} and len(os.listdir(tmp_path)) == 9000
     monkeypatch.setattr(named, "TASK_FILES", 10)
     assert len(Reader({"path": str(tmp_path)}).partitions()) == named.READERS
+
+
+def test_packs_hold_files_by_the_same_rules(registered, tmp_path, monkeypatch):
+    """Of equal names the first stays, in order or not, over packs that are full; few files are on the disk, and any tool opens them."""
+    folder, rows = tmp_path / "out", [(f"né{i}", f"text {i}") for i in range(3000)]
+    first = registered.createDataFrame(rows[:2000:2], "name string, text string")
+    put(named.by_shares(first, F.concat("name", F.lit(".txt"))), folder, suffix=".txt", packed="true")
+    put(registered.createDataFrame([("né4", "later"), ("empty", None)], "name string, text string"), folder, suffix=".txt", packed="true")
+    put(named.by_shares(registered.createDataFrame([(n, t + " again" if i % 2 == 0 and i < 2000 else t) for i, (n, t) in enumerate(rows)], "name string, text string"), F.concat("name", F.lit(".txt"))), folder, suffix=".txt", packed="true")
+    got = registered.read.format("named_files").option("packed", "true").load(str(folder)).collect()
+    assert len(got) == 3001 and {r.name: r.text for r in got} == {f"{n}.txt": t for n, t in rows} | {"empty.txt": ""}
+    made = os.listdir(folder)
+    assert len(made) <= 2 * named.SHARES + 1 and all(zipfile.ZipFile(folder / f).testzip() is None for f in made)
+    with pytest.raises(Exception, match="can't name a file"):
+        put(registered.createDataFrame([("good", "1"), ("x/y", "2")], "name string, text string").coalesce(1), folder, packed="true")
+    assert sorted(os.listdir(folder)) == sorted(made)
+    monkeypatch.setattr(named, "PACK_FILES", 2)
+    w = named.PackWriter({"path": str(tmp_path / "small")}, ["name", "text"])
+    told = [w.write({"name": f"n{i}", "text": str(i)} for i in range(k, 3000)) for k in (0, 1)]
+    w.commit([*told, None])
+    read = named.PackReader({"path": str(tmp_path / "small")})
+    assert sorted(row for share in read.partitions() for row in read.read(share)) == sorted((f"n{i}", str(i)) for i in range(3000))
+
+
+def test_small_files_take_their_bytes(spark):
+    """q_named_files holds some hundred bytes of disk a file, not a block."""
+    rows = Q.QUERIES["q_named_files"](spark, "/root/testdata/sf0.01")
+    folder = next(f for f in sorted(glob.glob(f"{shared_folder(spark)}/quireon-archive/named-*"), key=os.path.getmtime, reverse=True))
+    found = [os.stat(f"{folder}/{f}") for f in os.listdir(folder)]
+    assert len(found) <= 2 * named.SHARES and sum(f.st_blocks * 512 for f in found) < 400 * rows.count()
