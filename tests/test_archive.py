@@ -218,6 +218,29 @@ def test_lda_cuts_words_once(spark, monkeypatch):
     assert "quireon-archive/counts" in seen[0] and "regexp_replace" not in seen[0] and "documents.parquet" not in seen[0]
 
 
+def test_lda_sums_do_not_grow_with_the_input(spark, monkeypatch):
+    """Each task of a round hands over k times the terms, so there are no more tasks than cores, however many splits the counts have."""
+    seen = []
+
+    class Stub:
+        def __init__(self, **kw):
+            pass
+
+        def fit(self, vectors):
+            seen.append(vectors.rdd.getNumPartitions())
+            raise StopIteration
+
+    monkeypatch.setattr("quireon.operators.topics.LDA", Stub)
+    usual = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        with pytest.raises(StopIteration):
+            Q.QUERIES["q_lda"](spark, SF)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", usual)
+    assert seen[0] <= spark.sparkContext.defaultParallelism
+
+
 def test_manifests_are_not_read_back(spark):
     """Thumbnail and number of canvases come from the operator, not from the manifest's text; parts are those of compilations alone."""
     from quireon.plans import queries as plans
